@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brontide.llm import decontaminate, rules, tokens
+from brontide.llm import decontaminate, near_dup, pieces, pii, rules, tokens
 from brontide.llm.common import table
 from brontide.llm.sql import ORACLE
 
@@ -47,3 +47,29 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = rules.judge(docs, table(spark, sf_dir, "labels"), keep_text=False)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@_query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, keep_text=False)
+    counts = [F.size(F.filter("base_spans", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text("base_spans").cast("binary"), 256).alias("base_sha256"), pii.spans_text("spans").alias("spans"))
+
+
+@_query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of each text as count and digest, and whether decoding them gives the text again."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    both = pieces.decode(coded, path)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), digest.alias("ids_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@_query
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
