@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brontide.llm import decontaminate, near_dup, pieces, pii, rules, tokens
+from brontide.llm import decontaminate, near_dup, pieces, pii, quality, rules, shards, tokens, urls, warc
 from brontide.llm.common import table
 from brontide.llm.sql import ORACLE
 
@@ -73,3 +73,32 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = shards.shard(table(spark, sf_dir, "documents"), 40, keep=["doc_id"])
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
+
+
+#: Fixed values of the contract.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@_query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.filter_urls(pages, URL_RULES, urls.spam_keys(pages)).select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
+@_query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write_archive(table(spark, sf_dir, "pages"))
+    return warc.read_archive(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")

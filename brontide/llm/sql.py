@@ -30,3 +30,28 @@ FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 ORACLE = {"op1_decontaminate": OP1}
+
+_HOST = r"translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = r"regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's')"
+OP6 = f"""
+WITH p AS (SELECT page_id, {_HOST} AS host, {_PATH} AS path FROM pages),
+rules(rh, rp, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+listed AS (SELECT DISTINCT host || path AS key FROM p WHERE regexp_matches(host, 'casino|pills|bets')),
+fit AS (
+    SELECT page_id, max_by(rh || rp, length(rh || rp)) AS rule, max_by(v, length(rh || rp)) AS v
+    FROM (SELECT DISTINCT page_id, host, path FROM p) p JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+    GROUP BY page_id
+)
+SELECT p.page_id, host, path, rule, coalesce(v, CASE WHEN key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, key IS NOT NULL AS listed
+FROM p LEFT JOIN fit USING (page_id) LEFT JOIN listed ON key = host || path
+"""
+OP8 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT page_id, strlen(html)::BIGINT AS n, sha1(html) AS d FROM p),
+m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d, n) END AS last FROM s)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+    CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN last <> page_id THEN last END AS refers_to
+FROM m
+"""
+
+ORACLE |= {"op6_url_filter": OP6, "op8_warc": OP8}
