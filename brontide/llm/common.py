@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +30,28 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/brontide/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+@contextlib.contextmanager
+def _arrow_rows(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Rows of an Arrow batch for what runs inside; the session's own value comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    if rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def written(df: DataFrame, what: str, arrow_rows: int | None = None) -> DataFrame:
     """df, written as Parquet in the shared folder and read again: the lineage is cut there,
-    and a lost executor costs no more than the tasks it ran."""
-    path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    and a lost executor costs no more than the tasks it ran. arrow_rows: rows that Python
+    workers get at once, where rows are large."""
+    spark = df.sparkSession
+    path = new_path(spark, what)
+    with _arrow_rows(spark, arrow_rows):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def with_columns(df: DataFrame, new: dict) -> DataFrame:
