@@ -21,13 +21,21 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+def _loaded() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
+    from brontide.plans import registered  # noqa: F401  registers on import
+
+    return _QUERIES
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, (f, _) in _QUERIES.items()}
+    return {k: f for k, (f, _) in _loaded().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in _QUERIES.items() if sql}
+    return {k: sql for k, (_, sql) in _loaded().items() if sql}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    from brontide.plans import registered
+
+    return registered.flagship(spark, sf_dir)
