@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 #: The box that a coordinate must lie in, as longitude and latitude.
 BOX = (124.0, 132.0, 33.0, 43.0)
+#: The box of the city that projected coordinates must lie in.
+CITY = (126.6, 127.3, 37.3, 37.75)
 #: Fixed values of the projection: GRS80, central meridian and latitude, scale, false origin.
 AXIS, FLATTENING = 6378137.0, 1 / 298.257222101
-CENTRE_LON, CENTRE_LAT, SCALE, EAST, NORTH = 127.0, 38.0, 1.0, 200_000.0, 600_000.0
+CENTRE_LON, CENTRE_LAT, SCALE, EAST, NORTH = 127.0, 38.0, 1.0, 200_000.0, 500_000.0
 
 
 def guarded(value: Column, low: float, high: float) -> Column:
@@ -37,7 +39,7 @@ def _meridian(lat: float, e2: float) -> float:
     return AXIS * (a * lat - b * math.sin(2 * lat) + c * math.sin(4 * lat) - d * math.sin(6 * lat))
 
 
-def with_geographic(df: DataFrame, x: str, y: str, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
+def with_geographic(df: DataFrame, x: str, y: str, lon: str = "longitude", lat: str = "latitude", box: tuple[float, float, float, float] = CITY) -> DataFrame:
     """df with longitude and latitude of projected metres (x east, y north); null out of the box.
 
     The inverse series goes in layers of named columns, so that no expression repeats another.
@@ -63,7 +65,7 @@ def with_geographic(df: DataFrame, x: str, y: str, lon: str = "longitude", lat:
     lat_terms = d2 / 2 - (5 + 3 * t + 10 * cc - 4 * cc * cc - 9 * ep2) * d2 * d2 / 24 + (61 + 90 * t + 298 * cc + 45 * t * t - 252 * ep2 - 3 * cc * cc) * d2 * d2 * d2 / 720
     lon_terms = d - (1 + 2 * t + cc) * d2 * d / 6 + (5 - 2 * cc + 28 * t - 3 * cc * cc + 8 * ep2 + 24 * t * t) * d2 * d2 * d / 120
     out = out.withColumns({"_lat": F.degrees(c("_phi") - c("_n") * c("_tan") / c("_r") * lat_terms), "_lon": CENTRE_LON + F.degrees(lon_terms / c("_cos"))})
-    out = out.withColumns({lon: longitude(c("_lon")), lat: latitude(c("_lat"))})
+    out = out.withColumns({lon: guarded(c("_lon"), box[0], box[1]), lat: guarded(c("_lat"), box[2], box[3])})
     return out.drop("_mu", "_phi", "_sin", "_cos", "_tan", "_c", "_t", "_w", "_n", "_r", "_d", "_lat", "_lon")
 
 

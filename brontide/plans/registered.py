@@ -165,7 +165,7 @@ def j09(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p11_geographic")
 def p11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "customer").select("c_custkey", (F.lit(190_000.0) + F.col("c_custkey") % 20_000).alias("x"), (F.lit(540_000.0) + F.col("c_custkey") % 20_000).alias("y"))
+    rows = read(spark, sf_dir, "customer").select("c_custkey", (F.lit(190_000.0) + F.col("c_custkey") % 20_000).alias("x"), (F.lit(440_000.0) + F.col("c_custkey") % 20_000).alias("y"))
     return geo.with_geographic(rows, "x", "y")
 
 

@@ -88,7 +88,7 @@ def admitted_manifests(manifests: DataFrame, objects: DataFrame) -> tuple[DataFr
     differs = listed.withColumn("l", F.lit(1)).join(objects.select("run_id", "raw_object_key").withColumn("o", F.lit(1)), ["run_id", "raw_object_key"], "full_outer").where("l IS NULL OR o IS NULL").select("run_id").distinct().withColumn("_differs", F.lit(True))
     rows = manifests.join(differs, "run_id", "left")
     reason = F.when(~F.col("status").isin("complete", "SUCCESS"), "status").when(F.col("expected_count") != F.col("actual_count"), "counts").when(F.size("object_keys") != F.col("actual_count"), "key_count").when(F.col("_differs"), "keys")
-    rows = rows.drop("_differs").withColumn("reason", reason)
+    rows = rows.withColumn("reason", reason).drop("_differs")
     return rows.where("reason IS NULL").drop("reason"), rows.where("reason IS NOT NULL")
 
 

@@ -1,0 +1,321 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from brontide.functions import geo, text, time_axes, values
+from brontide.operators import core
+from brontide.plans import assertions, evaluation, models, publication, published, slots
+from brontide.schemas import RUN_MANIFEST, require_schema
+from brontide.sources import ingest, tables
+from brontide.streaming import jobs
+
+AS_OF = time_axes.as_of_hour("2026-08-12 00:00:00")
+
+
+def ts(s):
+    return datetime.strptime(s, "%Y-%m-%d %H:%M:%S")
+
+
+def ntz(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+# Expressions.
+@pytest.mark.parametrize(
+    ("category", "raw", "want"),
+    [
+        ("PCP", "강수없음", ("explicit_none", None, None, None, None)),
+        ("SNO", "적설 없음", ("explicit_none", None, None, None, None)),
+        ("PCP", "1mm 미만", ("quantitative_range", None, 0.0, 1.0, None)),
+        ("PCP", "50.0mm 이상", ("quantitative_range", None, 50.0, None, None)),
+        ("PCP", "30.0~50.0mm", ("quantitative_range", None, 30.0, 50.0, None)),
+        ("SNO", "2.0cm", ("quantitative_exact", 2.0, None, None, None)),
+        ("PCP", " 0.2 ", ("bare_numeric", 0.2, None, None, None)),
+        ("PCP", "a lot", ("unparseable", None, None, None, None)),
+        ("PTY", "4", ("qualitative_code", None, None, None, "4")),
+        ("SKY", "x", ("unparseable", None, None, None, None)),
+        ("TMP", "-3.5", ("quantitative_exact", -3.5, None, None, None)),
+        ("TMP", "1d", ("unparseable", None, None, None, None)),
+        ("REH", "-", ("missing", None, None, None, None)),
+        ("PTY", None, ("missing", None, None, None, None)),
+    ],
+)
+def test_value_semantics(spark, category, raw, want):
+    df = spark.createDataFrame([(category, raw)], "category string, raw string")
+    assert tuple(df.select(*values.value_semantics(F.col("category"), F.col("raw")).values()).first()) == want
+
+
+def test_time_axes(spark):
+    df = spark.createDataFrame([("20260230", "0100", "20260812013000", "2026-08-12 01:30:00.5", "2026-08-12 02:25:00")], "d string, t string, a string, b string, at string")
+    r = df.select(
+        time_axes.wall_clock_from_parts("d", "t").alias("none"),
+        time_axes.wall_clock_from_parts(F.lit("20260812"), F.lit("013059")).alias("parts"),
+        time_axes.wall_clock("a").alias("a"),
+        time_axes.wall_clock("b").alias("b"),
+        time_axes.wall_clock(F.lit("12.08.2026")).alias("odd"),
+        time_axes.latest_issue(F.col("at").cast("timestamp_ntz")).alias("issue"),
+        time_axes.latest_issue(F.lit("2026-08-12 02:10:00").cast("timestamp_ntz")).alias("before"),
+        time_axes.lead_hours(F.lit("2026-08-12 00:30:00").cast("timestamp_ntz"), F.lit("2026-08-12 02:29:00").cast("timestamp_ntz")).alias("lead"),
+        time_axes.row_id(F.lit("p"), F.lit("2026-08-12 02:00:00").cast("timestamp_ntz")).alias("id"),
+    ).first()
+    assert r.none is None and r.odd is None
+    assert r.parts == datetime(2026, 8, 12, 1, 30, 59) and r.a == datetime(2026, 8, 12, 1, 30) and r.b == datetime(2026, 8, 12, 1, 30, 0, 500000)
+    assert r.issue == datetime(2026, 8, 12, 2) and r.before == datetime(2026, 8, 11, 23)
+    assert r.lead == 1 and r.id == "p|2026-08-12T02:00:00.000000"
+    with pytest.raises(ValueError):
+        time_axes.as_of_hour("2026-08-12 00:30:00")
+    assert time_axes.hour_state(AS_OF, AS_OF + timedelta(hours=2)) == "stale"
+    with pytest.raises(ValueError):
+        time_axes.hour_state(AS_OF, AS_OF - timedelta(hours=1))
+
+
+def test_projected_coordinates(spark):
+    rows = [(206318.237564, 445199.529199, 127.071459, 37.506244), (202600.289971836, 453416.031698163, 127.029438, 37.580293), (198000.0, 451900.0, 126.977362, 37.566635), (0.0, 0.0, None, None)]
+    got = geo.with_geographic(spark.createDataFrame(rows, "x double, y double, lon double, lat double"), "x", "y").collect()
+    for r in got:
+        assert (r.longitude, r.latitude) == ((None, None) if r.lon is None else (pytest.approx(r.lon, abs=2e-6), pytest.approx(r.lat, abs=2e-6)))
+
+
+def test_masking_and_names(spark):
+    row = spark.createDataFrame([("token=abc123 my-secret-long my-secret http://u:pw@h/x Bearer", "a\nb" * 3)], "t string, c string")
+    r = row.select(text.masked(F.col("t"), ("my-secret", "my-secret-long")).alias("m"), text.neutral(F.col("c"), 4).alias("n"), text.alias_keys(F.lit(" A  B "), F.lit("C"), F.lit("D")).alias("k"), text.unit_name(F.lit("창신제2동"), True).alias("u"), text.clock(F.lit(3725)).alias("clock")).first()
+    assert r.m == "token=*** *** *** http://u:***@h/x Bearer" and r.n == "a ba…(+5)"
+    assert r.k == ["A B", "AB", "C", "D C", "DC", "D A B"] and r.u == "창신2동" and r.clock == "01:02:05"
+
+
+# Models.
+def test_hourly_outlook_takes_the_newest_issue_only(spark):
+    old, new = ("2026-08-08 23:00:00", "2026-08-08 14:00:00"), ("2026-08-12 02:00:00", "2026-08-12 02:00:00")
+    given = [("TMP", *old, "99", 99.0), ("WSD", *old, "9", 9.0), ("PTY", *old, "1", None), ("PCP", *old, "10mm", 10.0), ("SNO", *old, "5cm", 5.0), ("TMP", *new, "25", 25.0), ("WSD", *new, "2", 2.0), ("PTY", *new, "0", None), ("PCP", *new, "강수없음", None)]
+    about = ("p1", "name", "[]", "1111051500", "name", "11110", "gu", 37.584, 126.97, ts("2026-08-13 00:00:00"), "raw", "hash", "run")
+    cols = "category string, issued_at timestamp, collected_at timestamp, fcst_value_raw string, fcst_value_num double, place_id string, place_name string, alias_names string, admin_dong_code string, admin_dong string, gu_code string, gu string, latitude double, longitude double, forecast_at timestamp, raw_object_key string, payload_hash string, dag_run_id string"
+    df = ntz(spark.createDataFrame([(c, ts(i), ts(s), raw, num, *about) for c, i, s, raw, num in given], cols), "issued_at", "collected_at", "forecast_at")
+    r = models.place_hourly(df).collect()
+    assert len(r) == 1
+    r = r[0]
+    assert (r.forecast_category_count, r.risk_evidence_collected_category_count, r.temp_c, r.wind_ms, r.pty_code, r.pcp_raw, r.sno_raw) == (4, 4, 25.0, 2.0, "0", "강수없음", None)
+    assert r.forecast_issued_at_min == r.forecast_issued_at_max == ts("2026-08-12 02:00:00")
+    assert r.forecast_collected_at_max == r.risk_evidence_collected_at_min == ts("2026-08-12 11:00:00")
+
+
+def hourly(spark, hours, **change):
+    cols = "place_id string, forecast_at timestamp, risk_evidence_collected_category_count long, risk_evidence_collected_at_min timestamp, risk_evidence_collected_at_max timestamp, temp_c double, wind_ms double, pty_code string, pcp_raw string, sno_raw string"
+    rows = []
+    for k, h in enumerate(hours):
+        low = ts("2026-08-11 20:00:00") + timedelta(minutes=10 * k)
+        row = {"n": 5, "temp": 25.0 + k, "pcp": "강수없음"} | change.get(f"h{h}", {})
+        rows.append(("place_a", AS_OF + timedelta(hours=h), row["n"], low, low + timedelta(minutes=5), row["temp"], 2.0, "0", row["pcp"], "적설없음"))
+    return ntz(spark.createDataFrame(rows, cols), "forecast_at", "risk_evidence_collected_at_min", "risk_evidence_collected_at_max")
+
+
+@pytest.mark.parametrize(
+    ("hours", "change", "want"),
+    [
+        ([0, 1, 2], {}, (0, 2, 3, 3, "complete")),
+        ([0, 1, 2, 5, 8], {}, (0, 2, 3, 3, "complete")),
+        ([1, 2], {}, (None, None, 3, 2, "incomplete")),
+        ([0, 2], {}, (0, 0, 3, 2, "incomplete")),
+        ([0], {"h0": {"n": 4}}, (None, None, 1, 0, "incomplete")),
+        ([0], {"h0": {"pcp": "raw only"}}, (0, 0, 1, 1, "complete")),
+    ],
+)
+def test_availability(spark, hours, change, want):
+    place = spark.createDataFrame([("place_a", "종로1가", "종로구")], "place_id string, admin_dong string, gu string")
+    r = models.availability(hourly(spark, hours, **change), place, AS_OF, "kma_admin_dong_grid_20260325:").collect()
+    assert len(r) == 1
+    r = r[0]
+    bound = lambda x: None if x is None else int((x - AS_OF).total_seconds() // 3600)
+    assert (bound(r.available_from_at), bound(r.available_to_at), r.expected_forecast_hour_count, r.observed_forecast_hour_count, r.availability_status) == want
+    assert r.source_population_revision == "kma_admin_dong_grid_20260325:638f0e8260b47eeb0335126a87a8a38e7b456da872bf0ea7e28eecf427610e32"
+
+
+def test_ties_drop_a_run(spark):
+    rows = [("s", "d", "r1", "SUCCESS", True, 1), ("s", "d", "r1", "COALESCED", False, 2), ("s", "d", "r2", "SUCCESS", True, 1), ("s", "d", "r3", "SUCCESS", True, 1), ("s", "d", "r3", "FAILED", False, 1)]
+    df = spark.createDataFrame(rows, "source_id string, dag_id string, dag_run_id string, status string, is_publishable boolean, event_at int")
+    assert [r[0] for r in core.publishable_runs(models.run_states(df, "s")).collect()] == ["r2"]
+    assert sorted(r[0] for r in core.never_coalesced(df).collect()) == ["r2", "r3"]
+    with pytest.raises(ValueError):
+        require_schema(df, RUN_MANIFEST)
+
+
+# Evaluation.
+def test_metrics(spark):
+    c = spark.createDataFrame([(10.0, 8.0), (12.0, 13.0), (8.0, 8.0)], "f double, o double").withColumn("g", F.lit(1))
+    r = evaluation.continuous_metrics(c, ["g"], "f", "o").first()
+    assert (r.mae, r.rmse, r.bias) == (1.0, pytest.approx((5 / 3) ** 0.5), pytest.approx(1 / 3))
+    p = [(k / 10, k > 4) for k in range(10)] + [(0.999999, True), (1.0, True)]
+    df = spark.createDataFrame(p, "p double, y boolean").withColumn("g", F.lit(1))
+    bins = evaluation.calibration_bins(df, ["g"], "p", "y").orderBy("bin_index").collect()
+    assert [b.sample_count for b in bins] == [1] * 9 + [3]
+    one = evaluation.calibration_bins(df.where("p = 0"), ["g"], "p", "y").where("bin_index = 1").first()
+    assert (one.sample_count, one.mean_forecast_probability, one.weighted_absolute_calibration_gap) == (0, None, 0.0)
+    four = spark.createDataFrame([(0.8, True), (0.8, False), (0.2, False), (0.2, True)], "p double, y boolean").withColumn("g", F.lit(1))
+    assert evaluation.probability_metrics(four, ["g"], "p", "y").first().brier_score == pytest.approx(0.34)
+    r = evaluation.confusion_metrics(four, ["g"], F.col("p") >= 0.5, F.col("y")).first()
+    assert (r.precision, r.recall, r.f1, r.accuracy) == (0.5, 0.5, 0.5, 0.5)
+    r = evaluation.confusion_metrics(four, ["g"], F.lit(False), F.lit(False)).first()
+    assert (r.precision, r.recall, r.f1, r.positive_prevalence) == (None, None, None, 0.0)
+
+
+def test_evidence_gate(spark):
+    rows = spark.createDataFrame([(29, 29), (30, 30), (30, 38), (32, 40)], "n int, e int")
+    got = [r[0] for r in rows.select(evaluation.evidence_state(F.col("n"), F.col("e"), F.lit(False))).collect()]
+    assert got == ["insufficient_evidence", "sufficient", "insufficient_evidence", "sufficient"]
+
+
+def test_vintages_stay_in_their_window(spark):
+    valid = datetime(2026, 8, 12)
+    lead = [24, 27, 28, 48, 23]
+    rows = [("f", "kma_60_127", 60, 127, "t", "continuous", float(h), None, None, "c", valid - timedelta(hours=h), valid, "s", "r") for h in lead]
+    cols = "product_family string, grid_id string, nx int, ny int, variable string, value_kind string, value_double double, value_bool boolean, value_text string, unit string, issued_at timestamp, valid_at timestamp, source_id string, source_revision string"
+    df = spark.createDataFrame(rows, cols)
+    got = {r.vintage_label: r.value_double for r in evaluation.select_vintages(df).collect()}
+    assert got == {"D-1": 24.0, "D-2": 48.0, "D-3": None}
+    assert evaluation.vintage_violations(df).count() == 0
+    with pytest.raises(ValueError):
+        evaluation.vintage_violations(df.union(df), strict=True)
+
+
+def test_truth_resolution(spark):
+    at = datetime(2026, 8, 12)
+    row = lambda grid, rev, hours, v, q="final", col=1: (grid, 60, 127, "t", "continuous", v, None, None, "c", at, "st", rev, at + timedelta(hours=hours), at + timedelta(hours=col), q)
+    rows = [row("a", "r1", 1, 1.0), row("a", "r2", 2, 2.0), row("a", "r3", 99, 3.0), row("b", "r1", 1, 1.0), row("b", "r2", 1, 2.0), row("c", "r1", 1, 1.0, "rejected"), row("d", "r1", 1, 1.0, "provisional")]
+    cols = "grid_id string, nx int, ny int, variable string, value_kind string, value_double double, value_bool boolean, value_text string, unit string, observed_at timestamp, truth_source string, truth_revision string, truth_as_of timestamp, collected_at timestamp, quality string"
+    got = {(r.grid_id, r.truth_revision): r.exclusion for r in evaluation.resolve_truth(spark.createDataFrame(rows, cols), at + timedelta(hours=10)).collect()}
+    assert got == {("a", "r2"): None, ("a", "r3"): "future_truth_revision", ("b", "r2"): "conflicting_revisions", ("c", "r1"): "rejected_truth", ("d", "r1"): "stale_provisional_truth"}
+
+
+def test_observations_become_truth(spark):
+    at = datetime(2026, 8, 12)
+    rows = [("kma_60_127", 60, 127, at, at, "r", c, v) for c, v in (("T1H", 20.0), ("PTY", 0.0), ("RN1", 0.5), ("REH", 1.0), ("UUU", 1.0), ("VEC", 1.0), ("VVV", 1.0), ("WSD", 1.0))]
+    df = spark.createDataFrame(rows, "grid_id string, nx int, ny int, observed_at timestamp, collected_at timestamp, source_revision string, category string, observed_value double")
+    got = {r.variable: (r.value_double, r.value_bool) for r in evaluation.observed_truth(df).collect()}
+    assert got == {"temperature_2m": (20.0, None), "precipitation_occurrence": (None, True)}
+    assert evaluation.observed_truth(df.where("category <> 'WSD'")).count() == 0
+
+
+# Sources.
+def raw_page(items, total=None, code="00", page=1):
+    import json
+
+    return bytearray(json.dumps({"response": {"header": {"resultCode": code, "resultMsg": "x"}, "body": {"totalCount": total or (len(items) if isinstance(items, list) else 1), "pageNo": page, "numOfRows": 2, "items": {"item": items}}}}).encode())
+
+
+def test_responses_are_unwrapped(spark):
+    item = {"baseDate": "20260812", "baseTime": "0200", "category": "TMP", "fcstDate": "20260812", "fcstTime": "0300", "fcstValue": "25", "nx": 60, "ny": 127}
+    rows = [("k1", raw_page([item, item | {"category": "POP"}])), ("k2", raw_page(item)), ("k3", raw_page([], code="22")), ("k4", bytearray(b"not json")), ("k5", raw_page([item | {"fcstValue": ""}])), ("k6", raw_page([item | {"nx": 61}]))]
+    raw = spark.createDataFrame(rows, "raw_object_key string, content binary").withColumns({f"path_{k}": F.lit(v) for k, v in (("load_date", "2026-08-12"), ("run_id", "r1"), ("nx", "60"), ("ny", "127"), ("base_date", "20260812"), ("base_time", "0200"))}).withColumn("stored_at", F.current_timestamp())
+    items, bad = ingest.unwrap(raw)
+    assert {r.raw_object_key: r.reason for r in bad.collect()} == {"k3": "result_quota", "k4": "malformed_envelope"}
+    reasons = {(r.raw_object_key, r.item.category): r.reason for r in items.withColumn("reason", ingest.forecast_item_reason()).collect()}
+    assert reasons == {("k1", "TMP"): None, ("k1", "POP"): None, ("k2", "TMP"): None, ("k5", "TMP"): "missing_fcstValue", ("k6", "TMP"): "context_mismatch"}
+    assert ingest.forecast_bronze(items, "s").count() == 5
+    again = ingest.replay(raw, ["k1"], spark.createDataFrame([(60, 127), (61, 127)], "nx int, ny int"), "s")
+    assert again["rows"].count() == 2 and [tuple(r) for r in again["missing_cells"].collect()] == [(61, 127)]
+
+
+def test_incomplete_pages_and_manifests(spark):
+    item = {"baseDate": "20260812", "baseTime": "0200", "category": "TMP", "fcstDate": "20260812", "fcstTime": "0300", "fcstValue": "25", "nx": 60, "ny": 127}
+    raw = spark.createDataFrame([("k1", raw_page([item, item], 5, page=1)), ("k3", raw_page([item], 5, page=3))], "raw_object_key string, content binary").withColumns({f"path_{k}": F.lit("x") for k in ("load_date", "run_id", "nx", "ny", "base_date", "base_time")})
+    items, _ = ingest.unwrap(raw)
+    r = ingest.incomplete_pages(items.withColumn("nx", F.col("item.nx")), ["nx"]).first()
+    assert (r.reason, r.missing_pages) == ("missing_page", [2])
+    m = spark.createDataFrame([("r1", "complete", ["a", "b"], 2, 2), ("r2", "complete", ["c"], 2, 1), ("r3", "partial", ["d"], 1, 1), ("r4", "SUCCESS", ["e"], 1, 1)], "run_id string, status string, object_keys array<string>, expected_count int, actual_count int")
+    o = spark.createDataFrame([("r1", "a"), ("r1", "b"), ("r2", "c"), ("r3", "d"), ("r4", "other")], "run_id string, raw_object_key string")
+    good, bad = ingest.admitted_manifests(m, o)
+    assert [r.run_id for r in good.collect()] == ["r1"]
+    assert {r.run_id: r.reason for r in bad.collect()} == {"r2": "counts", "r3": "status", "r4": "keys"}
+
+
+def test_upserts_and_versions(spark, tmp_path):
+    t = tables.VersionedTable(spark, str(tmp_path / "t"))
+    t.upsert(spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "y")], "k int, v string, p string"), ["k"], "p")
+    t.upsert(spark.createDataFrame([(2, "B", "x"), (4, "d", "x")], "k int, v string, p string"), ["k"], "p")
+    assert sorted((r.k, r.v) for r in t.read().collect()) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    assert t.current() == 2 and t.read(1).count() == 3
+    with pytest.raises(ValueError):
+        t.read(0)
+
+
+# Publication and slots.
+def test_digest_and_publication(spark, tmp_path):
+    rows = [(1, 1.5, "é"), (2, None, "b"), (3, 2.0, None)]
+    cols = {"k": "INTEGER", "x": "REAL", "t": "TEXT"}
+    df = spark.createDataFrame(rows, "k int, x double, t string")
+    digest = lambda d: publication.content_digest(d, ("k",), cols).first().content_digest
+    assert digest(df) == digest(df.orderBy(F.desc("k")).repartition(3)) == digest(df.withColumn("t", F.when(F.col("k") == 1, "é").otherwise(F.col("t"))))
+    assert digest(df) != digest(df.fillna({"t": ""})) and digest(df) != digest(df.limit(2))
+    contract = publication.Contract("p", ("k",), cols)
+    root = str(tmp_path / "pub")
+    assert publication.publish(spark, df, contract, root, AS_OF)["version"] == 1
+    with pytest.raises(RuntimeError):
+        publication.publish(spark, df.limit(1), contract, root, AS_OF)
+    with pytest.raises(RuntimeError):
+        publication.publish(spark, df.union(df), contract, root, AS_OF)
+    assert tables.VersionedTable(spark, f"{root}/p").read().count() == 3
+    assert sorted(r.decision for r in spark.read.parquet(f"{root}/_ledger").collect()) == ["fail", "fail", "publish"]
+    assert publication.gate(0, 5, "retain", 0.5) == "retain"
+
+
+def test_watchdog(spark):
+    contracts = spark.createDataFrame([("a", 60, True), ("b", 60, False), ("c", 60, False)], "product string, slo_minutes int, needs_availability boolean")
+    seen = ntz(spark.createDataFrame([("a", "p1", "p2", AS_OF - timedelta(hours=5), None), ("b", "p", "p", AS_OF, None)], "product string, publication_id string, catalog_publication_id string, fresh_at timestamp, availability_status string"), "fresh_at")
+    got = {r.product: r.issues for r in publication.watchdog(contracts, seen, AS_OF).collect()}
+    assert got == {"a": ["id_mismatch", "slo", "availability"], "b": [], "c": ["missing"]}
+
+
+def test_slots(spark):
+    cycles = ntz(spark.createDataFrame([("s", AS_OF), ("s", AS_OF + timedelta(hours=3))], "source_id string, collection_slot_at timestamp"), "collection_slot_at")
+    grids = spark.createDataFrame([("kma_60_127",), ("kma_61_127",)], "grid_id string")
+    planned = slots.plan(cycles, grids)
+    assert planned.select("expected_slot_id").distinct().count() == 4
+    done = planned.where("grid_id = 'kma_60_127'").select("expected_slot_id")
+    late = slots.finalise(planned, done, F.lit(str(AS_OF + timedelta(hours=2))).cast("timestamp_ntz"))
+    assert [(r.collection_state, r.collection_slot_at) for r in late.collect()] == [("missing_unknown", AS_OF)]
+    rows = spark.createDataFrame([("collected", "not_required", None), ("collected", "unknown", None), ("failed", "recoverable", None)], "collection_state string, recovery_state string, gap_reason_code string")
+    assert sorted(r.reason for r in slots.outcome_violations(rows).collect()) == ["gap_missing", "state_pair"]
+    keys = [f"raw/nx={x}/ny=127/base_date=20260812/base_time=0000/1.json" for x in (60, 61)]
+    m = spark.createDataFrame([("r1", "complete", keys), ("r2", "complete", keys[:1])], "run_id string, status string, object_keys array<string>")
+    out = slots.covered_cycles(m, planned)
+    assert [r.run_id for r in out["covered"].collect()] == ["r1"] and out["ambiguous"].count() == 0
+
+
+def test_admission_is_replay_safe(spark):
+    rows = [("a", 1, 1, "x"), ("a", 1, 1, "x"), ("b", 1, 2, "x"), ("b", 1, 2, "other"), ("c", 1, 3, "x"), ("d", 1, 4, "x")]
+    got = {r.id: (r.admitted, r.conflict) for r in core.admitted(spark.createDataFrame(rows, "id string, day int, at int, body string"), "id", "day", "at", 2).collect()}
+    assert got == {"a": (True, False), "b": (False, True), "c": (True, False), "d": (False, False)}
+
+
+def test_assertions_find_violations(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, "b")], "k int, v string")
+    assert assertions.not_null(df, "v").count() == 1 and assertions.unique(df, "k").count() == 1
+    assert assertions.accepted_values(df, "v", ["a"]).count() == 1
+    assert assertions.coverage(df, "v", 0.9).count() == 1 and assertions.coverage(df, "v", 0.5).count() == 0
+    assert assertions.coverage(df.limit(0), "v", 0.0).count() == 1
+
+
+def test_published_parameters(spark):
+    assert len(published.names()) == 77
+    assert published.relative("+2d", AS_OF) == "2026-08-14 00:00:00" and published.relative("-3h", AS_OF) == "2026-08-11 21:00:00"
+    with pytest.raises(ValueError):
+        core.keyset_page(spark.range(3), ["id"], None, 501)
+
+
+# Streams.
+def test_due_slots_come_once(spark, tmp_path):
+    at = lambda h: datetime(2026, 8, 12) + timedelta(hours=h)
+    cols = "expected_slot_id string, kind string, deadline_at timestamp, collection_state string, event_at timestamp"
+    batches = [[("s1", "declared", at(1), None, at(0)), ("s2", "declared", at(1), None, at(0))], [("s1", "outcome", None, "collected", at(0.5))], [("s3", "declared", at(9), None, at(5))], [("s2", "outcome", None, "collected", at(6)), ("s3", "outcome", None, "collected", at(6))]]
+    source = tmp_path / "in"
+    source.mkdir()
+    schema = spark.createDataFrame([], cols).schema
+    query = jobs.due_slots(spark.readStream.schema(schema).parquet(str(source))).writeStream.format("memory").queryName("due").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, cols).coalesce(1).write.mode("append").parquet(str(tmp_path / f"b{k}"))
+        for f in (tmp_path / f"b{k}").glob("*.parquet"):
+            f.rename(source / f"{k}-{f.name}")
+        query.processAllAvailable()
+    query.stop()
+    got = sorted((r.expected_slot_id, r.collection_state) for r in spark.table("due").collect())
+    assert got == [("s1", "collected"), ("s2", "missing_unknown"), ("s3", "collected")]
