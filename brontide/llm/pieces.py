@@ -19,6 +19,7 @@ the same name. Very long texts need memory for their ids, and for paths that hav
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,11 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Ids of words and verdicts on pairs that a worker process keeps; either starts again when full.
-MEMO_WORDS = 300_000
-MEMO_PAIRS = 300_000
+#: Words and pairs of pieces that a worker process remembers. Words have two generations: when
+#: the young one is full it becomes the old one, and what is met again comes back young.
+MEMO_WORDS = 120_000
+MEMO_PAIRS = 200_000
 MEMO_CHARS = 32
 SPACE = "▁"
+#: Rows that are encoded or decoded at once.
+ROWS = 256
+#: Stands before the first piece of a word; larger than any id.
+_START = (1 << 20) - 1
 
 
 class Vocabulary:
@@ -58,8 +64,6 @@ class Vocabulary:
         for p in self.ids:
             self.longest_to[p[-1]] = max(self.longest_to.get(p[-1], 0), len(p))
         self.chars = {c for p in self.ids for c in p}
-        #: Every beginning of a piece, with whether it is one.
-        self.begins = {p[:n]: False for p in self.ids for n in range(1, len(p))} | dict.fromkeys(self.ids, True)
         # Merge models number their pieces by rank: whole negative scores, in order.
         normal = [s for i, s in enumerate(self.scores) if not special[i] and len(self.pieces[i]) > 1 and self.pieces[i].strip(SPACE)]
         self.merges = bool(normal) and all(s == int(s) for s in normal) and normal == sorted(normal, reverse=True)
@@ -75,6 +79,14 @@ class Vocabulary:
         word = f"{SPACE}*[{letters}]+(?=[{marks}])|" if marks else ""
         self.cut = None if inside else re.compile(f"{word}{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + (f"|{line}" if line else ""))
 
+        import ahocorasick
+
+        #: Finds all pieces that end at each character, with id and length.
+        self.automaton = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            self.automaton.add_word(piece, (i, len(piece)))
+        self.automaton.make_automaton()
+
     def normalised(self, text: str) -> str:
         return self.library.normalize(text)
 
@@ -84,6 +96,7 @@ class Viterbi:
 
     def __init__(self, vocabulary: Vocabulary, pairs: dict[tuple[str, str], bool] | None = None):
         self.v, self.pairs = vocabulary, {} if pairs is None else pairs
+        self.id_pairs: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Plain merging of a short text: the best-scored neighbours first, leftmost of equals."""
@@ -163,33 +176,31 @@ class Viterbi:
         yield from self._ids(back, base, end)
 
     def short(self, word: str) -> list[int]:
-        """The ids of a word that fits in the window, for models that merge: the same paths,
-        taken from each boundary forwards, as nothing needs to be committed on the way."""
-        begins, pairs, agree, n = self.v.begins, self.pairs, self.agree, len(word)
-        last: list[str | None] = [""] + [None] * n
-        for start in range(n):
+        """The ids of a word that fits in the window, for models that merge: the same paths over
+        ids, as nothing needs to be committed on the way. Every character is in some piece."""
+        n, pairs = len(word), self.id_pairs
+        last: list[int | None] = [_START] + [None] * n
+        back = [0] * (n + 1)
+        for end, (piece, size) in self.v.automaton.iter(word):
+            start = end + 1 - size
             before = last[start]
-            if before is None:
+            if before is None or last[end + 1] is not None:
                 continue
-            end = start + 1
-            if word[start] not in begins:
-                last[end] = word[start]
-            while end <= n:
-                piece = word[start:end]
-                whole = begins.get(piece)
-                if whole is None:
-                    break
-                if whole and last[end] is None:
-                    known = pairs.get((before, piece))
-                    if agree(before, piece) if known is None else known:
-                        last[end] = piece
-                end += 1
-        pieces = []
-        end = n
-        while end:
-            pieces.append(last[end])
-            end -= len(pieces[-1])
-        return self._ids_of(reversed(pieces))
+            key = before << 20 | piece
+            known = pairs.get(key)
+            if known is None:
+                if len(pairs) > MEMO_PAIRS:
+                    pairs.clear()
+                a, b = "" if before == _START else self.v.pieces[before], self.v.pieces[piece]
+                known = pairs[key] = self.merged(a + b) == ([a, b] if a else [b])
+            if known:
+                last[end + 1], back[end + 1] = piece, start
+        out = []
+        while n:
+            out.append(last[n])
+            n = back[n]
+        out.reverse()
+        return out
 
     def _ids(self, back: dict[int, tuple[int, str]], base: int, end: int) -> list[int]:
         pieces = []
@@ -211,79 +222,121 @@ class Viterbi:
         return out
 
 
-class Codec:
-    """Whole texts to ids and back, with the ids of short words remembered."""
+class Encoder:
+    """Whole texts to ids, with the ids of short words remembered."""
 
     def __init__(self, path: str):
         self.v = Vocabulary(path)
-        self.words: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.viterbi = Viterbi(self.v)
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str) -> bytes:
+        """The ids as 32-bit integers in a row."""
         normal = self.v.normalised(text)
         if self.v.cut is None or (not self.v.merges and not self.v.byte_ids):
-            return np.fromiter(self.viterbi.encode(normal), np.int32)
-        words = self.words
-        out = []
+            return array("i", self.viterbi.encode(normal)).tobytes()
+        young, out = self.young, []
         for w in self.v.cut.findall(normal):
-            ids = words.get(w)
+            ids = young.get(w)
             if ids is None:
-                if len(w) > MEMO_CHARS or not self.v.merges:
-                    ids = np.fromiter(self.viterbi.encode(w), np.int32).tobytes()
-                else:
-                    ids = np.array(self.viterbi.short(w), np.int32).tobytes()
+                ids = self.old.get(w) or self._new(w)
                 if len(w) <= MEMO_CHARS:
-                    if len(words) > MEMO_WORDS:
-                        words.clear()
-                    words[w] = ids
+                    if len(young) >= MEMO_WORDS:
+                        self.old, self.young = young, {}
+                        young = self.young
+                    young[w] = ids
             out.append(ids)
-        return np.frombuffer(b"".join(out), np.int32)
+        return b"".join(out)
+
+    def _new(self, word: str) -> bytes:
+        known = self.v.merges and len(word) <= MEMO_CHARS and self.v.chars.issuperset(word)
+        return array("i", self.viterbi.short(word) if known else self.viterbi.encode(word)).tobytes()
+
+
+class Decoder:
+    """Ids to text."""
 
-    def decode(self, ids: Iterable[int]) -> str:
-        v, out, raw = self.v, [], bytearray()
+    def __init__(self, path: str):
+        import sentencepiece
+
+        lib = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.raw: dict[int, int] = {}
+        #: What each id stands for by itself; None for bytes that are no character alone.
+        self.texts: list[str | None] = []
+        for i in range(len(lib)):
+            piece = lib.id_to_piece(i)
+            if lib.is_byte(i):
+                self.raw[i] = int(piece[3:5], 16)
+                self.texts.append(chr(self.raw[i]) if self.raw[i] < 128 else None)
+            else:
+                self.texts.append(" ⁇ " if lib.is_unknown(i) else "" if lib.is_control(i) else piece.replace(SPACE, " "))
+
+    def decode(self, ids: list[int]) -> str:
+        texts = self.texts
+        try:
+            text = "".join([texts[i] for i in ids])
+        except TypeError:
+            text = self._with_bytes(ids)
+        return text[1:] if text.startswith(" ") else text
+
+    def _with_bytes(self, ids: list[int]) -> str:
+        out, raw = [], bytearray()
         for i in ids:
-            b = v.bytes.get(i)
+            b = self.raw.get(i)
             if b is not None:
                 raw.append(b)
                 continue
             if raw:
                 out.append(raw.decode("utf-8", "replace"))
                 raw.clear()
-            out.append(" ⁇ " if i == v.unknown else "" if v.special[i] else v.pieces[i])
+            out.append(self.texts[i])
         out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
-        return text[1:] if text.startswith(" ") else text
+        return "".join(out)
+
+
+_ENCODERS: dict[str, Encoder] = {}
+_DECODERS: dict[str, Decoder] = {}
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            yield batch.slice(k, ROWS)
 
 
-_CODECS: dict[str, Codec] = {}
+def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
+    keep = [i for i, f in enumerate(batch.schema.names) if f != name]
+    return pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), column], [*(batch.schema.names[i] for i in keep), name])
 
 
-def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+def _schema(docs: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([*(f for f in docs.schema if f.name != name), T.StructField(name, kind)])
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """docs with the ids of each text. model_path: a model file installed on every machine."""
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = codec(model_path)
-        for texts in batches:
-            ids = [None if t is None else own.encode(t) for t in (x.as_py() for x in texts)]
-            yield pa.array(ids, pa.list_(pa.int32()))
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _ENCODERS.get(model_path) or _ENCODERS.setdefault(model_path, Encoder(model_path))
+        for batch in _slices(batches):
+            ids = [None if t is None else own.encode(t) for t in batch.column(text_col).to_pylist()]
+            ends = np.cumsum([0] + [len(x or b"") // 4 for x in ids])
+            values = pa.array(np.frombuffer(b"".join(x for x in ids if x), np.int32))
+            mask = pa.array([x is None for x in ids])
+            yield _with(batch, ids_col, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=mask))
 
-    return docs.withColumn(ids_col, encoded(F.col(text_col).cast("string")))
+    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    return docs.mapInArrow(encoded, _schema(docs, ids_col, T.ArrayType(T.IntegerType())))
 
 
 def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """docs with the text of each array of ids."""
 
-    @F.arrow_udf(T.StringType())
-    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = codec(model_path)
-        for ids in batches:
-            yield pa.array([None if x is None else own.decode(x) for x in (i.as_py() for i in ids)], pa.string())
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _DECODERS.get(model_path) or _DECODERS.setdefault(model_path, Decoder(model_path))
+        for batch in _slices(batches):
+            texts = [None if x is None else own.decode(x) for x in (i.values.to_numpy().tolist() if i.is_valid else None for i in batch.column(ids_col))]
+            yield _with(batch, text_col, pa.array(texts, pa.string()))
 
-    return docs.withColumn(text_col, decoded(ids_col))
+    return docs.mapInArrow(decoded, _schema(docs, text_col, T.StringType()))
