@@ -95,7 +95,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(table(spark, sf_dir, "pages"))
-    return warc.read_archive(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archive(archive, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @_query

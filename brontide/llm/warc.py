@@ -38,7 +38,9 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DATE = "2000-01-01T00:00:00Z"
 
 INDEX = "record_id string, page_id long, bundle string, frame int, offset long, length long"
-RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+#: Pages that Python workers get at once.
+PAGE_ROWS = 500
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _CONTROL = re.compile("[\x00-\x20\x7f]")
 
@@ -64,18 +66,28 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     return own, b"WARC/1.1\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def parse_record(raw: bytes) -> dict:
+def _head(raw: memoryview) -> int:
+    """Where the head that starts at raw ends; heads are short, so little is copied."""
+    size = 1024
+    while (at := bytes(raw[:size]).find(b"\r\n\r\n")) < 0:
+        if size > len(raw):
+            raise ValueError("a head does not end")
+        size *= 4
+    return at + 4
+
+
+def parse_record(raw: memoryview) -> dict:
     """The record that starts at raw; end is where the next one does."""
-    head_end = raw.index(b"\r\n\r\n") + 4
-    version, *lines = raw[: head_end - 4].decode().split("\r\n")
+    head_end = _head(raw)
+    version, *lines = bytes(raw[: head_end - 4]).decode().split("\r\n")
     if version != "WARC/1.1":
         raise ValueError(f"not a record: {version[:40]}")
     head = dict(x.split(": ", 1) for x in lines)
     end = head_end + int(head["Content-Length"])
     block = raw[head_end:end]
-    http_end = block.index(b"\r\n\r\n") + 4
-    length = int(re.search(rb"Content-Length: (\d+)", block[:http_end])[1])
-    payload = block[http_end:]
+    http_end = _head(block)
+    length = int(re.search(rb"Content-Length: (\d+)", bytes(block[:http_end]))[1])
+    payload = bytes(block[http_end:])
     kind, digest = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
     if kind == "response" and (len(payload) != length or hashlib.sha1(payload).hexdigest() != digest):
         raise ValueError(f"{head['WARC-Record-ID']} is damaged")
@@ -209,7 +221,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, id_col: str = "pa
     joined = rows.join(F.broadcast(same) if same.count() <= BROADCAST_DIGESTS else same, "digest", "left")
     other = F.when((F.col("n") >= REVISIT_BYTES) & (F.col("page_id") != F.col("last")), F.col("last"))
     records = joined.select("page_id", "url", "html", "digest", other.alias("refers_to"))
-    return Archive(folder, written(records.mapInArrow(_writer(folder), INDEX), "warc-index"))
+    return Archive(folder, written(records.mapInArrow(_writer(folder), INDEX), "warc-index", PAGE_ROWS))
 
 
 def _folder(uri: str) -> None:
@@ -219,30 +231,42 @@ def _folder(uri: str) -> None:
     system.create_dir(place, recursive=True)
 
 
-def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All records of the frames asked for."""
-    fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())]
-    reader, path = None, None
-    for batch in batches:
-        for bundle, k in sorted(zip(batch.column("bundle").to_pylist(), batch.column("frame").to_pylist(), strict=True)):
-            if bundle != path:
-                if reader:
-                    reader.close()
-                reader, path = Reader(bundle), bundle
-            raw, at, found = reader.frame(k), 0, []
-            while at < len(raw):
-                record = parse_record(raw[at:])
-                at += record.pop("end")
-                found.append(record)
-            yield pa.RecordBatch.from_pylist(found, pa.schema(fields))
-    if reader:
-        reader.close()
-
-
-def read_archive(archive: Archive) -> DataFrame:
-    """Every record of an archive; frames are dealt over tasks and read by themselves."""
+_FIELDS = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
+
+
+def _batch(records: list[dict], payload: bool) -> pa.RecordBatch:
+    fields = [*_FIELDS, *([("payload", pa.binary())] if payload else [])]
+    return pa.RecordBatch.from_pylist(records, pa.schema(fields))
+
+
+def _frames(payload: bool):
+    """All records of the frames asked for, a frame at a time."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, path = None, None
+        for batch in batches:
+            for bundle, k in sorted(zip(batch.column("bundle").to_pylist(), batch.column("frame").to_pylist(), strict=True)):
+                if bundle != path:
+                    if reader:
+                        reader.close()
+                    reader, path = Reader(bundle), bundle
+                raw, at, found = memoryview(reader.frame(k)), 0, []
+                while at < len(raw):
+                    record = parse_record(raw[at:])
+                    at += record.pop("end")
+                    found.append(record)
+                yield _batch(found, payload)
+        if reader:
+            reader.close()
+
+    return read
+
+
+def read_archive(archive: Archive, payload: bool = True) -> DataFrame:
+    """Every record of an archive, its digest checked; frames are dealt over tasks and read by
+    themselves. payload=False leaves the payloads behind in the tasks."""
     frames = archive.index.select("bundle", "frame").distinct()
-    return frames.mapInArrow(_frames, RECORD)
+    return frames.mapInArrow(_frames(payload), RECORD + ", payload binary" * payload)
 
 
 def read_records(archive: Archive, page_ids: DataFrame) -> DataFrame:
@@ -253,12 +277,12 @@ def read_records(archive: Archive, page_ids: DataFrame) -> DataFrame:
         for batch in batches:
             for x in batch.to_pylist():
                 reader = Reader(x["bundle"])
-                record = parse_record(reader.frame(x["frame"])[x["offset"] : x["offset"] + x["length"]])
+                record = parse_record(memoryview(reader.frame(x["frame"]))[x["offset"] : x["offset"] + x["length"]])
                 reader.close()
                 record.pop("end")
-                yield pa.RecordBatch.from_pylist([record], pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())]))
+                yield _batch([record], True)
 
-    return wanted.mapInArrow(seek, RECORD)
+    return wanted.mapInArrow(seek, RECORD + ", payload binary")
 
 
 def open_archive(spark: SparkSession, folder: str, index_path: str) -> Archive:
