@@ -11,6 +11,8 @@ from brontide.llm.common import table, written
 
 #: The SentencePiece model of the last stage; it must be installed on every machine.
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+#: Near copies share four fifths of their five-word shingles; 16 x 16 tables miss such a pair with 2e-5.
+NEAR = near_dup.Params(shingle=5, share=80, collection=16)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that of the smallest id."""
-    judged = near_dup.near_duplicates(docs)
+    judged = near_dup.near_duplicates(docs, params=NEAR)
     # The first of repeated rows of one id; ids that occur once go through untouched.
     gone = judged.where("NOT kept").select("doc_id").distinct()
     often = judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")

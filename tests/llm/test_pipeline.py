@@ -60,3 +60,18 @@ def test_every_stage(spark, tmp_path):
     whole = corpus_pipeline.run(spark, path)
     assert {r.doc_id for r in whole.collect()} == set(texts)
     assert whole.where(~F.col("round_trip")).count() == 0
+
+
+def test_near_copies_are_those_of_five_words_and_four_fifths(spark):
+    rnd = random.Random(5)
+    text = lambda n: [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for i in range(12):
+        base = text(404)
+        # A footer (similarity 0.82 in both shingle sizes), a replaced block, and two that are too far.
+        rows += [(100 * i, base), (100 * i + 1, base + text(88)), (100 * i + 2, base[:180] + text(40) + base[220:]), (100 * i + 3, base + text(150)), (100 * i + 4, base[:150] + text(70) + base[220:])]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    want = {c for _, c in near_components(rows, 5, 80).values()}
+    assert want != {c for _, c in near_components(rows).values()}
+    got = corpus_pipeline.near_duplicates(spark, docs_frame(spark, rows), "")
+    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
