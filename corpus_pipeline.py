@@ -22,17 +22,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that of the smallest id."""
-    judged = near_dup.near_duplicates(docs, params=NEAR)
-    # The first of repeated rows of one id; ids that occur once go through untouched.
-    gone = judged.where("NOT kept").select("doc_id").distinct()
-    often = judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    few = written(gone.select("doc_id", F.lit(True).alias("_gone")).unionByName(often.select("doc_id", F.lit(False).alias("_gone"))).groupBy("doc_id").agg(F.max("_gone").alias("_gone")), "leaving")
+    """One document of each group of near-duplicates stays: that of the smallest id.
+
+    Of an id with several texts, each goes or stays by its own set; of rows of one id and set, one stays.
+    """
+    judged = near_dup.near_duplicates_by_set(docs, params=NEAR).where("doc_id IS NOT NULL")
+    # Ids that occur once and stay go through untouched; the rows of one that occurs often are told apart by their sets.
+    fate = judged.groupBy("doc_id").agg(F.max("stays").alias("_stays"), F.count("*").alias("n")).where("NOT _stays OR n > 1")
+    few = written(fate.select("doc_id", "_stays"), "leaving")
     small = few.count() <= near_dup.BROADCAST_IDS
-    marked = docs.join(F.broadcast(few) if small else few, "doc_id", "left").where("_gone IS NULL OR NOT _gone")
-    once = marked.where("_gone IS NULL").select(docs.columns)
-    repeated = marked.where("NOT _gone").select(docs.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(repeated)
+    marked = docs.join(F.broadcast(few) if small else few, "doc_id", "left").where("_stays IS NULL OR _stays")
+    once = marked.where("_stays IS NULL").select(docs.columns)
+    repeated = marked.where("_stays").select(*docs.columns, near_dup.set_digests(NEAR.shingle, "text").alias("_digest"))
+    often = judged.join(few.where("_stays"), "doc_id", "left_semi").where("NOT stays").select("doc_id", F.col("digest").alias("_digest"))
+    repeated = repeated.join(often, ["doc_id", "_digest"], "left_anti").withColumn("_wordless", F.when(F.col("_digest").isNull(), F.col("text")))
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "_digest", "_wordless"]).select(docs.columns))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,3 +75,15 @@ def test_near_copies_are_those_of_five_words_and_four_fifths(spark):
     assert want != {c for _, c in near_components(rows).values()}
     got = corpus_pipeline.near_duplicates(spark, docs_frame(spark, rows), "")
     assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+
+
+def test_texts_of_one_id_go_and_stay_by_themselves(spark):
+    rnd = random.Random(6)
+    text = lambda: " ".join(f"w{rnd.randrange(10**9)}" for _ in range(80))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a), (5, a + " tail"), (5, b), (6, c), (6, d), (6, d), (6, d.upper()), (7, e), (7, e + " tail"), (8, ""), (8, None), (8, None), (None, a), (None, a)]
+    got = [(r.doc_id, (r.text or "").lower() if r.doc_id != 8 else r.text) for r in corpus_pipeline.near_duplicates(spark, docs_frame(spark, rows), "").collect()]
+    sevens = [t for i, t in got if i == 7]
+    assert len(sevens) == 1 and sevens[0] in (e, e + " tail")
+    want = [(1, a), (5, b), (6, c), (6, d), (8, ""), (8, None), (None, a), (None, a)]
+    assert sorted((x for x in got if x[0] != 7), key=repr) == sorted(want, key=repr)
