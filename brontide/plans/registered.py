@@ -136,6 +136,12 @@ def p16(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", text.masked(F.col("text")).alias("masked"))
 
 
+@register("p16_masked_all_texts")
+def p16_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by all patterns; the SQL of p16_masked_texts holds that query to some."""
+    return read(spark, sf_dir, "documents").select("doc_id", text.masked(F.col("text")).alias("masked"))
+
+
 @register("p17_neutral_logs", r"SELECT conv_id, turn, CASE WHEN length(t) > 200 THEN left(t, 200) || '…(+' || (length(t) - 200) || ')' ELSE t END AS neutral FROM (SELECT conv_id, turn, regexp_replace(text, '[\x00-\x1F\x7F]', ' ', 'g') AS t FROM conversations)")
 def p17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "conversations").select("conv_id", "turn", text.neutral(F.col("text"), 200).alias("neutral"))

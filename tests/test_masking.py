@@ -1,0 +1,23 @@
+"""The masking of all documents against masking by hand."""
+
+from brontide.plans import registry
+
+#: Texts and what stays of them; the first five have none of the words token, secret, key and password.
+TEXTS = [
+    ("passwd=hunter2 ok", "passwd=*** ok"),
+    ("Authorization: Bearer abc.def, next", "Authorization: Bearer ***, next"),
+    ("at postgres://joe:pw1@db/x", "at postgres://joe:***@db/x"),
+    ("post https://h.example/webhook/T1/B2 now", "post https://h.example/webhook/*** now"),
+    ("jwt eyJhbGci.eyJzdWIi.c2ln end", "jwt *** end"),
+    ("-----BEGIN RSA PRIVATE KEY-----\nMIIE\n-----END RSA PRIVATE KEY-----", "***"),
+    ("api_key: 'k1' token=t1&x=2", "api_key: '***' token=***&x=2"),
+    ("plain text", "plain text"),
+    (None, None),
+]
+
+
+def test_all_documents_are_masked_by_all_patterns(spark, tmp_path):
+    rows = [(i, t) for i, (t, _) in enumerate(TEXTS)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.queries()["p16_masked_all_texts"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.masked for r in got} == {i: want for i, (_, want) in enumerate(TEXTS)} and len(got) == len(TEXTS)
