@@ -5,9 +5,9 @@ encoded as shares of character classes and a hashed bag of byte triples. Gated a
 each passage a weight, the weighted mean represents the text, and a logistic layer scores it.
 Attention and score are learned together from document labels only.
 
-Learning takes a sample of labelled rows bounded by MAX_TRAIN and, of long ones, evenly spaced
-passages bounded by MAX_PASSAGES; scoring takes every passage of every text. Labels, language,
-source and id are never inputs.
+Learning takes whole bags of a sample of labelled rows, bounded by MAX_TRAIN rows and, together,
+MAX_PASSAGES passages; scoring takes every passage of every text. Labels, language, source and
+id are never inputs.
 
 Defined results: a null or empty text has one passage of nothing and a score like any other;
 without labels of both kinds every score is the share of label 1, or 0.5 without any; of
@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brontide.llm.common import text_of
+from brontide.llm.common import text_of, written
 
 PASSAGE_BYTES = 1024
 TRIPLES = 64
-#: Documents and passages of each that learning takes, chosen by a hash of the id.
+#: Documents that learning takes, chosen by a hash of the id, and passages of all of them: in the
+#: order of the hash, a document whose whole bag no longer fits is left out.
 MAX_TRAIN = 4000
-MAX_PASSAGES = 16
+MAX_PASSAGES = 64_000
 HIDDEN = 16
 STEPS = 300
 RATE = 0.02
@@ -134,15 +135,19 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> Model:
 
 @F.arrow_udf(T.BinaryType())
 def _bags(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Evenly spaced passages of each text, as float32 bytes."""
+    """All passages of each text, as float32 bytes."""
     for texts in batches:
-        out = []
-        for t in texts:
-            x = passages(t.as_py())
-            if len(x) > MAX_PASSAGES:
-                x = x[np.linspace(0, len(x) - 1, MAX_PASSAGES).astype(int)]
-            out.append(x.tobytes())
-        yield pa.array(out, pa.binary())
+        yield pa.array([passages(t.as_py()).tobytes() for t in texts], pa.binary())
+
+
+def whole_bags(sizes: list[int]) -> list[int]:
+    """Places of the documents that learning takes; sizes: their passages, in the order of the hash."""
+    taken, left = [], MAX_PASSAGES
+    for i, n in enumerate(sizes):
+        if n <= left:
+            taken.append(i)
+            left -= n
+    return taken
 
 
 def held_out(id_col: str):
@@ -154,7 +159,13 @@ def learn(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     own = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.min(label_col).alias("_label"))
     # A bounded sample, so its ids can be broadcast; chosen by hash, not by place.
     chosen = own.orderBy(F.xxhash64(id_col), id_col).limit(MAX_TRAIN)
-    rows = docs.select(id_col, text_of(text_col).alias("_text")).join(F.broadcast(chosen), id_col).dropDuplicates([id_col])
+    rows = docs.select(id_col, text_of(text_col).alias("_text")).join(F.broadcast(chosen), id_col)
+    # Of several texts of one id the smallest counts, as the lengths and the bags are read apart.
+    texts = written(rows.groupBy(id_col, "_label").agg(F.min("_text").alias("_text")), "labelled")
+    n = F.greatest(F.lit(1), F.ceil(F.octet_length("_text") / PASSAGE_BYTES))
+    sizes = texts.select(id_col, F.xxhash64(id_col).alias("_hash"), n.alias("_n")).orderBy("_hash", id_col).collect()
+    taken = [sizes[i][0] for i in whole_bags([r["_n"] for r in sizes])]
+    rows = texts.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in taken], texts.select(id_col).schema)), id_col)
     found = sorted(rows.select(id_col, "_label", _bags("_text").alias("bag")).collect(), key=lambda r: r[0])
     return fit([np.frombuffer(r["bag"], np.float32).reshape(-1, WIDTH) for r in found], np.array([float(r["_label"] >= 1) for r in found]))
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -204,3 +205,18 @@ def test_gradients_are_right():
     model = quality.fit(bags, labels)
     x = (bags[0] - model.mean) / model.scale
     assert model.weights(x).sum() == pytest.approx(1)
+
+
+def test_learning_takes_whole_bags_or_none(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, labels: seen.append((bags, labels)))
+    rows = [(i, " ".join(WORDS[i : i + 30])) for i in range(40)] + [(50, " ".join(WORDS * 12)), (51, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    quality.learn(docs_frame(spark, rows), labels)
+    want = [quality.passages(t or "") for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert max(map(len, want)) > 60
+    assert len(seen[0][0]) == len(want) and all((a == b).all() for a, b in zip(seen[0][0], want, strict=True))
+    monkeypatch.setattr(quality, "MAX_PASSAGES", 50)
+    quality.learn(docs_frame(spark, rows), labels)
+    short = [x for x in want if len(x) <= 50]
+    assert [len(b) for b in seen[1][0]] == [len(b) for b in short]
