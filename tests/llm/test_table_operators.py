@@ -31,9 +31,9 @@ def near_rows(seed=1):
     return rows
 
 
-@pytest.mark.parametrize("small", [near_dup.FULL_UP_TO, (0, 3, 5), ()])
+@pytest.mark.parametrize("small", [near_dup.SMALL, 3])
 def test_components_are_those_of_all_pairs(spark, monkeypatch, small):
-    monkeypatch.setattr(near_dup, "FULL_UP_TO", small)
+    monkeypatch.setattr(near_dup, "SMALL", small)
     rows = near_rows()
     want = near_components(rows)
     got = near_dup.near_duplicates(docs_frame(spark, rows).withColumn("kept", F.lit(1))).collect()
@@ -45,7 +45,7 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, small):
 
 def test_near_duplicates_beyond_the_broadcast_bound_and_edges(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BROADCAST_IDS", 0)
-    monkeypatch.setattr(near_dup, "FULL_UP_TO", (0, 2))
+    monkeypatch.setattr(near_dup, "SMALL", 2)
     rows = near_rows(3)
     want = near_components(rows)
     more = rows + [(None, rows[0][1]), rows[5], rows[5]]
