@@ -1,19 +1,25 @@
 """SentencePiece encoding and decoding by streaming Viterbi.
 
-Text is read once. For every boundary the best path's last piece is kept; a path may go on
-only with pieces of at most the longest piece's length, so only boundaries in that window
-survive. As soon as the backpointers of all survivors lead to one boundary, the ids before it
-are committed and forgotten.
-
-Two kinds of model are read. Unigram: a path's worth is the sum of its scores, and an unknown
-character costs the model's penalty. BPE: a sequence of pieces is the model's encoding exactly
-if each neighbouring pair is the encoding of its own concatenation, so a path may take a piece
-only after one that agrees with it; then each boundary has one path, and ids equal those that
-merging gives. Unknown characters become bytes where the model has them.
+Normalised text is fed to one stream. For every boundary the best path's last piece is kept; a
+path may go on only with pieces of at most the longest piece's length, so only boundaries in
+that window survive. As soon as the backpointers of all survivors lead to one boundary, the ids
+before it are committed and forgotten.
+
+At some boundaries all paths meet whatever is around: before a space mark, around a line end
+that no piece has, between a letter and a mark that no piece has side by side. Between two of
+them lies a part, which always gets the same ids; a worker remembers those of short parts, and
+every part that it does not remember goes through the stream.
+
+Two kinds of model are read. Unigram: a path's worth is the sum of its scores. BPE: a sequence
+of pieces is the model's encoding exactly if each neighbouring pair is the encoding of its own
+concatenation, so a path may take a piece only after one that agrees with it; then each boundary
+has one path, and ids equal those that merging gives. Unknown characters become bytes where the
+model has them.
 
 Defined results: a null text has null ids; an empty text has none; decoding null gives null;
-ids without a piece fail; repeated rows get equal ids; result columns replace input columns of
-the same name. Very long texts need memory for their ids, and for paths that have not met.
+ids without a piece fail; repeated rows get equal ids; an empty table gives no rows; result
+columns replace input columns of the same name, and no other names are used. A very long text
+needs memory for its normalised form and its ids, and the stream for paths that have not met.
 """
 
 from __future__ import annotations
@@ -28,15 +34,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words and pairs of pieces that a worker process remembers. Words have two generations: when
-#: the young one is full it becomes the old one, and what is met again comes back young.
-MEMO_WORDS = 120_000
+from brontide.llm.common import release
+
+#: Parts and pairs of pieces that a worker process remembers while a task runs. Parts have two
+#: generations: when the young one is full it becomes the old one, and what is met again comes
+#: back young.
+MEMO_WORDS = 150_000
 MEMO_PAIRS = 200_000
 MEMO_CHARS = 32
 SPACE = "▁"
 #: Rows that are encoded or decoded at once.
 ROWS = 256
-#: Stands before the first piece of a word; larger than any id.
+#: Characters that the stream takes before it looks for paths that have met.
+CHUNK = 64
+#: Stands before the first piece of a run; larger than any id.
 _START = (1 << 20) - 1
 
 
@@ -59,15 +70,10 @@ class Vocabulary:
         self.byte_ids = [byte_ids[b] for b in range(256)] if len(byte_ids) == 256 else None
         self.bytes = {i: b for b, i in byte_ids.items()}
         self.longest = max(map(len, self.ids), default=1)
-        #: The longest piece that ends with a character; 0 for characters in no piece.
-        self.longest_to: dict[str, int] = {}
-        for p in self.ids:
-            self.longest_to[p[-1]] = max(self.longest_to.get(p[-1], 0), len(p))
         self.chars = {c for p in self.ids for c in p}
         # Merge models number their pieces by rank: whole negative scores, in order.
         normal = [s for i, s in enumerate(self.scores) if not special[i] and len(self.pieces[i]) > 1 and self.pieces[i].strip(SPACE)]
         self.merges = bool(normal) and all(s == int(s) for s in normal) and normal == sorted(normal, reverse=True)
-        self.penalty = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
         inside = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         #: Where paths always meet: before a space mark behind other characters, around a line
         #: end that no piece has, and between a letter and a mark that no piece has side by side.
@@ -79,29 +85,38 @@ class Vocabulary:
         word = f"{SPACE}*[{letters}]+(?=[{marks}])|" if marks else ""
         self.cut = None if inside else re.compile(f"{word}{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + (f"|{line}" if line else ""))
 
+        self.index()
+
+    def index(self) -> None:
+        """The automaton that finds all pieces ending at each character, with id and length, and
+        the pattern of runs of known characters and single unknown ones."""
         import ahocorasick
 
-        #: Finds all pieces that end at each character, with id and length.
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
+        known = "".join(re.escape(c) for c in sorted(c for c in self.chars if c in self.ids))
+        self.runs = re.compile(f"[{known}]+|(?s:.)" if known else "(?s:.)")
 
     def normalised(self, text: str) -> str:
         return self.library.normalize(text)
 
 
 class Viterbi:
-    """Encodes one stream of normalised characters; holds only what is not committed."""
+    """Encodes one stream of normalised text; holds only what is not committed."""
 
-    def __init__(self, vocabulary: Vocabulary, pairs: dict[tuple[str, str], bool] | None = None):
-        self.v, self.pairs = vocabulary, {} if pairs is None else pairs
-        self.id_pairs: dict[int, bool] = {}
+    def __init__(self, vocabulary: Vocabulary):
+        self.v = vocabulary
+        self.pairs: dict[int, bool] = {}
+        self.made: dict[int, tuple[int, int] | None] = {}
+        self.is_whole: dict[int, bool] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """Plain merging of a short text: the best-scored neighbours first, leftmost of equals."""
+    def merged(self, text: str, least: int = 1) -> list[str]:
+        """Plain merging of a short text: the best-scored neighbours first, leftmost of equals,
+        until `least` parts are left or nothing merges."""
         parts, ids, scores = list(text), self.v.ids, self.v.scores
-        while len(parts) > 1:
+        while len(parts) > least:
             best, at = -np.inf, -1
             for k in range(len(parts) - 1):
                 i = ids.get(parts[k] + parts[k + 1])
@@ -112,114 +127,164 @@ class Viterbi:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def agree(self, a: str, b: str) -> bool:
-        """Whether merging keeps a and b apart and whole. a is empty at the start."""
-        key = (a, b)
-        known = self.pairs.get(key)
+    def halves(self, piece: int) -> tuple[int, int] | None:
+        """The two pieces whose merge makes a piece; none for a character, or for a piece that
+        merging never makes, which is its own end."""
+        known = self.made.get(piece, False)
+        if known is False:
+            parts = self.merged(self.v.pieces[piece], 2)
+            ids = [self.v.ids.get(x) for x in parts]
+            known = self.made[piece] = tuple(ids) if len(ids) == 2 and None not in ids else None
+        return known
+
+    def whole(self, piece: int) -> bool:
+        """Whether merging its characters gives the piece."""
+        text = self.v.pieces[piece]
+        known = self.is_whole.get(piece)
         if known is None:
-            if len(self.pairs) > MEMO_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merged(a + b) == ([a, b] if a else [b])
+            known = self.is_whole[piece] = self.merged(text) == [text]
         return known
 
-    def encode(self, chars: Iterable[str]) -> Iterator[int]:
-        """Ids of the characters, in parts as paths meet."""
-        v = self.v
-        merges, ids, longest = v.merges, v.ids, v.longest
-        window = ""  # the last characters, at most the longest piece
-        end = base = 0  # boundaries read and committed
-        back: dict[int, tuple[int, str]] = {0: (0, "")}  # boundary -> (where its last piece starts, the piece)
-        worth: dict[int, float] = {0: 0.0}
-        for c in chars:
-            end += 1
-            window = (window + c)[-longest:]
-            best = None
-            most = v.longest_to.get(c, 0)
-            for n in range(min(most, len(window), end - base), 0, -1):
-                start = end - n
-                piece = window[-n:]
-                if piece not in ids or start not in back:
+    def agree(self, key: int) -> bool:
+        """Whether merging keeps a piece whole behind another; key holds both ids. Both are
+        taken apart from the border on, the later merge first: while both are whole, no pair
+        across the border may have merged before the parts that it takes were merged away."""
+        if len(self.pairs) > MEMO_PAIRS:
+            self.pairs.clear()
+        a, b = key >> 20, key & _START
+        known = self.whole(b) and (a == _START or self.whole(a) and self._apart(a, b))
+        self.pairs[key] = known
+        return known
+
+    def _apart(self, a: int, b: int) -> bool:
+        scores, ids, pieces = self.v.scores, self.v.ids, self.v.pieces
+        # The merge just taken back; a pair across that merges before it parts what it made. Of
+        # equal merges the left one comes first.
+        limit, strict = -np.inf, False
+        while True:
+            across = ids.get(pieces[a] + pieces[b])
+            if across is not None and (scores[across] > limit or not strict and scores[across] == limit):
+                return False
+            left, right = self.halves(a), self.halves(b)
+            if left is None and right is None:
+                return True
+            # Of the two, the one that was merged last is taken apart; of equals the right one.
+            if right is None or left is not None and scores[a] < scores[b]:
+                limit, strict, a = scores[a], True, left[1]
+            else:
+                limit, strict, b = scores[b], False, right[0]
+
+    def encode(self, chunks: Iterable[str]) -> Iterator[int]:
+        """Ids of a text that comes in chunks, in parts as paths meet."""
+        stream, unknown = None, False
+        for chunk in chunks:
+            for run in self.v.runs.findall(chunk):
+                if run in self.v.ids or len(run) > 1:
+                    stream, unknown = stream or _Stream(self), False
+                    yield from stream.feed(run)
+                    continue
+                if stream:
+                    yield from stream.finish()
+                    stream = None
+                if self.v.byte_ids:
+                    yield from (self.v.byte_ids[x] for x in run.encode("utf-8", "replace"))
+                elif not unknown:
+                    yield self.v.unknown
+                unknown = True
+        if stream:
+            yield from stream.finish()
+
+    def part(self, text: str) -> list[int]:
+        """The ids of a whole part."""
+        runs = self.v.runs.findall(text)
+        if len(runs) == 1 and (len(text) > 1 or text in self.v.ids):
+            stream = _Stream(self)
+            return stream.feed(text) + stream.finish()
+        return list(self.encode((text,)))
+
+
+class _Stream:
+    """A run of known characters on its way. Lists start at the last commit: for each boundary
+    behind it the last piece of its path, where that piece starts, and the path's worth."""
+
+    def __init__(self, viterbi: Viterbi):
+        self.viterbi, self.v = viterbi, viterbi.v
+        self.scan = self.v.automaton.iter("")
+        self.base = 0
+        self.last: list[int | None] = [_START]
+        self.back = [0]
+        self.worth = [0.0]
+
+    def feed(self, run: str) -> list[int]:
+        """Takes more characters; gives the ids that are committed by then."""
+        out: list[int] = []
+        for k in range(0, len(run), CHUNK):
+            self._feed(run[k : k + CHUNK])
+            if len(self.last) > 2 * self.v.longest:
+                out += self.commit()
+        return out
+
+    def _feed(self, run: str) -> None:
+        self.scan.set(run)
+        last, back, worth, pairs, agree = self.last, self.back, self.worth, self.viterbi.pairs, self.viterbi.agree
+        more, base = len(run), self.base - 1
+        last += [None] * more
+        back += [0] * more
+        if not self.v.merges:
+            worth += [0.0] * more
+            scores = self.v.scores
+            for at, (piece, size) in self.scan:
+                at -= base
+                start = at - size
+                if start < 0 or last[start] is None:
                     continue
-                if merges:
-                    if self.agree("" if start == base and base == 0 else back[start][1], piece):
-                        best = (start, piece)
-                        break
-                else:
-                    value = worth[start] + v.scores[ids[piece]]
-                    if best is None or value > worth[end]:
-                        best, worth[end] = (start, piece), value
-            if best is None or not merges and c not in ids:
-                # A character of its own that is in no piece, or beside the pieces there are.
-                value = worth.get(end - 1, 0.0) + v.penalty
-                if best is None or value > worth[end]:
-                    best, worth[end] = (end - 1, c), value
-            back[end] = best
-            if c not in v.chars:
-                yield from self._ids(back, base, end)
-                back, worth, base = {end: (end, "")}, {end: worth.get(end, 0.0)}, end
-            elif end - base >= 2 * longest:
-                # Boundaries that a later piece can start at; walk back the latest until one is left.
-                alive = {b for b in range(end - longest + 1, end + 1) if b in back}
-                while len(alive) > 1:
-                    last = max(alive)
-                    alive.remove(last)
-                    alive.add(back[last][0])
-                    if min(alive) <= base:
-                        break
-                met = min(alive)
-                if len(alive) == 1 and met > base:
-                    yield from self._ids(back, base, met)
-                    keep = back[met][1]
-                    back = {b: x for b, x in back.items() if b > met}
-                    worth = {b: x for b, x in worth.items() if b >= met}
-                    back[met], base = (met, keep), met
-        yield from self._ids(back, base, end)
-
-    def short(self, word: str) -> list[int]:
-        """The ids of a word that fits in the window, for models that merge: the same paths over
-        ids, as nothing needs to be committed on the way. Every character is in some piece."""
-        n, pairs = len(word), self.id_pairs
-        last: list[int | None] = [_START] + [None] * n
-        back = [0] * (n + 1)
-        for end, (piece, size) in self.v.automaton.iter(word):
-            start = end + 1 - size
+                value = worth[start] + scores[piece]
+                if last[at] is None or value > worth[at]:
+                    last[at], back[at], worth[at] = piece, start, value
+            return
+        for at, (piece, size) in self.scan:
+            at -= base
+            # Pieces come by their end, the longest first; the first that agrees is the path's.
+            if last[at] is not None:
+                continue
+            start = at - size
+            if start < 0:
+                continue
             before = last[start]
-            if before is None or last[end + 1] is not None:
+            if before is None:
                 continue
             key = before << 20 | piece
             known = pairs.get(key)
-            if known is None:
-                if len(pairs) > MEMO_PAIRS:
-                    pairs.clear()
-                a, b = "" if before == _START else self.v.pieces[before], self.v.pieces[piece]
-                known = pairs[key] = self.merged(a + b) == ([a, b] if a else [b])
-            if known:
-                last[end + 1], back[end + 1] = piece, start
+            if agree(key) if known is None else known:
+                last[at], back[at] = piece, start
+
+    def commit(self) -> list[int]:
+        """Ids before the boundary where the paths of all boundaries in the window meet."""
+        first = max(0, len(self.last) - self.v.longest)
+        alive = {b for b in range(first, len(self.last)) if self.last[b] is not None}
+        while len(alive) > 1:
+            latest = max(alive)
+            alive.remove(latest)
+            alive.add(self.back[latest])
+            if 0 in alive:
+                return []
+        met = alive.pop() if alive else 0
+        out = self.path(met)
+        self.last, self.worth = self.last[met:], self.worth[met:]
+        self.back = [max(0, b - met) for b in self.back[met:]]
+        self.base += met
+        return out
+
+    def path(self, at: int) -> list[int]:
         out = []
-        while n:
-            out.append(last[n])
-            n = back[n]
+        while at:
+            out.append(self.last[at])
+            at = self.back[at]
         out.reverse()
         return out
 
-    def _ids(self, back: dict[int, tuple[int, str]], base: int, end: int) -> list[int]:
-        pieces = []
-        while end > base:
-            end, piece = back[end]
-            pieces.append(piece)
-        return self._ids_of(reversed(pieces))
-
-    def _ids_of(self, pieces: Iterable[str]) -> list[int]:
-        out: list[int] = []
-        for p in pieces:
-            i = self.v.ids.get(p)
-            if i is not None:
-                out.append(i)
-            elif self.v.byte_ids:
-                out += [self.v.byte_ids[b] for b in p.encode("utf-8", "replace")]
-            elif not out or out[-1] != self.v.unknown:
-                out.append(self.v.unknown)
-        return out
+    def finish(self) -> list[int]:
+        return self.path(len(self.last) - 1)
 
 
 class Encoder:
@@ -235,7 +300,7 @@ class Encoder:
         """The ids as 32-bit integers in a row."""
         normal = self.v.normalised(text)
         if self.v.cut is None or (not self.v.merges and not self.v.byte_ids):
-            return array("i", self.viterbi.encode(normal)).tobytes()
+            return array("i", self.viterbi.encode((normal,))).tobytes()
         young, out = self.young, []
         for w in self.v.cut.findall(normal):
             ids = young.get(w)
@@ -249,9 +314,12 @@ class Encoder:
             out.append(ids)
         return b"".join(out)
 
-    def _new(self, word: str) -> bytes:
-        known = self.v.merges and len(word) <= MEMO_CHARS and self.v.chars.issuperset(word)
-        return array("i", self.viterbi.short(word) if known else self.viterbi.encode(word)).tobytes()
+    def _new(self, part: str) -> bytes:
+        return array("i", self.viterbi.part(part)).tobytes()
+
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+        self.viterbi.pairs.clear()
 
 
 class Decoder:
@@ -325,6 +393,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
             values = pa.array(np.frombuffer(b"".join(x for x in ids if x), np.int32))
             mask = pa.array([x is None for x in ids])
             yield _with(batch, ids_col, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=mask))
+        own.forget()
+        release()
 
     docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
     return docs.mapInArrow(encoded, _schema(docs, ids_col, T.ArrayType(T.IntegerType())))
@@ -338,5 +408,6 @@ def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", text_col: str
         for batch in _slices(batches):
             texts = [None if x is None else own.decode(x) for x in (i.values.to_numpy().tolist() if i.is_valid else None for i in batch.column(ids_col))]
             yield _with(batch, text_col, pa.array(texts, pa.string()))
+        release()
 
     return docs.mapInArrow(decoded, _schema(docs, text_col, T.StringType()))
