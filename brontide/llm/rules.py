@@ -5,10 +5,16 @@ they bring on labelled rows of the growing part, pruned on the other part, and k
 precise there; the rows it covers go, and the next rule is grown. Only label counts by bin
 reach the driver: features x bins x 2 labels x 2 parts numbers, whatever the table's size.
 
+Texts are never written on the way: statistics of labelled rows are learned from, and the
+result computes those of every row where it is read.
+
 Defined results: a null or wordless text has no words, so it fails the base rule and is not
 kept; rows without a label take no part in learning; of several labels of one id the lowest
 counts; without labelled rows the list is empty and only the base rule rejects; repeated rows
-get equal verdicts; result columns replace input columns of the same name.
+get equal verdicts; an empty table gives no rows; result columns replace input columns of the
+same name, and working columns take names that the input does not have. Windows are sorted by
+hash and compared by their words, so a very long text costs time in proportion to n log n and
+memory for its words and windows.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brontide.llm.common import text_of, written
+from brontide.llm.common import free_names, text_of, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Features that the learned conditions use.
@@ -29,65 +35,64 @@ MAX_RULES = 8
 MAX_CONDITIONS = 3
 MIN_PRECISION = 0.95
 MIN_COVERED = 4
+#: Up to so many labelled ids are broadcast to the texts.
+BROADCAST_LABELS = 1_000_000
 
 
-def repeated_words(words: Column, n: Column, bits: Column) -> Column:
-    """Of an array of words: how many lie in 3-word windows that occur at least twice.
-
-    Each window becomes one long: its hash, shifted by as many bits as an index needs, and the
-    index. Sorted, equal windows are neighbours, and their indices give the words covered.
-    """
-    get = lambda a, i: F.get(a, i)
-    coded = F.transform(words, lambda w, i: F.call_function("shiftleft", F.xxhash64(w, get(words, i + 1), get(words, i + 2)), bits).bitwiseOR(i.cast("long")))
-    return F.when(n >= 4, F.sort_array(F.slice(coded, F.lit(1), F.greatest(n - 2, F.lit(0)))))
+def sorted_windows(words: Column, n: Column) -> Column:
+    """Of an array of words: its 3-word windows as (hash, words, place), equal ones side by side."""
+    get = lambda i: F.get(words, i)
+    each = F.transform(words, lambda w, i: F.struct(F.xxhash64(w, get(i + 1), get(i + 2)).alias("h"), w.alias("a"), get(i + 1).alias("b"), get(i + 2).alias("c"), i.alias("i")))
+    return F.when(n >= 4, F.sort_array(F.slice(each, F.lit(1), F.greatest(n - 2, F.lit(0)))))
 
 
 def text_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     """df with the base counts and the features, from whole texts."""
     text = text_of(text_col)
     count = lambda chars: F.regexp_count(text, F.lit(chars)).cast("long")
-    out = df.withColumn("_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-    out = out.withColumn("_n", F.size("_words"))
-    out = out.withColumn("_bits", F.length(F.bin(F.col("_n").cast("long"))))
+    words, n, windows, lines, at, n_lines, upper, marks, digits = free_names(df, "words", "n", "windows", "lines", "at", "n_lines", "upper", "marks", "digits")
+    out = df.withColumn(words, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    out = out.withColumn(n, F.size(words))
     out = out.withColumns(
         {
-            "_coded": repeated_words(F.col("_words"), F.col("_n"), F.col("_bits")),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-            "_lines": F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD)),
+            windows: sorted_windows(F.col(words), F.col(n)),
+            "word_chars": F.length(F.array_join(words, "")).cast("long"),
+            lines: F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD)),
         }
     )
-    high = lambda x: F.call_function("shiftright", x, F.col("_bits"))
-    same = lambda x, i: high(x) == high(F.get("_coded", i))
-    twice = F.filter("_coded", lambda x, i: same(x, i + 1) | same(x, i - 1))
-    low = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1
-    out = out.withColumn("_at", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(low))))
-    covered = F.transform("_at", lambda x, i: F.coalesce(F.least(F.get("_at", i + 1) - x, F.lit(3).cast("long")), F.lit(3).cast("long")))
+    def same(x: Column, i: Column) -> Column:
+        y = F.get(F.col(windows), i)
+        return F.coalesce((x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"]), F.lit(False))
+
+    twice = F.filter(windows, lambda x, i: same(x, i + 1) | same(x, i - 1))
+    out = out.withColumn(at, F.sort_array(F.transform(twice, lambda x: x["i"])))
+    covered = F.transform(at, lambda x, i: F.coalesce(F.least(F.get(at, i + 1) - x, F.lit(3)), F.lit(3)).cast("long"))
     out = out.withColumns(
         {
-            "n_words": F.col("_n").cast("long"),
+            "n_words": F.col(n).cast("long"),
             "n_symbols": count(r"[#*$%&|<>]"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+            "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
             "n_repeat_words": F.coalesce(F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long")),
-            "_n_lines": F.size("_lines"),
-            "_upper": count(r"\p{Lu}"),
-            "_marks": count(r"[!?]"),
-            "_digits": count(r"[0-9]"),
+            n_lines: F.size(lines),
+            upper: count(r"\p{Lu}"),
+            marks: count(r"[!?]"),
+            digits: count(r"[0-9]"),
         }
     )
     share = lambda a, b: F.coalesce(F.col(a) / F.nullif(F.col(b), F.lit(0)), F.lit(0.0))
     out = out.withColumns(
         {
             "symbols_per_char": share("n_symbols", "word_chars"),
-            "upper_per_char": share("_upper", "word_chars"),
-            "marks_per_word": share("_marks", "n_words"),
-            "digits_per_char": share("_digits", "word_chars"),
-            "dup_line_share": share("n_dup_lines", "_n_lines"),
+            "upper_per_char": share(upper, "word_chars"),
+            "marks_per_word": share(marks, "n_words"),
+            "digits_per_char": share(digits, "word_chars"),
+            "dup_line_share": share("n_dup_lines", n_lines),
             "repeat_share": share("n_repeat_words", "n_words"),
             "chars_per_word": share("word_chars", "n_words"),
             "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
         }
     )
-    return out.drop("_words", "_n", "_bits", "_coded", "_lines", "_at", "_n_lines", "_upper", "_marks", "_digits")
+    return out.drop(words, n, windows, lines, at, n_lines, upper, marks, digits)
 
 
 @dataclass(frozen=True)
@@ -177,21 +182,22 @@ def rule_column(rules: list[list[Condition]]) -> Column:
     return out
 
 
-def labelled_rows(features: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
-    """The features of labelled rows with bad and part; narrow, and written once."""
-    own = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg((F.min(label_col) < 1).cast("int").alias("bad"))
-    rows = features.select(F.col(id_col).alias("_id"), *FEATURES).join(own, "_id")
-    part = (F.pmod(F.xxhash64("_id"), F.lit(3)) == 0).cast("int")
-    return written(rows.select(*FEATURES, "bad", part.alias("part")), "labelled")
-
+def labelled_rows(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """The features of labelled rows with bad and part; narrow, and written once. Up to
+    BROADCAST_LABELS ids are broadcast, so only labelled texts are counted; beyond it every
+    text is, and the narrow statistics are joined."""
+    own = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.min(label_col) < 1).cast("int").alias("bad"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if own.count() <= BROADCAST_LABELS:
+        features = text_statistics(rows.join(F.broadcast(own), "id"))
+    else:
+        features = text_statistics(rows).select("id", *FEATURES).join(own, "id")
+    part = (F.pmod(F.xxhash64("id"), F.lit(3)) == 0).cast("int")
+    return written(features.select(*FEATURES, "bad", part.alias("part")), "labelled")
 
-def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality", keep_text: bool = True) -> DataFrame:
-    """docs with the statistics, base_failed, rule (the learned rule that holds) and kept.
 
-    Rows and their statistics are written once, as both learning and judging read them;
-    keep_text=False leaves the text out of that.
-    """
+def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """docs with the statistics, base_failed, rule (the learned rule that holds) and kept."""
+    rules = learn_rules(labelled_rows(docs, labels, text_col, id_col, label_col))
     counted = text_statistics(docs, text_col)
-    counted = written(counted if keep_text else counted.drop(text_col), "statistics")
-    rules = learn_rules(labelled_rows(counted, labels, id_col, label_col))
     return counted.withColumn("rule", rule_column(rules)).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
