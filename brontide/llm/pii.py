@@ -10,8 +10,10 @@ reach the driver: some hundreds, whatever the table's size.
 
 Defined results: a null text is empty and has no spans; without candidates nothing is learned
 or added; repeated rows get equal spans; an empty table gives no rows; result columns replace
-input columns of the same name. Patterns are possessive, so very long texts neither backtrack
-nor recurse. Offsets are code points, ends exclusive.
+input columns of the same name, and working columns take names that the input does not have.
+Patterns are possessive, so very long texts neither backtrack nor recurse; context comes from
+the gap before a match and pieces from slices, so texts are passed over once, and only the short
+lists of spans are copied as they grow. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brontide.llm.common import text_of, written
+from brontide.llm.common import free_names, text_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: What is found leftmost and without overlap for each kind; the same spans as the plain
@@ -54,7 +56,9 @@ CONTEXT_CHARS = 40
 #: Added spans need this probability.
 ACCEPT = 0.9
 EM_STEPS = 50
-#: First guesses of P(vote | class) for votes -1, 0, 1; they weigh as much as half the data.
+#: First guesses of P(vote | class) for votes -1, 0, 1; in each step they weigh as much as
+#: PRIOR candidates, whatever the data's size.
+PRIOR = 20
 _GUESS = {
     "regex": ((0.70, 0.28, 0.02), (0.02, 0.28, 0.70)),
     "gazetteer": ((0.50, 0.35, 0.15), (0.10, 0.35, 0.55)),
@@ -88,18 +92,19 @@ def valid(kind: str, value: Column) -> Column:
 
 
 def _spans(text: Column, pattern: str) -> Column:
-    """Matches with their offsets: the gaps between matches come from a split by the same
-    pattern, and lengths of gaps and matches add up to offsets."""
+    """Matches with their offsets and what comes before them: the gaps between matches come from
+    a split by the same pattern, and lengths of gaps and matches add up to offsets."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("gap"), found.alias("found"))
-    first = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<struct<start:int,end:int,value:string>>)").alias("spans"))
+    gaps = F.split(text, pattern, -1)  # one more than the matches
+    pairs = F.zip_with(gaps, found, lambda g, v: F.struct(F.length(g).alias("gap"), F.substring(g, -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"), v.alias("value")))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string,before:string>>").alias("spans"))
 
     def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["0"])
-        end = start + F.length(x["1"])
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(start.alias("start"), end.alias("end"), x["1"].alias("value")))).alias("spans"))
+        start = acc["at"] + x["gap"]
+        end = start + F.length(x["value"])
+        own = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"), x["before"].alias("before"))
+        return F.struct(F.coalesce(end, acc["at"]).alias("at"), F.when(x["value"].isNotNull(), F.concat(acc["spans"], F.array(own))).otherwise(acc["spans"]).alias("spans"))
 
-    pairs = F.transform(pairs, lambda x: F.struct(x.getField("gap").alias("0"), x.getField("found").alias("1")))
     return F.aggregate(pairs, first, add, lambda acc: acc["spans"])
 
 
@@ -125,8 +130,7 @@ def _candidates(text: Column, kind: str, extra: bool) -> Column:
     check = (lambda x: F.lit(False)) if extra else (lambda x: valid(kind, x["value"]))
 
     def described(x: Column) -> Column:
-        at = F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0))
-        before = F.lower(F.substring(text, at + 1, x["start"] - at))
+        before = F.lower(x["before"])
         return F.struct(
             x["start"].alias("start"),
             x["end"].alias("end"),
@@ -144,14 +148,17 @@ def _candidates(text: Column, kind: str, extra: bool) -> Column:
     return F.when(hint & text.rlike(pattern), F.transform(_spans(text, pattern), described))
 
 
-def find_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with _candidates: start, end, kind, base, votes and features of every candidate."""
-    out = docs.withColumn("_text", text_of(text_col))
+CANDIDATE = "array<struct<start:int,end:int,kind:int,base:boolean,regex:int,gazetteer:int,context:int,size:int,grouped:int>>"
+
+
+def find_candidates(docs: DataFrame, text_col: str = "text", name: str = "candidates") -> DataFrame:
+    """docs with every candidate: start, end, kind, base, votes and features."""
+    text, *found = free_names(docs, "plain", *(f"c{i}" for i in range(len(BASE) + len(EXTRA))))
+    out = docs.withColumn(text, text_of(text_col))
     kinds = [(k, False) for k in BASE] + [(k, True) for k in EXTRA]
-    found = {f"_c{i}": _candidates(F.col("_text"), kind, extra) for i, (kind, extra) in enumerate(kinds)}
-    out = out.withColumns(found)
-    empty = F.array().cast("array<struct<start:int,end:int,kind:int,base:boolean,regex:int,gazetteer:int,context:int,size:int,grouped:int>>")
-    return out.withColumn("_candidates", F.concat(*(F.coalesce(F.col(c), empty) for c in found))).drop("_text", *found)
+    out = out.withColumns({c: _candidates(F.col(text), kind, extra) for c, (kind, extra) in zip(found, kinds, strict=True)})
+    empty = F.array().cast(CANDIDATE)
+    return out.withColumn(name, F.concat(*(F.coalesce(F.col(c), empty) for c in found))).drop(text, *found)
 
 
 def _estimate(patterns: list[dict]) -> None:
@@ -168,7 +175,7 @@ def _estimate(patterns: list[dict]) -> None:
         share = (sum(x["n"] * x["p"] for x in patterns) + 1) / (total + 2)
         for k in LABELERS:
             for y in (0, 1):
-                mass = [total * g / 2 for g in _GUESS[k][y]]
+                mass = [PRIOR * g for g in _GUESS[k][y]]
                 for x in patterns:
                     mass[x[k] + 1] += x["n"] * (x["p"] if y else 1 - x["p"])
                 rates[k][y] = [m / sum(mass) for m in mass]
@@ -208,17 +215,16 @@ def _score(models, x: Column) -> Column:
 def find_pii(docs: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """docs with base_spans and spans: arrays of (start, kind, end), kind an index into KINDS,
     by start and kind. Rows and candidates are written once, as learning and scoring read them."""
-    found = find_candidates(docs, text_col)
+    all_, base, added = free_names(docs, "candidates", "base", "added")
+    found = find_candidates(docs, text_col, all_)
     found = written(found if keep_text else found.drop(text_col), "candidates")
-    votes = found.select(F.explode("_candidates").alias("x")).groupBy("x.kind", *(f"x.{f}" for f in _FEATURES)).agg(F.count("*").alias("n"))
+    votes = found.select(F.explode(all_).alias("x")).groupBy("x.kind", *(f"x.{f}" for f in _FEATURES)).agg(F.count("*").alias("n"))
     models = train([r.asDict() for r in votes.collect()])
     short = lambda a: F.array_sort(F.transform(a, lambda x: F.struct(x["start"], x["kind"], x["end"])))
-    base = F.filter("_candidates", lambda x: x["base"])
-    out = found.withColumn("_base", base)
     limit = math.log(ACCEPT / (1 - ACCEPT))
-    added = F.filter("_candidates", lambda x: ~x["base"] & (_score(models, x) > limit) & ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    out = out.withColumn("_added", added)
-    return out.withColumns({"base_spans": short(F.col("_base")), "spans": short(F.concat("_base", "_added"))}).drop("_candidates", "_base", "_added")
+    out = found.withColumn(base, F.filter(all_, lambda x: x["base"]))
+    out = out.withColumn(added, F.filter(all_, lambda x: ~x["base"] & (_score(models, x) > limit) & ~F.exists(F.col(base), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))))
+    return out.withColumns({"base_spans": short(F.col(base)), "spans": short(F.concat(base, added))}).drop(all_, base, added)
 
 
 def spans_text(spans: str) -> Column:
@@ -228,14 +234,24 @@ def spans_text(spans: str) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by <KIND>; overlapping spans become one."""
+    """The text with every span replaced by <KIND>; overlapping spans become one, named by the
+    first. Pieces are slices of the text's characters, so each is copied once."""
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<after:int,start:int,kind:int>>").alias("heads"))
 
     def add(acc: Column, x: Column) -> Column:
-        new = x["start"] >= acc["at"]
-        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))), F.get(names, x["kind"]))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(new, more).otherwise(acc["out"]).alias("out"))
+        own = F.struct(acc["at"].alias("after"), x["start"].alias("start"), x["kind"].alias("kind"))
+        heads = F.when(x["start"] >= acc["at"], F.concat(acc["heads"], F.array(own))).otherwise(acc["heads"])
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), heads.alias("heads"))
+
+    done = F.aggregate(spans, first, add)
+
+    def pieces(both: Column) -> Column:
+        chars, own = both["chars"], both["own"]
+        shown = F.transform(own["heads"], lambda x: F.concat(F.array_join(F.slice(chars, x["after"] + 1, x["start"] - x["after"]), ""), F.get(names, x["kind"])))
+        rest = F.slice(chars, own["at"] + 1, F.greatest(F.size(chars) - own["at"], F.lit(0)))
+        return F.concat(F.array_join(shown, ""), F.array_join(rest, ""))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, first, add, rest)).otherwise(text)
+    # As an array of one, characters and heads are made once and used for every piece.
+    once = F.transform(F.array(F.struct(F.split(text, "").alias("chars"), done.alias("own"))), pieces)
+    return F.when(F.size(spans) > 0, F.element_at(once, 1)).otherwise(text)
