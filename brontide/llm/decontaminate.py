@@ -1,13 +1,18 @@
 """Benchmark decontamination by one Aho-Corasick automaton.
 
 Every benchmark item becomes windows of 13 consecutive normalised words (an item of fewer
-words is one window). All windows form one automaton, which scans each normalised document
-once. Matches are turned into word ranges and mapped to code point offsets of the original.
+words is one window). Spark makes the distinct windows of the distinct item texts; all of them
+form one automaton, which scans each normalised document once. Matches are turned into word
+ranges and mapped to code point offsets of the original.
+
+The automaton has to fit in a Python worker, so the windows' bytes are measured before they are
+fetched; a benchmark beyond MAX_WINDOW_BYTES (about a hundred million words) is refused, not cut.
 
 Defined results: a null or wordless text has no words, hits or items; an item without words
 has no windows; an item without id still hits but is not listed; an empty benchmark hits
 nothing; repeated rows each get the same result; result columns replace input columns of the
-same name. Normalisation is linear, so very long texts need memory in proportion only.
+same name, and working columns take names that the input does not have. Normalisation is
+linear, so very long texts need memory in proportion only.
 """
 
 from __future__ import annotations
@@ -21,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brontide.llm.common import text_of
+from brontide.llm.common import free_names, release, text_of, written
 
 WINDOW = 13
-#: Characters of benchmark text that one automaton takes; a larger benchmark gets several.
-AUTOMATON_CHARS = 32_000_000
+#: Bytes of distinct windows that one automaton may have.
+MAX_WINDOW_BYTES = 1 << 30
 
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: The words in the original text, upper case included.
@@ -48,21 +53,42 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_TABLE).split()
 
 
-def windows_of(items: list[tuple[str | None, str | None]], size: int = WINDOW) -> dict[str, tuple[int, list[str]]]:
-    """Padded window -> (its words, ids of the items that have it). Bytes are kept as Latin-1."""
-    found: dict[str, tuple[int, set[str]]] = {}
-    for item_id, text in items:
-        words = words_of(text or "")
-        n = min(size, len(words))
-        for i in range(len(words) - n + 1 if n else 0):
-            key = b" %b " % b" ".join(words[i : i + n])
-            ids = found.setdefault(key.decode("latin-1"), (n, set()))[1]
-            if item_id is not None:
-                ids.add(item_id)
-    return {k: (n, sorted(ids)) for k, (n, ids) in found.items()}
+def windows_of(text: str, size: int = WINDOW) -> dict[str, int]:
+    """Padded windows of one item text with their words. Bytes are kept as Latin-1."""
+    words = words_of(text)
+    n = min(size, len(words))
+    return {(b" %b " % b" ".join(words[i : i + n])).decode("latin-1"): n for i in range(len(words) - n + 1 if n else 0)}
 
 
-def automaton_of(windows: dict[str, tuple[int, list[str]]]):
+def _windows(size: int):
+    @F.arrow_udf(T.ArrayType(T.StructType().add("key", "string").add("n", "integer")))
+    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("key", pa.string()), ("n", pa.int32())]))
+        for texts in batches:
+            yield pa.array([[{"key": k, "n": n} for k, n in windows_of(t.as_py(), size).items()] for t in texts], kind)
+        release()
+
+    return made
+
+
+def benchmark_windows(benchmark: DataFrame, item_id_col: str, item_text_col: str, size: int, most_bytes: int) -> tuple[dict, list[list[str]]]:
+    """(window -> (its words, numbers of the texts that have it), ids of each text). Equal items
+    are one text; the result is measured before it is fetched."""
+    items = benchmark.select(F.col(item_id_col).cast("string").alias("id"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"))
+    texts = items.groupBy("text").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+    texts = written(texts.withColumn("text_no", F.monotonically_increasing_id()), "benchmark")
+    found = texts.select("text_no", F.explode(_windows(size)("text")).alias("w")).groupBy("w.key", "w.n").agg(F.collect_list("text_no").alias("in"))
+    found = written(found, "windows")
+    measured = found.agg(F.coalesce(F.sum(F.octet_length("key") + 8 * F.size("in")), F.lit(0))).first()[0]
+    if measured > most_bytes:
+        raise ValueError(f"{measured} bytes of benchmark windows are more than one automaton may have ({most_bytes})")
+    ids = {r["text_no"]: r["ids"] for r in texts.select("text_no", "ids").collect()}
+    numbers = {k: i for i, k in enumerate(sorted(ids))}
+    windows = {r["key"]: (r["n"], [numbers[k] for k in r["in"]]) for r in found.collect()}
+    return windows, [ids[k] for k in sorted(ids)]
+
+
+def automaton_of(windows: dict[str, tuple[int, list[int]]]):
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
@@ -84,7 +110,7 @@ def joined_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def scan(text: str | None, automaton) -> dict:
+def scan(text: str | None, automaton, ids: list[list[str]]) -> dict:
     """One pass over a text: counts, ids of the items found, hit word ranges and original spans."""
     words = words_of(text or "")
     out = {"n_words": len(words), "n_hit": 0, "item_ids": [], "ranges": [], "spans": []}
@@ -98,24 +124,27 @@ def scan(text: str | None, automaton) -> dict:
     ranges = joined_ranges([(int(k) - n + 1, int(k) + 1) for k, (_, (n, _)) in zip(last, hits, strict=True)])
     places = [m.span() for m in _ORIGINAL_WORD.finditer(text)]
     out["n_hit"] = sum(b - a for a, b in ranges)
-    out["item_ids"] = sorted({i for _, (_, ids) in hits for i in ids})
+    out["item_ids"] = sorted({i for k in {k for _, (_, own) in hits for k in own} for i in ids[k]})
     out["ranges"] = [{"start": a, "end": b} for a, b in ranges]
     out["spans"] = [{"start": places[a][0], "end": places[b - 1][1]} for a, b in ranges]
     return out
 
 
-#: One automaton for each worker process and broadcast value, as building it takes longer than a small task.
-_BUILT: dict[int, object] = {}
+#: The automaton of a worker process for one broadcast value, as building it takes longer than a
+#: small task. It stays when a task ends; one of another value takes its place.
+_BUILT: dict[int, tuple] = {}
 
 
-def _scanner(windows):
+def _scanner(shared):
     def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if windows.id not in _BUILT:
+        if shared.id not in _BUILT:
             _BUILT.clear()
-            _BUILT[windows.id] = automaton_of(windows.value)
-        automaton = _BUILT[windows.id]
+            windows, ids = shared.value
+            _BUILT[shared.id] = automaton_of(windows), ids
+        automaton, ids = _BUILT[shared.id]
         for texts in batches:
-            yield pa.array([scan(t.as_py(), automaton) for t in texts], _ARROW)
+            yield pa.array([scan(t.as_py(), automaton, ids) for t in texts], _ARROW)
+        release()
 
     return F.arrow_udf(scanned, RESULT)
 
@@ -134,24 +163,6 @@ class _Shared:
         return self._broadcast.value
 
 
-@F.arrow_udf(RESULT)
-def _merged(*parts: pa.Array) -> pa.Array:
-    """Results of several automata for the same texts, made one."""
-    out = []
-    for row in zip(*(p.to_pylist() for p in parts), strict=True):
-        ranges, spans = (joined_ranges([(x["start"], x["end"]) for r in row for x in r[k]]) for k in ("ranges", "spans"))
-        out.append(
-            {
-                "n_words": row[0]["n_words"],
-                "n_hit": sum(b - a for a, b in ranges),
-                "item_ids": sorted({i for r in row for i in r["item_ids"]}),
-                "ranges": [{"start": a, "end": b} for a, b in ranges],
-                "spans": [{"start": a, "end": b} for a, b in spans],
-            }
-        )
-    return pa.array(out, _ARROW)
-
-
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -160,29 +171,17 @@ def decontaminate(
     item_text_col: str = "text",
     window: int = WINDOW,
     share: int = 20,
-    automaton_chars: int = AUTOMATON_CHARS,
+    max_window_bytes: int = MAX_WINDOW_BYTES,
 ) -> DataFrame:
     """docs with n_words, n_hit, n_items, item_ids, ranges, spans and contaminated.
 
-    contaminated: some word is hit and share * n_hit >= n_words. The benchmark is measured
-    first; beyond automaton_chars it is dealt by hash into parts, each with its own automaton
-    and scan, so neither the driver nor a worker holds more than one part's worth at a time.
+    contaminated: some word is hit and share * n_hit >= n_words.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id_col).cast("string").alias("i"), F.col(item_text_col).cast("string").alias("t"))
-    chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    parts = -(-chars // automaton_chars) or 1
-    results = []
-    for k in range(parts):
-        own = items if parts == 1 else items.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == k)
-        windows = windows_of([(r.i, r.t) for r in own.collect()], window)
-        results.append(_scanner(_Shared(spark.sparkContext.broadcast(windows)))(text_of(text_col)))
-    out = docs
-    names = [f"_found_{k}" for k in range(parts)]
-    for name, result in zip(names, results, strict=True):
-        out = out.withColumn(name, result)
-    out = out.withColumn("_found", _merged(*names) if parts > 1 else F.col(names[0]))
-    found = {k: F.col(f"_found.{k}") for k in ("n_words", "n_hit", "item_ids", "ranges", "spans")}
-    found["n_items"] = F.size("_found.item_ids").cast("long")
-    found["contaminated"] = (F.col("_found.n_hit") > 0) & (F.col("_found.n_hit") * share >= F.col("_found.n_words"))
-    return out.withColumns(found).drop("_found", *names)
+    value = benchmark_windows(benchmark, item_id_col, item_text_col, window, max_window_bytes)
+    shared = _Shared(docs.sparkSession.sparkContext.broadcast(value))
+    (name,) = free_names(docs, "found")
+    out = docs.withColumn(name, _scanner(shared)(text_of(text_col)))
+    found = {k: F.col(name)[k] for k in ("n_words", "n_hit", "item_ids", "ranges", "spans")}
+    found["n_items"] = F.size(F.col(name)["item_ids"]).cast("long")
+    found["contaminated"] = (F.col(name)["n_hit"] > 0) & (F.col(name)["n_hit"] * share >= F.col(name)["n_words"])
+    return out.withColumns(found).drop(name)
