@@ -3,10 +3,13 @@
 The digest of a text (null: empty; the text as it is, as any folding would change counts) and
 the digest of the tokenizer file name a stored count. Only distinct texts without a stored
 count are encoded; their counts are appended to the cache, and all rows read theirs from it.
+Digests are looked up before any text crosses the network, so a run that finds all counts
+stored encodes and shuffles no text.
 
 Defined results: null and empty texts have 0 tokens; repeated rows each get their count; an
 empty table gives no rows; result columns replace input columns of the same name. Two runs
-that append the same digest store it twice; readers take one.
+that append the same digest store it twice; readers take one. A very long text costs memory
+for its segments, some MB of text at a time.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brontide.llm.common import new_path, text_of
+from brontide.llm.common import free_names, release, shared_folder, text_of, written
 
 CACHE = T.StructType(
     [
@@ -30,8 +33,12 @@ CACHE = T.StructType(
     ]
 )
 #: Counts of segments that a worker process keeps; it starts again when full.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 200_000
 MEMO_CHARS = 40
+#: Up to so many digests without a count are broadcast to the texts.
+BROADCAST_DIGESTS = 500_000
+#: Digests of more rows than this are looked up by broadcast.
+HOT_COPIES = 1000
 #: Characters of text whose segments are held at once.
 GROUP_CHARS = 2_000_000
 
@@ -103,6 +110,7 @@ def _counted(path: str):
             _COUNTERS[path] = Counter(path)
         for texts in batches:
             yield pa.array(_COUNTERS[path].counts(texts.to_pylist()), pa.int64())
+        release(_COUNTERS[path].memo)
 
     return counted
 
@@ -116,12 +124,12 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     """docs with text_digest (binary SHA-256), n_bytes and n_tokens.
 
     tokenizer_path: a tokenizers .json that is installed on every machine. cache_path: a
-    folder all machines share; by default a new one. Texts cross the network once, after
-    copies within a task are dropped; counts join back by digest alone.
+    folder all machines share; by default that of this library in the shared folder, which
+    outlives the run.
     """
     spark = docs.sparkSession
     version = tokenizer_digest(tokenizer_path)
-    cache_path = cache_path or new_path(spark, "token-cache")
+    cache_path = cache_path or f"{shared_folder(spark)}/brontide/token-cache"
     # An empty append makes the cache readable before its first use.
     spark.createDataFrame([], CACHE).write.mode("append").parquet(cache_path)
 
@@ -130,11 +138,24 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
         return own.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
     digest = F.unhex(F.sha2(text_of(text_col).cast("binary"), 256))
+    counts = written(docs.select(digest.alias("digest")).groupBy("digest").agg(F.count("*").alias("copies")), "digests")
+    misses = written(counts.join(stored(), "digest", "left_anti").select("digest"), "misses")
+    n = misses.count()
+    if n:
+        texts = docs.select(digest.alias("digest"), text_of(text_col).alias("text"))
+        if n < counts.count():
+            texts = texts.join(F.broadcast(misses) if n <= BROADCAST_DIGESTS else misses, "digest", "left_semi")
+        new = texts.dropDuplicates(["digest"]).select(F.lit(version).alias("tokenizer"), "digest", _counted(tokenizer_path)("text").alias("n_tokens"))
+        new.write.mode("append").parquet(cache_path)
+    # Counts of digests with many rows are broadcast, so that no task gets all rows of one; there
+    # are at most rows / HOT_COPIES of them. Their rows join the rest by a value of their own.
     known = stored()
-    distinct = docs.select(digest.alias("digest"), text_of(text_col).alias("text")).dropDuplicates(["digest"])
-    if not known.isEmpty():
-        distinct = distinct.join(known, "digest", "left_anti")
-    misses = distinct.select(F.lit(version).alias("tokenizer"), "digest", _counted(tokenizer_path)("text").alias("n_tokens"))
-    misses.write.mode("append").parquet(cache_path)
+    hot = counts.where(F.col("copies") > HOT_COPIES).select("digest").join(known, "digest").select(F.col("digest").alias("hot_digest"), F.col("n_tokens").alias("hot_tokens"))
+    hot_digest, hot_tokens, key, cold = free_names(docs, "hot_digest", "hot_tokens", "digest_key", "cold_tokens")
+    hot = hot.toDF(hot_digest, hot_tokens)
     rows = docs.drop("n_tokens").withColumns({"text_digest": digest, "n_bytes": F.octet_length(text_of(text_col)).cast("long")})
-    return rows.join(stored().withColumnRenamed("digest", "text_digest"), "text_digest", "left")
+    rows = rows.join(F.broadcast(hot), F.col("text_digest") == F.col(hot_digest), "left")
+    alone = F.encode(F.concat(F.lit("row "), F.monotonically_increasing_id()), "UTF-8")
+    rows = rows.withColumn(key, F.when(F.col(hot_tokens).isNull(), F.col("text_digest")).otherwise(alone))
+    out = rows.join(known.toDF(key, cold), key, "left").withColumn("n_tokens", F.coalesce(hot_tokens, cold))
+    return out.drop(key, hot_digest, hot_tokens, cold)
