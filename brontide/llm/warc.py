@@ -9,7 +9,8 @@ Defined results: a null or empty html is an empty payload; of equal payloads of
 REVISIT_BYTES the largest page_id is the response and the others revisit it; a null page_id is
 written as a response without a page id; repeated rows are written each; an empty table gives
 bundles and an index without records; control characters in urls are percent-encoded, and a
-null url is left out. A frame holds one record at least, so a long page has its own.
+null url is left out. A frame holds one record at least, so a long page has its own. Input columns
+of other names are not read, so none clashes. A very long payload is held whole, one at a time.
 """
 
 from __future__ import annotations
@@ -25,12 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brontide.llm.common import new_path, text_of, written
+from brontide.llm.common import new_path, release, text_of, written
 
 REVISIT_BYTES = 1000
 #: A frame is closed at so many bytes of records, a bundle at so many of frames.
 FRAME_BYTES = 256 * 1024
 BUNDLE_BYTES = 64 * 1024 * 1024
+#: Bytes of records that a reading task gets, and frames of a bundle that it gets together.
+TASK_BYTES = 8 * 1024 * 1024
+FRAMES_TOGETHER = 4
 #: Up to so many digests of repeated payloads are broadcast; else the pages are shuffled by digest.
 BROADCAST_DIGESTS = 500_000
 #: Fixed values of Zstandard's seekable format.
@@ -196,6 +200,7 @@ def _writer(folder: str):
             if frame:
                 close_frame()
             yield finished()
+        release()
 
     return write
 
@@ -258,6 +263,7 @@ def _frames(payload: bool):
                 yield _batch(found, payload)
         if reader:
             reader.close()
+        release()
 
     return read
 
@@ -265,8 +271,12 @@ def _frames(payload: bool):
 def read_archive(archive: Archive, payload: bool = True) -> DataFrame:
     """Every record of an archive, its digest checked; frames are dealt over tasks and read by
     themselves. payload=False leaves the payloads behind in the tasks."""
-    frames = archive.index.select("bundle", "frame").distinct()
-    return frames.mapInArrow(_frames(payload), RECORD + ", payload binary" * payload)
+    # Index rows are tiny, but each frame stands for many bytes: tasks are made by the latter.
+    frames = archive.index.groupBy("bundle", "frame").agg(F.sum("length").alias("bytes"))
+    total = archive.index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // TASK_BYTES))
+    dealt = frames.select("bundle", "frame").repartition(tasks, "bundle", F.floor(F.col("frame") / FRAMES_TOGETHER))
+    return dealt.mapInArrow(_frames(payload), RECORD + ", payload binary" * payload)
 
 
 def read_records(archive: Archive, page_ids: DataFrame) -> DataFrame:
