@@ -2,25 +2,30 @@
 
 Level 1 holds the listed keys; each further level holds the false positives of the level
 before among all keys of the corpus, until there are none. A key is judged by the first level
-that does not have it, which is exact for every key of that universe. Levels are one array of
-64-bit words each, made and asked by Spark expressions; nothing is joined to the pages.
+that does not have it, which is exact for every key of that universe. Levels are arrays of
+64-bit words, made and asked by Spark expressions; nothing is joined to the pages. A list too
+large for one cascade's words is dealt by hash into parts, each with its own cascade, so a
+task never holds more than one part's words.
 
 Defined results: a null url, or one without ://, has an empty host and path, fits no rule and
 has the empty key; a null listed key is ignored; an empty list lists nothing; repeated rows get
-equal verdicts; result columns replace input columns of the same name.
+equal verdicts; an empty table gives no rows; result columns replace input columns of the same
+name, and working columns take names that the input does not have. A very long url costs time
+in proportion.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brontide.llm.common import new_path, text_of, written
+from brontide.llm.common import free_names, new_path, text_of, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A larger first level is not made; membership is then a semi-join by key.
+#: Bits of a first level; a larger list is dealt into parts of about so many.
 MAX_BITS = 1 << 28
 MAX_LEVELS = 64
 Rule = tuple[str, str, str]  # host, path, allow or block
@@ -91,23 +96,22 @@ class Cascade:
         return out
 
 
-def build_cascade(keys: DataFrame) -> Cascade | None:
-    """keys: the universe, distinct, as key and listed (boolean). None: too large a list."""
-    spark = keys.sparkSession
-    keys = written(keys, "universe")
-    n = {r["listed"]: r["count"] for r in keys.groupBy("listed").count().collect()}
-    inside, outside = keys.where("listed").select("key"), keys.where("NOT listed").select("key")
+def _first_level(size: int, rest: int) -> tuple[float, int]:
+    """Rate of false positives and bits: as sharp as makes false positives few beside the list."""
+    p = min(0.5, size / (rest * math.sqrt(2)) if rest else 0.5)
+    return p, max(64, math.ceil(size * math.log2(1 / p) / math.log(2)))
+
+
+def build_cascade(inside: DataFrame, outside: DataFrame, size: int, rest: int) -> Cascade:
+    """inside and outside: the distinct listed keys and the other keys of the universe, as key;
+    size and rest: their numbers."""
+    spark = inside.sparkSession
     levels: list[Level] = []
     held, others = inside, outside
-    size, rest = n.get(True, 0), n.get(False, 0)
     while size:
         if len(levels) >= MAX_LEVELS:
             raise RuntimeError("the cascade does not end")
-        # The first level is as sharp as makes its false positives few beside the list.
-        p = min(0.5, size / (rest * math.sqrt(2)) if rest else 0.5) if not levels else 0.5
-        bits = max(64, math.ceil(size * math.log2(1 / p) / math.log(2)))
-        if bits > MAX_BITS:
-            return None
+        p, bits = _first_level(size, rest) if not levels else (0.5, max(64, math.ceil(size / math.log(2))))
         level = Level(len(levels) + 1, bits, max(1, round(math.log2(1 / p))), new_path(spark, "bloom"))
         level.build(held)
         levels.append(level)
@@ -117,6 +121,25 @@ def build_cascade(keys: DataFrame) -> Cascade | None:
     return Cascade(levels)
 
 
+def _part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("part")), F.lit(parts)).cast("int")
+
+
+def build_cascades(keys: DataFrame) -> list[Cascade]:
+    """A cascade for each part of the universe by hash. keys: distinct, as key and listed."""
+    keys = written(keys, "universe")
+    n = {r["listed"]: r["count"] for r in keys.groupBy("listed").count().collect()}
+    if not n.get(True):
+        return []
+    parts = -(-_first_level(n[True], n.get(False, 0))[1] // MAX_BITS)
+    if parts == 1:
+        return [build_cascade(keys.where("listed").select("key"), keys.where("NOT listed").select("key"), n[True], n.get(False, 0))]
+    dealt = written(keys.withColumn("part", _part(F.col("key"), parts)), "parts")
+    counts = {(r["part"], r["listed"]): r["count"] for r in dealt.groupBy("part", "listed").count().collect()}
+    own = lambda k, inside: dealt.where((F.col("part") == k) & (F.col("listed") == inside)).select("key")
+    return [build_cascade(own(k, True), own(k, False), counts.get((k, True), 0), counts.get((k, False), 0)) for k in range(parts)]
+
+
 def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame | None = None, url_col: str = "url") -> DataFrame:
     """pages with host, path, rule, listed and verdict (allow or block).
 
@@ -125,23 +148,25 @@ def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame | None =
     """
     spark = pages.sparkSession
     url = F.col(url_col).cast("string")
-    out = pages.withColumns({"host": host_of(url), "path": path_of(url)})
+    own_url, own_verdict = free_names(pages, "given_url", "rule_verdict")
+    out = pages.withColumn(own_url, url)
+    out = out.withColumns({"host": host_of(F.col(own_url)), "path": path_of(F.col(own_url))}).drop(own_url)
     name, verdict = longest_rule(rules, F.col("host"), F.col("path"))
-    out = out.withColumns({"rule": name, "_verdict": verdict})
+    out = out.withColumns({"rule": name, own_verdict: verdict})
     key = F.concat("host", "path")
-    inside = F.lit(False)
+    cascades: list[Cascade] = []
     if listed is not None:
-        own = listed.select(F.col("key").cast("string")).where("key IS NOT NULL").distinct()
+        own = listed.select(F.col("key").cast("string")).where("key IS NOT NULL")
         universe = out.select(key.alias("key"), F.lit(False).alias("listed")).union(own.select("key", F.lit(True).alias("listed")))
-        cascade = build_cascade(universe.groupBy("key").agg(F.max("listed").alias("listed")))
-        if cascade is None:
-            out = out.withColumn("_key", key).join(own.select(F.col("key").alias("_key"), F.lit(True).alias("_listed")), "_key", "left")
-            inside = F.coalesce("_listed", F.lit(False))
-        else:
-            inside = cascade.listed(spark, key)
-    out = out.withColumn("listed", inside)
+        cascades = build_cascades(universe.groupBy("key").agg(F.max("listed").alias("listed")))
+    if len(cascades) <= 1:
+        out = out.withColumn("listed", cascades[0].listed(spark, key) if cascades else F.lit(False))
+    else:
+        # One pass for each part, so that no task holds the words of several.
+        parts = [out.where(_part(key, len(cascades)) == k).withColumn("listed", x.listed(spark, key)) for k, x in enumerate(cascades)]
+        out = reduce(DataFrame.union, parts)
     method = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
-    return out.withColumn("verdict", F.coalesce("_verdict", method)).drop("_verdict", "_key", "_listed")
+    return out.withColumn("verdict", F.coalesce(own_verdict, method)).drop(own_verdict)
 
 
 #: Words of hosts whose pages the registered query lists.
