@@ -11,8 +11,9 @@ id are never inputs.
 
 Defined results: a null or empty text has one passage of nothing and a score like any other;
 without labels of both kinds every score is the share of label 1, or 0.5 without any; of
-several labels of one id the lowest counts; repeated rows get equal scores; result columns
-replace input columns of the same name.
+several labels of one id the lowest counts, of several texts of one id the smallest; repeated
+rows get equal scores; an empty table gives no rows; result columns replace input columns of
+the same name. A very long text costs memory for its passages, one text at a time.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brontide.llm.common import text_of, written
+from brontide.llm.common import release, text_of, written
 
 PASSAGE_BYTES = 1024
 TRIPLES = 64
@@ -97,6 +98,24 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
+def gradients(p: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray, own: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """The weighted log loss and its gradients. x: passages of all bags in a row, starts: where
+    each bag begins, own: the bag of each passage."""
+    t, g = np.tanh(x @ p["v"]), _sigmoid(x @ p["u"])
+    e = (t * g) @ p["w"]
+    e = np.exp(e - np.maximum.reduceat(e, starts)[own])
+    a = e / np.add.reduceat(e, starts)[own]
+    z = np.add.reduceat(a[:, None] * x, starts)
+    out = _sigmoid(z @ p["c"] + p["b"])
+    loss = -float((weight * (labels * np.log(out + 1e-300) + (1 - labels) * np.log(1 - out + 1e-300))).sum())
+    d = (out - labels) * weight
+    # Through the score, the weighted mean, the softmax and the gate.
+    da = d[own] * (x @ p["c"])
+    de = a * (da - np.add.reduceat(a * da, starts)[own])
+    dt, dg = de[:, None] * p["w"] * g * (1 - t * t), de[:, None] * p["w"] * t * g * (1 - g)
+    return loss, {"v": x.T @ dt, "u": x.T @ dg, "w": (t * g).T @ de, "c": z.T @ d, "b": np.array([d.sum()])}
+
+
 def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> Model:
     """Full-batch Adam on the weighted log loss; both labels weigh the same."""
     if not bags:
@@ -114,17 +133,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> Model:
     first, second = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
     balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / len(bags)
     for step in range(1, STEPS + 1):
-        t, g = np.tanh(x @ p["v"]), _sigmoid(x @ p["u"])
-        e = (t * g) @ p["w"]
-        e = np.exp(e - np.maximum.reduceat(e, starts)[own])
-        a = e / np.add.reduceat(e, starts)[own]
-        z = np.add.reduceat(a[:, None] * x, starts)
-        d = (_sigmoid(z @ p["c"] + p["b"]) - labels) * balance
-        # Through the score, the weighted mean, the softmax and the gate.
-        da = d[own] * (x @ p["c"])
-        de = a * (da - np.add.reduceat(a * da, starts)[own])
-        dt, dg = de[:, None] * p["w"] * g * (1 - t * t), de[:, None] * p["w"] * t * g * (1 - g)
-        grads = {"v": x.T @ dt, "u": x.T @ dg, "w": (t * g).T @ de, "c": z.T @ d, "b": np.array([d.sum()])}
+        _, grads = gradients(p, x, starts, own, labels, balance)
         for k, grad in grads.items():
             grad = grad + (DECAY * p[k] if k != "b" else 0)
             first[k] = 0.9 * first[k] + 0.1 * grad
@@ -138,6 +147,7 @@ def _bags(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """All passages of each text, as float32 bytes."""
     for texts in batches:
         yield pa.array([passages(t.as_py()).tobytes() for t in texts], pa.binary())
+    release()
 
 
 def whole_bags(sizes: list[int]) -> list[int]:
@@ -156,18 +166,18 @@ def held_out(id_col: str):
 
 
 def learn(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality") -> Model:
-    own = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.min(label_col).alias("_label"))
+    own = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(F.col("label").isNotNull() & F.col("id").isNotNull() & ~held_out("id")).groupBy("id").agg(F.min("label").alias("label"))
     # A bounded sample, so its ids can be broadcast; chosen by hash, not by place.
-    chosen = own.orderBy(F.xxhash64(id_col), id_col).limit(MAX_TRAIN)
-    rows = docs.select(id_col, text_of(text_col).alias("_text")).join(F.broadcast(chosen), id_col)
+    chosen = own.orderBy(F.xxhash64("id"), "id").limit(MAX_TRAIN)
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "id")
     # Of several texts of one id the smallest counts, as the lengths and the bags are read apart.
-    texts = written(rows.groupBy(id_col, "_label").agg(F.min("_text").alias("_text")), "labelled")
-    n = F.greatest(F.lit(1), F.ceil(F.octet_length("_text") / PASSAGE_BYTES))
-    sizes = texts.select(id_col, F.xxhash64(id_col).alias("_hash"), n.alias("_n")).orderBy("_hash", id_col).collect()
-    taken = [sizes[i][0] for i in whole_bags([r["_n"] for r in sizes])]
-    rows = texts.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in taken], texts.select(id_col).schema)), id_col)
-    found = sorted(rows.select(id_col, "_label", _bags("_text").alias("bag")).collect(), key=lambda r: r[0])
-    return fit([np.frombuffer(r["bag"], np.float32).reshape(-1, WIDTH) for r in found], np.array([float(r["_label"] >= 1) for r in found]))
+    texts = written(rows.groupBy("id", "label").agg(F.min("text").alias("text")), "labelled")
+    n = F.greatest(F.lit(1), F.ceil(F.octet_length("text") / PASSAGE_BYTES))
+    sizes = texts.select("id", n.alias("n")).orderBy(F.xxhash64("id"), "id").collect()
+    taken = [sizes[i][0] for i in whole_bags([r["n"] for r in sizes])]
+    rows = texts.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in taken], texts.select("id").schema)), "id")
+    found = sorted(rows.select("id", "label", _bags("text").alias("bag")).collect(), key=lambda r: r[0])
+    return fit([np.frombuffer(r["bag"], np.float32).reshape(-1, WIDTH) for r in found], np.array([float(r["label"] >= 1) for r in found]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
@@ -179,6 +189,7 @@ def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col:
         own = model.value
         for texts in batches:
             yield pa.array([own.score(t.as_py()) for t in texts], pa.float64())
+        release()
 
     out = docs.withColumns({"held_out": held_out(id_col), "score": scored(text_of(text_col))})
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
