@@ -9,7 +9,9 @@ a few hash values, and assigning rows is one expression.
 
 Defined results: a null text is empty and grouped with empty ones; with fewer groups than
 shards some shards are empty; repeated rows share a shard and have slots of their own; an empty
-table gives no rows; result columns replace input columns of the same name.
+table gives no rows; result columns replace input columns of the same name, and working columns
+take names that the input does not have. Texts are only measured and hashed, so very long ones
+cost no more memory than themselves.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brontide.llm.common import text_of, written
+from brontide.llm.common import free_names, text_of, written
 
 #: Bytes that a row counts besides its text.
 ROW_BYTES = 16
@@ -154,30 +156,29 @@ def plan_shards(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
 def shard(docs: DataFrame, shards: int = 40, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """docs (or only the columns keep of them) with size, text_crc32, shard and slot."""
     text = text_of(text_col)
-    keep = docs.columns if keep is None else keep
-    new = {"size": (F.octet_length(text) + ROW_BYTES).cast("long"), "text_crc32": F.crc32(text.cast("binary")), "_hash": _hash(text)}
-    rows = docs.withColumns(new).select(*[c for c in keep if c not in ("size", "text_crc32")], *new)
+    new = ("size", "text_crc32", "shard", "slot")
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
+    hashed, spread, part, place, first, offset = free_names(docs.select(*keep, *(F.lit(0).alias(n) for n in new)), "hash", "spread", "part", "place", "first", "offset")
+    rows = docs.select(*keep, (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), _hash(text).alias(hashed))
     rows = written(rows, "rows")
-    groups = rows.groupBy(F.col("_hash").alias("hash")).agg(F.sum("size").alias("size"))
+    groups = rows.groupBy(F.col(hashed).alias("hash")).agg(F.sum("size").alias("size"))
     _, cuts = plan_shards(written(groups, "groups"), shards)
     starts = [c - (1 << 63) for c in cuts if c < 1 << 64]
-    number = sum((F.when(F.col("_hash") >= F.lit(s), 1).otherwise(0) for s in starts), F.lit(0))
+    number = sum((F.when(F.col(hashed) >= F.lit(s), 1).otherwise(0) for s in starts), F.lit(0))
     # Skipped shards (of equal starts) are counted too, so shard k is what lies before start k + 1.
     dealt = rows.withColumn("shard", number.cast("int"))
     # Order by shard over many tasks, with the rows of large groups spread; then a row's slot is
     # its place in its task's part of the shard plus the rows of the parts before.
-    spread = F.xxhash64("_hash", F.monotonically_increasing_id())
-    dealt = dealt.withColumn("_spread", spread).repartitionByRange("shard", "_spread").sortWithinPartitions("shard", "_spread")
-    place = F.monotonically_increasing_id()
-    dealt = written(dealt.withColumns({"_part": F.shiftright(place, 33), "_place": place.bitwiseAND((1 << 33) - 1)}), "dealt")
-    parts = dealt.groupBy("shard", "_part").agg(F.min("_place").alias("_first"), F.count("*").alias("_n")).collect()
+    dealt = dealt.withColumn(spread, F.xxhash64(hashed, F.monotonically_increasing_id())).repartitionByRange("shard", spread).sortWithinPartitions("shard", spread)
+    at = F.monotonically_increasing_id()
+    dealt = written(dealt.withColumns({part: F.shiftright(at, 33), place: at.bitwiseAND((1 << 33) - 1)}), "dealt")
+    parts = dealt.groupBy("shard", part).agg(F.min(place).alias(first), F.count("*").alias("n")).collect()
     # One row per task and shard: no more than tasks plus shards.
     before: dict[int, int] = {}
     offsets = []
     for p in sorted(parts):
-        offsets.append((p["shard"], p["_part"], before.get(p["shard"], 0) - p["_first"]))
-        before[p["shard"]] = before.get(p["shard"], 0) + p["_n"]
-    spark = docs.sparkSession
-    offset = spark.createDataFrame(offsets, "shard int, _part long, _offset long")
-    out = dealt.join(F.broadcast(offset), ["shard", "_part"])
-    return out.withColumn("slot", F.col("_place") + F.col("_offset")).drop("_hash", "_spread", "_part", "_place", "_offset")
+        offsets.append((p["shard"], p[part], before.get(p["shard"], 0) - p[first]))
+        before[p["shard"]] = before.get(p["shard"], 0) + p["n"]
+    given = docs.sparkSession.createDataFrame(offsets, f"shard int, `{part}` long, `{offset}` long")
+    out = dealt.join(F.broadcast(given), ["shard", part])
+    return out.withColumn("slot", F.col(place) + F.col(offset)).drop(hashed, spread, part, place, offset)
