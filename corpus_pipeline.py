@@ -1,4 +1,11 @@
-"""From raw documents to token ids: five stages, each over all that the one before kept."""
+"""From raw documents to token ids: five stages, each over all that the one before kept.
+
+Defined results of the stages: a null text is an empty one and fails the first stage; rows
+without an id pass or fail by their text and are nobody's near-duplicate; of repeated rows one
+stays; an empty table gives none; further columns of the input pass through the first four
+stages whatever their names, which working columns never take, and the last one leaves them
+out. Very long texts are handled whole, one at a time.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brontide.llm import decontaminate, near_dup, pieces, pii, rules
-from brontide.llm.common import table, written
+from brontide.llm.common import free_names, table, written
 
 #: The SentencePiece model of the last stage; it must be installed on every machine.
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -26,17 +33,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of an id with several texts, each goes or stays by its own set; of rows of one id and set, one stays.
     """
+    stays, own, wordless = free_names(docs, "stays", "set_digest", "wordless")
     judged = near_dup.near_duplicates_by_set(docs, params=NEAR).where("doc_id IS NOT NULL")
     # Ids that occur once and stay go through untouched; the rows of one that occurs often are told apart by their sets.
-    fate = judged.groupBy("doc_id").agg(F.max("stays").alias("_stays"), F.count("*").alias("n")).where("NOT _stays OR n > 1")
-    few = written(fate.select("doc_id", "_stays"), "leaving")
+    fate = judged.groupBy("doc_id").agg(F.max("stays").alias(stays), F.count("*").alias("n")).where(f"NOT `{stays}` OR n > 1")
+    few = written(fate.select("doc_id", stays), "leaving")
     small = few.count() <= near_dup.BROADCAST_IDS
-    marked = docs.join(F.broadcast(few) if small else few, "doc_id", "left").where("_stays IS NULL OR _stays")
-    once = marked.where("_stays IS NULL").select(docs.columns)
-    repeated = marked.where("_stays").select(*docs.columns, near_dup.set_digests(NEAR.shingle, "text").alias("_digest"))
-    often = judged.join(few.where("_stays"), "doc_id", "left_semi").where("NOT stays").select("doc_id", F.col("digest").alias("_digest"))
-    repeated = repeated.join(often, ["doc_id", "_digest"], "left_anti").withColumn("_wordless", F.when(F.col("_digest").isNull(), F.col("text")))
-    return once.unionByName(repeated.dropDuplicates(["doc_id", "_digest", "_wordless"]).select(docs.columns))
+    marked = docs.join(F.broadcast(few) if small else few, "doc_id", "left").where(F.col(stays).isNull() | F.col(stays))
+    once = marked.where(F.col(stays).isNull()).select(docs.columns)
+    repeated = marked.where(F.col(stays)).select(*docs.columns, near_dup.set_digests(NEAR.shingle, "text").alias(own))
+    often = judged.join(few.where(F.col(stays)), "doc_id", "left_semi").where("NOT stays").select("doc_id", F.col("digest").alias(own))
+    repeated = repeated.join(often, ["doc_id", own], "left_anti").withColumn(wordless, F.when(F.col(own).isNull(), F.col("text")))
+    # Rows of one id and set have one text but for blanks and case; the least row of them stays.
+    rest = [c for c in docs.columns if c != "doc_id"]
+    least = repeated.groupBy("doc_id", own, wordless).agg(F.min(F.struct(*rest)).alias(stays))
+    return once.unionByName(least.select("doc_id", *(F.col(stays)[c].alias(c) for c in rest)).select(docs.columns))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
