@@ -200,4 +200,8 @@ def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     """docs with the statistics, base_failed, rule (the learned rule that holds) and kept."""
     rules = learn_rules(labelled_rows(docs, labels, text_col, id_col, label_col))
     counted = text_statistics(docs, text_col)
-    return counted.withColumn("rule", rule_column(rules)).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+    # A row number, which no filter can move below: else a filter on the verdict would be pushed
+    # into the statistics and repeat their expressions for each use. No row has a negative one.
+    (number,) = free_names(counted, "number")
+    counted = counted.withColumn(number, F.monotonically_increasing_id()).withColumn("rule", rule_column(rules))
+    return counted.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull() & (F.col(number) >= 0)).drop(number)
