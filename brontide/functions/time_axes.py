@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 ISSUE_HOURS = (2, 5, 8, 11, 14, 17, 20, 23)
 ISSUE_DELAY_MINUTES = 20
 NTZ = "timestamp_ntz"
+#: The two spellings of an instant.
 _FULL = r"^[0-9]{14}$"
-_DASHED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?$"
+_DASHED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?$"
+#: Fixed value: minutes until an observation slot is published.
+PUBLISH_DELAY_MINUTES = 10
 
 
 def _col(c: Column | str) -> Column:
@@ -26,15 +29,19 @@ def parse(text: Column, pattern: str) -> Column:
 
 
 def wall_clock(text: Column | str) -> Column:
-    """14 digits or yyyy-MM-dd HH:mm[:ss[.f]]; anything else is null."""
-    t = F.trim(_col(text).cast("string"))
-    dashed = F.try_to_timestamp(t).cast(NTZ)
-    return F.when(t.rlike(_FULL), parse(t, "yyyyMMddHHmmss")).when(t.rlike(_DASHED), dashed)
+    """14 digits or yyyy-MM-dd HH:mm[:ss[.f]]; anything else, outer blanks too, is null. A
+    fraction beyond microseconds is rounded to the nearest, halves up."""
+    t = _col(text).cast("string")
+    to_second = F.try_to_timestamp(F.regexp_replace(t, r"\.[0-9]+$", "")).cast(NTZ)
+    digits = F.regexp_extract(t, r"\.([0-9]{1,6})", 1)
+    micros = F.rpad(digits, 6, "0").try_cast("int") + F.when(t.rlike(r"\.[0-9]{6}[5-9]"), 1).otherwise(0)
+    dashed = to_second + F.coalesce(F.make_dt_interval(secs=micros / F.lit(1_000_000).cast("decimal(18,6)")), F.expr("INTERVAL 0 SECONDS"))
+    return F.when(t.rlike(_FULL), parse(t, "yyyyMMddHHmmss")).when(t.rlike(_DASHED), F.when(t.contains("."), dashed).otherwise(F.try_to_timestamp(t).cast(NTZ)))
 
 
 def wall_clock_from_parts(day: Column | str, time: Column | str) -> Column:
     """yyyyMMdd with HHmm or HHmmss; anything else is null."""
-    d, t = F.trim(_col(day).cast("string")), F.trim(_col(time).cast("string"))
+    d, t = _col(day).cast("string"), _col(time).cast("string")
     full = F.concat(d, F.rpad(t, 6, "0"))
     good = d.rlike("^[0-9]{8}$") & t.rlike("^([0-9]{4}|[0-9]{6})$")
     return F.when(good, parse(full, "yyyyMMddHHmmss"))
@@ -88,7 +95,7 @@ def slot_instant(day: Column | str, time: Column | str, offset: int = 9) -> Colu
     return wall_clock_from_parts(day, time) - F.expr(f"INTERVAL {offset} HOURS")
 
 
-def published_slot(at: Column | str, delay: int = 40) -> Column:
+def published_slot(at: Column | str, delay: int = PUBLISH_DELAY_MINUTES) -> Column:
     """The newest hourly observation slot that is published at an instant."""
     return F.date_trunc("HOUR", _col(at) - F.expr(f"INTERVAL {delay} MINUTES")).cast(NTZ)
 

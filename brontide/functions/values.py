@@ -95,10 +95,22 @@ def risk_labels() -> Column:
     return F.array_join(F.array_compact(F.array(*(F.when(F.col(k), F.lit(v)) for k, v in RISKS.items()))), ", ")
 
 
-def item_signature(columns: list[Column]) -> Column:
-    """SHA-256 of a JSON list of tagged values, so that null differs from any text."""
-    tagged = [F.when(c.isNull(), F.lit("N:<NULL>")).otherwise(F.concat(F.lit("V:"), c.cast("string"))) for c in columns]
-    return F.sha2(F.to_json(F.array(*tagged)), 256)
+ITEM_FIELDS = ("base_date", "base_time", "nx", "ny", "category", "fcst_date", "fcst_time", "fcst_value")
+
+
+def item_signature(item: dict[str, Column]) -> Column:
+    """SHA-256 of a JSON list of an item's eight tagged values, so that null differs from any
+    text. Texts are trimmed, cells are whole numbers where they can be, categories upper case."""
+
+    def tagged(name: str) -> Column:
+        plain = F.trim(item[name].cast("string"))
+        if name in ("nx", "ny"):
+            plain = F.coalesce(plain.try_cast("int").cast("string"), plain)
+        if name == "category":
+            plain = F.upper(plain)
+        return F.when(item[name].isNull(), F.lit("N:<NULL>")).otherwise(F.concat(F.lit("V:"), plain))
+
+    return F.sha2(F.to_json(F.array(*map(tagged, ITEM_FIELDS))), 256)
 
 
 def wide_measures(value: str, code: str, raw: str = "fcst_value_raw", semantic: bool = False) -> list[Column]:

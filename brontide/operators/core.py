@@ -27,8 +27,9 @@ def never_coalesced(manifest: DataFrame) -> DataFrame:
 
 
 def winner(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """One row of each key: that with the largest order. An aggregate, so nothing is sorted by
-    key and partial winners are found before the shuffle."""
+    """One row of each key: that with the largest order. An aggregate, so partial winners are
+    found before the shuffle and only they cross it; as rows hold texts, Spark aggregates them by
+    sorting on the key on either side."""
     rest = [c for c in rows.columns if c not in key]
     best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_w")
     return rows.groupBy(*key).agg(best).select(*key, *(F.col(f"_w.{c}").alias(c) for c in rest)).select(rows.columns)
@@ -71,14 +72,14 @@ def asof_windows(left: DataFrame, right: DataFrame, key: list[str], at: str, iss
     return wanted.drop("_h").join(best, [*key, at, "vintage_label"], "left")
 
 
-def active_at_edges(windows: DataFrame, start: str, end: str, key: str) -> DataFrame:
-    """At each hour where a window starts or ends: how many keys have an active window.
+def active_at_edges(windows: DataFrame, start: str, end: str) -> DataFrame:
+    """At each hour where a window starts or ends: how many windows are active.
 
     Windows are short runs of hours, so they are exploded into hours and joined by equality.
     """
     edges = windows.select(F.col(start).alias("edge_at")).union(windows.select(F.col(end).alias("edge_at"))).distinct()
-    hours = windows.select(key, F.explode(F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))).alias("edge_at"))
-    return hours.join(edges, "edge_at").groupBy("edge_at").agg(F.countDistinct(key).alias("active_count"))
+    hours = windows.select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))).alias("edge_at"))
+    return hours.groupBy("edge_at").agg(F.count("*").alias("active_count")).join(edges, "edge_at", "left_semi")
 
 
 def hour_sequence(start: Column, end: Column) -> Column:

@@ -3,6 +3,8 @@ of their runs, nations as places and grid cells. SQL says the same, for comparis
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from brontide.functions.time_axes import NTZ, as_of_hour
 from brontide.plans import models
+from brontide.sources.tables import VersionedTable, work_folder
 
 SOURCE = "forecast"
 AS_OF: datetime = as_of_hour("2024-01-15 00:00:00")
@@ -112,17 +115,18 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Products:
-    """The model graph over the feed; each product is planned when it is asked for."""
+    """The model graph over the feed. As it is, each product is planned when it is asked for;
+    with a keeper, silver, marts and hourly outlooks are written once and read from then on."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, keep: Callable[[str, DataFrame], DataFrame] = lambda _, df: df):
+        self.spark, self.sf_dir, self.keep = spark, sf_dir, keep
         self.manifest, self.bronze = manifest(spark, sf_dir), bronze(spark, sf_dir)
-        self.places, self.grid = places(spark, sf_dir), grid(spark, sf_dir)
-        self.silver = models.silver(self.bronze, self.manifest, SOURCE)
-        self.place_mart = models.place_mart(self.silver, self.places, AS_OF)
-        self.grid_mart = models.grid_mart(self.silver, self.grid, AS_OF)
-        self.hourly = models.place_hourly(self.place_mart)
-        self.grid_hourly = models.grid_hourly(self.grid_mart)
+        self.places, self.grid = keep("places", places(spark, sf_dir)), keep("grid", grid(spark, sf_dir))
+        self.silver = keep("silver", models.silver(self.bronze, self.manifest, SOURCE))
+        self.place_mart = keep("place_mart", models.place_mart(self.silver, self.places, AS_OF))
+        self.grid_mart = keep("grid_mart", models.grid_mart(self.silver, self.grid, AS_OF))
+        self.hourly = keep("hourly", models.place_hourly(self.place_mart))
+        self.grid_hourly = keep("grid_hourly", models.grid_hourly(self.grid_mart))
 
     @property
     def tables(self) -> dict[str, DataFrame]:
@@ -137,6 +141,43 @@ class Products:
         }
 
 
+#: Where the gold of each session and folder is.
+_GOLD: dict[tuple[str, str], Products] = {}
+
+
+def kept(spark: SparkSession, sf_dir: str) -> Products:
+    """The model graph, written once in a session as versioned tables; readers of gold share it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GOLD:
+        root = f"{work_folder(spark)}/gold-{uuid.uuid4().hex}"
+
+        def keep(name: str, df: DataFrame) -> DataFrame:
+            table = VersionedTable(spark, f"{root}/{name}")
+            table.swap(table.stage(df))
+            return table.read()
+
+        _GOLD[key] = Products(spark, sf_dir, keep)
+    return _GOLD[key]
+
+
+def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The gold products as tables; each is written the first time that it is asked for."""
+    products = kept(spark, sf_dir)
+    return _Gold(products)
+
+
+class _Gold(dict):
+    def __init__(self, products: Products):
+        super().__init__()
+        self._products = products
+        products.gold = getattr(products, "gold", {})
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self._products.gold:
+            self._products.gold[name] = self._products.keep(name, self._products.tables[name])
+        return self._products.gold[name]
+
+
 _E = "events WHERE event_id IS NOT NULL AND ts IS NOT NULL AND user_id IS NOT NULL"
 _LIST = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 #: SQL of the same, as common table expressions.

@@ -272,20 +272,21 @@ def legal_links(links: DataFrame, city: str) -> DataFrame:
 
 
 def crosswalk(a: DataFrame, b: DataFrame) -> dict[str, DataFrame]:
-    """Units of two sources matched by region and normalised name. a: code, region, name;
-    b: stat_code, stat_region_code, region, name. The ordinal goes on side a only where b has none.
-    """
-    key = lambda strip: F.concat_ws("|", text.unit_name(F.col("region")), text.unit_name(F.col("name"), strip))
-    left, right = a.withColumn("_k", key(True)), b.withColumn("_k", key(True)).select("_k", "stat_code", "stat_region_code")
-    twice = lambda rows: rows.groupBy("_k").count().where("count > 1")
-    matched = left.join(right, "_k")
-    regions = matched.groupBy("region").agg(F.countDistinct("stat_region_code").alias("n")).where("n > 1")
+    """Units of two sources matched by region and normalised name. a: code, region, name (and
+    more columns); b: stat_code, stat_region_code, region, name. The ordinal mark goes on side a
+    only. Of several units of b with one key the first by code counts and the key is reported;
+    a region of several code prefixes is a conflict."""
+    key = lambda strip: F.concat_ws("|", text.region_name(F.col("region")), text.unit_name(F.col("name"), strip))
+    left, right = a.withColumn("_k", key(True)), b.withColumn("_k", key(False)).select("_k", "stat_code", "stat_region_code")
+    one = right.groupBy("_k").agg(F.min(F.struct("stat_code", "stat_region_code")).alias("_b"), F.count("*").alias("_n"))
+    matched = left.join(one, "_k").select(*left.columns, F.col("_b.stat_code").alias("stat_code"), F.col("_b.stat_region_code").alias("stat_region_code"))
+    prefixes = a.groupBy(text.region_name(F.col("region")).alias("region")).agg(F.array_sort(F.collect_set(F.substring(F.trim("code"), 1, 5))).alias("codes"))
     return {
         "matched": matched.drop("_k"),
-        "unmatched_a": left.join(right, "_k", "left_anti").drop("_k"),
+        "unmatched_a": left.join(one, "_k", "left_anti").drop("_k"),
         "unmatched_b": right.join(left, "_k", "left_anti").drop("_k"),
-        "duplicates": twice(left).unionByName(twice(right)),
-        "conflicts": regions,
+        "duplicates": one.where("_n > 1").select(F.col("_k").alias("key"), F.col("_n").alias("n")),
+        "conflicts": prefixes.where(F.size("codes") > 1),
     }
 
 
@@ -295,16 +296,24 @@ def boundaries(shapes: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def place_reference(place_dim: DataFrame, prefix: str, pattern: str) -> dict[str, DataFrame]:
-    """The place table for lookups: violations, alias keys and the population's revision."""
+    """The place table for lookups: rows with normalised names, violations, alias keys of the
+    units' names and the population's revision."""
     c = F.col
-    by_id, by_unit = (place_dim.groupBy(*k).count().where("count > 1") for k in (["place_id"], ["admin_dong", "gu"]))
-    bad = place_dim.where(~c("place_id").rlike(pattern) | c("place_id").isNull()).select(F.lit("id_form").alias("violation"), "place_id")
+    rows = place_dim.select(*(text.place_name(c(k)).alias(k) for k in ("place_id", "admin_dong", "gu")))
+    empty = F.coalesce(c("place_id") == "", F.lit(True)) | F.coalesce(c("admin_dong") == "", F.lit(True)) | F.coalesce(c("gu") == "", F.lit(True))
+    reason = F.when(empty, "empty_field").when(~c("place_id").rlike(pattern), "id_form")
+    bad = rows.select(reason.alias("violation"), "place_id").where("violation IS NOT NULL")
+    by_id, by_unit = (rows.groupBy(*k).count().where("count > 1") for k in (["place_id"], ["admin_dong", "gu"]))
     bad = bad.unionByName(by_id.select(F.lit("duplicate_id").alias("violation"), "place_id"))
     bad = bad.unionByName(by_unit.select(F.lit("duplicate_unit").alias("violation"), F.concat_ws("/", "gu", "admin_dong").alias("place_id")))
-    keys = place_dim.select("place_id", F.explode(text.alias_keys(c("place_name"), c("admin_dong"), c("gu"))).alias("alias_key"))
-    return {"violations": bad, "aliases": keys, "revision": population_revision(place_dim, prefix)}
+    none = place_dim.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("no_places").alias("violation"), F.lit(None).cast("string").alias("place_id"))
+    keys = rows.select("place_id", "gu", F.explode(text.alias_keys(c("admin_dong"))).alias("alias_key"))
+    return {"rows": rows, "violations": bad.unionByName(none), "aliases": keys, "revision": population_revision(rows, prefix)}
 
 
 def resolve_place(questions: DataFrame, aliases: DataFrame, col: str) -> DataFrame:
-    """Free-text locations with the places they may mean."""
-    return questions.withColumn("alias_key", text.place_name(F.col(col))).join(aliases, "alias_key", "left")
+    """Free-text locations with the places they may mean: any spelling of the text that is an
+    alias of the place."""
+    asked = questions.withColumn("alias_key", F.explode_outer(text.alias_keys(F.col(col))))
+    found = asked.join(aliases, "alias_key").groupBy(*questions.columns).agg(F.array_sort(F.collect_set("place_id")).alias("place_ids"))
+    return questions.join(found, questions.columns, "left")

@@ -3,6 +3,7 @@ staged writes with read-back, ledger rows, and the freshness watchdog."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -15,35 +16,56 @@ from brontide.functions.time_axes import NTZ, literal_hour
 from brontide.sources.tables import VersionedTable
 
 
+#: What a gate decides, with the serving status that is recorded.
+DECISIONS = {"publish": "published", "publish_degraded": "degraded", "skip_retain": "skipped_retained", "fail": "failed"}
+#: Policies for an empty candidate, and for rows of too few samples.
+ZERO_POLICIES = {"fail": "fail", "allow": "publish", "warn": "publish_degraded", "retain_last_good": "skip_retain"}
+SAMPLE_POLICIES = ("allow", "suppress_row", "flag_degraded")
+
+
 @dataclass(frozen=True)
 class Contract:
-    """How one product is published. on_zero: fail, allow, warn or retain."""
+    """How one product is published."""
 
     product: str
     key: tuple[str, ...]
     columns: dict[str, str]  # name -> INTEGER, REAL or TEXT
-    on_zero: str = "fail"
-    most_drop: float = 0.5
+    zero_policy: str = "retain_last_good"
+    partial_min_ratio: float | None = None
     coverage: dict[str, tuple[int, float]] = field(default_factory=dict)  # column -> distinct values expected, least share
     freshness_field: str | None = None
     slo_minutes: int = 360
 
 
-def gate(rows: int, last_good: int | None, on_zero: str, most_drop: float) -> str:
-    """publish, warn, retain or fail for a candidate's row count."""
-    if on_zero not in ("fail", "allow", "warn", "retain"):
-        raise ValueError(f"no such policy: {on_zero}")
+def gate(rows: int, last_good: int | None, zero_policy: str, partial_min_ratio: float | None = None) -> str:
+    """What to do with a candidate of so many rows. An empty one goes by its policy; one that
+    has lost more than the ratio allows keeps the last good version."""
+    if zero_policy not in ZERO_POLICIES:
+        raise ValueError(f"no such policy: {zero_policy}")
     if rows == 0:
-        return {"fail": "fail", "allow": "publish", "warn": "warn", "retain": "retain"}[on_zero]
-    if last_good and rows < last_good * (1 - most_drop):
-        return "fail"
+        return ZERO_POLICIES[zero_policy]
+    if partial_min_ratio is not None and last_good and rows < last_good * partial_min_ratio:
+        return "skip_retain"
     return "publish"
 
 
-def reliable(rows: DataFrame, sample: str, least: int, how: str = "flag") -> DataFrame:
-    """Rows below a minimum sample are dropped or flagged."""
-    few = F.coalesce(F.col(sample) < least, F.lit(True))
-    return rows.where(~few) if how == "suppress" else rows.withColumn("low_sample", few)
+def gate_column(rows: Column, last_good: Column, zero_policy: str, partial_min_ratio: float | None = None) -> Column:
+    """gate for many products at once."""
+    if zero_policy not in ZERO_POLICIES:
+        raise ValueError(f"no such policy: {zero_policy}")
+    partial = F.lit(False) if partial_min_ratio is None else (last_good > 0) & (rows < last_good * partial_min_ratio)
+    return F.when(rows == 0, ZERO_POLICIES[zero_policy]).when(F.coalesce(partial, F.lit(False)), "skip_retain").otherwise("publish")
+
+
+def reliable(rows: DataFrame, sample: str, least: float, policy: str = "allow") -> tuple[DataFrame, Column]:
+    """(rows to write, whether the publication is degraded, as an aggregate of the input rows).
+    suppress_row drops rows of fewer samples than the least, flag_degraded keeps them."""
+    if policy not in SAMPLE_POLICIES:
+        raise ValueError(f"no such policy: {policy}")
+    value = F.col(sample).try_cast("double")
+    enough = F.coalesce(value >= least, F.lit(False)) & ~F.isnan(F.coalesce(value, F.lit(0.0)))
+    degraded = F.lit(False) if policy == "allow" else F.coalesce(F.bool_or(~enough), F.lit(False))
+    return (rows.where(enough) if policy == "suppress_row" else rows), degraded
 
 
 def key_stats(rows: DataFrame, key: tuple[str, ...], coverage: dict[str, tuple[int, float]] | None = None) -> DataFrame:
@@ -92,40 +114,63 @@ def freshness_at(rows: DataFrame, column: str, upstream: DataFrame | None = None
     return newest
 
 
-def content_digest(rows: DataFrame, key: tuple[str, ...], columns: dict[str, str], buckets: int = 256) -> DataFrame:
-    """One row: count and a digest that is equal for equal content in any order.
+def _cell(rows: DataFrame, column: str, kind: str) -> Column:
+    """A value's text for digests. A REAL's shortest text tells values apart as well as 17
+    digits do, so it stays in Spark; what a kind cannot hold is refused."""
+    of = rows.schema[column].dataType.simpleString()
+    if kind != "REAL":
+        return text.canonical(F.col(column), kind, of)
+    if of == "boolean":
+        raise ValueError("a boolean is no REAL")
+    value = F.col(column).try_cast("double")
+    good = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
+    return F.when(F.col(column).isNull(), F.lit(None).cast("string")).when(good, value.cast("string")).otherwise(F.raise_error(F.lit(f"{column}: a REAL is a finite number")).cast("string"))
+
 
-    Each row's canonical text has a digest; rows fall into buckets by it, each bucket's sorted
-    digests have one, and the buckets' digests give the last. A bucket's rows are further dealt
-    by 16 bits first, so no task or value holds more than its part of the digests.
+def content_digest(rows: DataFrame, key: tuple[str, ...], columns: dict[str, str], namespace: str = "content") -> DataFrame:
+    """One row: count and a digest that is equal for equal content in any order, and only with
+    equal namespace, columns, kinds and key. Null and repeated keys are refused.
+
+    Rows fall into buckets by 24 bits of their key's digest; each bucket's rows in order of the
+    key's digest have one digest, and so have the buckets of 12 bits and all of them, so no task
+    or value holds more than its part of the digests.
     """
-    cells = F.array(*(F.coalesce(F.concat(F.lit(f"{k[0]}:"), text.canonical(F.col(c), k)), F.lit("N:")) for c, k in sorted(columns.items())))
-    each = rows.select(F.sha2(F.to_json(cells), 256).alias("d"))
-    fine = each.groupBy(F.substring("d", 1, 6).alias("p")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("d")), ""), 256).alias("d"))
-    coarse = fine.groupBy(F.substring("p", 1, 3).alias("p")).agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "d"))), lambda x: x["d"]), ""), 256).alias("d"))
-    return coarse.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.sha2(F.coalesce(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "d"))), lambda x: x["d"]), ""), F.lit("")), 256).alias("content_digest"))
+    if not key or not set(key) <= set(columns) or not namespace:
+        raise ValueError("a digest needs a namespace and a key among its columns")
+    cells = {c: _cell(rows, c, k) for c, k in columns.items()}
+    own = lambda c: F.coalesce(cells[c], F.raise_error(F.lit(f"{c}: a key is not null")).cast("string"))
+    every = F.array(*(F.coalesce(F.concat(F.lit("V:"), cells[c]), F.lit("N:")) for c in columns))
+    each = rows.select(F.sha2(F.to_json(F.array(*map(own, key))), 256).alias("k"), F.sha2(F.to_json(every), 256).alias("d"))
+    lines = lambda part: F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["d"]), "")
+    fine = each.groupBy(F.substring("k", 1, 6).alias("p")).agg(F.count("*").alias("n"), (F.count("*") - F.size(F.collect_set("k"))).alias("twice"), F.sha2(lines(F.struct("k", "d")), 256).alias("d"))
+    coarse = fine.groupBy(F.substring("p", 1, 3).alias("p")).agg(F.sum("n").alias("n"), F.sum("twice").alias("twice"), F.sha2(lines(F.struct("p", "d")), 256).alias("d"))
+    head = json.dumps([namespace, list(columns.items()), list(key)], ensure_ascii=False)
+    whole = coarse.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.coalesce(F.sum("twice"), F.lit(0)).alias("twice"), F.sha2(F.concat(F.lit(head), F.coalesce(lines(F.struct("p", "d")), F.lit(""))), 256).alias("d"))
+    refused = F.raise_error(F.lit("a key comes twice")).cast("string")
+    return whole.select("row_count", F.when(F.col("twice") == 0, F.col("d")).otherwise(refused).alias("content_digest"))
+
+
+LEDGER = "product string, published_at string, row_count long, decision string, serving_status string, content_digest string, version int, violations string"
 
 
 def publish(spark: SparkSession, candidate: DataFrame, contract: Contract, root: str, now: datetime, verify: Callable[[DataFrame], None] | None = None) -> dict:
-    """Gate, stage, read back, compare digests, swap, ledger. Whatever fails before the swap
-    leaves the last good version as the table."""
+    """Gate, stage, read back, compare digests, swap, ledger. Whatever fails before the swap, or
+    is to be skipped, leaves the last good version as the table; only failures raise."""
     table = VersionedTable(spark, f"{root}/{contract.product}")
-    ledger = f"{root}/_ledger"
     last = table.read().count() if table.current() else None
     stats = key_stats(candidate, contract.key, contract.coverage)
-    counts = stats.first()
-    decision = gate(counts["row_count"], last, contract.on_zero, contract.most_drop)
-    entry = {"product": contract.product, "published_at": str(now), "row_count": counts["row_count"], "decision": decision, "content_digest": None, "version": None, "violations": ""}
-    if decision in ("publish", "warn"):
+    rows = stats.first()["row_count"]
+    entry = {"product": contract.product, "published_at": str(now), "row_count": rows, "decision": gate(rows, last, contract.zero_policy, contract.partial_min_ratio), "serving_status": None, "content_digest": None, "version": None, "violations": ""}
+    if entry["decision"] in ("publish", "publish_degraded"):
         bad = [r[0] for r in key_violations(stats, contract.coverage).collect()]
-        if bad and counts["row_count"]:
+        if bad and rows:
             entry |= {"decision": "fail", "violations": ",".join(sorted(bad))}
         else:
             wanted = candidate.select(*contract.columns)
-            before = content_digest(wanted, contract.key, contract.columns).first()
+            before = content_digest(wanted, contract.key, contract.columns, contract.product).first()
             version = table.stage(wanted)
             staged = table.read(version)
-            after = content_digest(staged, contract.key, contract.columns).first()
+            after = content_digest(staged, contract.key, contract.columns, contract.product).first()
             if before != after:
                 entry |= {"decision": "fail", "violations": "content_differs"}
             else:
@@ -133,8 +178,8 @@ def publish(spark: SparkSession, candidate: DataFrame, contract: Contract, root:
                     verify(staged)
                 table.swap(version)
                 entry |= {"content_digest": after["content_digest"], "version": version}
-    schema = "product string, published_at string, row_count long, decision string, content_digest string, version int, violations string"
-    spark.createDataFrame([tuple(entry.values())], schema).write.mode("append").parquet(ledger)
+    entry["serving_status"] = DECISIONS[entry["decision"]]
+    spark.createDataFrame([tuple(entry.values())], LEDGER).write.mode("append").parquet(f"{root}/_ledger")
     if entry["decision"] == "fail":
         raise RuntimeError(f"{contract.product} was not published: {entry['violations'] or 'row count'}")
     return entry
@@ -143,7 +188,8 @@ def publish(spark: SparkSession, candidate: DataFrame, contract: Contract, root:
 def restore(spark: SparkSession, root: str, product: str) -> int:
     """Makes the version before the current one the table again."""
     table = VersionedTable(spark, f"{root}/{product}")
-    version = (table.current() or 0) - 1
+    before = [v for v in table.versions() if v < (table.current() or 0)]
+    version = before[-1] if before else 0
     table.read(version)
     table.swap(version)
     return version
@@ -210,10 +256,3 @@ def verify_queries(tables: dict[str, DataFrame], calls: dict[str, DataFrame], ma
     if empty := [n for n, k in counts.items() if not k and n not in may_be_empty]:
         raise RuntimeError(f"no rows: {', '.join(sorted(empty))}")
     return counts
-
-
-def any_of(*conditions: Column) -> Column:
-    out = F.lit(False)
-    for x in conditions:
-        out = out | x
-    return out

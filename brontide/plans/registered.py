@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from brontide.functions import geo, text, time_axes, values
 from brontide.operators import core
-from brontide.plans import assertions, evaluation, feed, models, publication, published, slots
+from brontide.plans import assertions, evaluation, feed, models, publication, published, published_sql, slots
 from brontide.plans.feed import AS_OF, SOURCE, SQL_ALL, SQL_BRONZE, SQL_SILVER, Products, read
 from brontide.plans.registry import register
 from brontide.sources import ingest, tables
@@ -93,16 +93,16 @@ FROM places p CROSS JOIN revision LEFT JOIN roll USING (place_id) LEFT JOIN pref
 register("m13_availability", SQL_ALL + _HORIZON)(lambda spark, sf_dir: Products(spark, sf_dir).tables["availability"])
 
 
-@register("m17_place_aliases", _BRONZE + """SELECT DISTINCT place_id, k AS alias_key FROM (
-    SELECT place_id, unnest([place_name, replace(place_name, ' ', ''), admin_dong, gu || ' ' || admin_dong, replace(gu || admin_dong, ' ', ''), gu || ' ' || place_name]) AS k FROM places) WHERE k <> ''""")
+@register("m17_place_aliases", _BRONZE + "SELECT place_id, gu, replace(admin_dong, ' ', '') AS alias_key FROM places")
 def m17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.place_reference(feed.places(spark, sf_dir), "places:", "^place_[0-9]+$")["aliases"]
 
 
-@register("j21_resolve_place", _BRONZE + "SELECT n_nationkey, n_name, place_id FROM nation LEFT JOIN places ON place_name = n_name")
+@register("j21_resolve_place", _BRONZE + "SELECT asked, place_id FROM (SELECT 'unit  ' || n_nationkey % 30 AS asked FROM nation) LEFT JOIN places ON replace(asked, ' ', '') = replace(admin_dong, ' ', '')")
 def j21(spark: SparkSession, sf_dir: str) -> DataFrame:
     aliases = models.place_reference(feed.places(spark, sf_dir), "places:", "^place_[0-9]+$")["aliases"]
-    return models.resolve_place(read(spark, sf_dir, "nation"), aliases, "n_name").select("n_nationkey", "n_name", "place_id")
+    asked = read(spark, sf_dir, "nation").select(F.concat(F.lit("unit  "), F.col("n_nationkey") % 30).alias("asked"))
+    return models.resolve_place(asked, aliases, "asked").select("asked", F.explode_outer("place_ids").alias("place_id"))
 
 
 # Scalar functions.
@@ -112,7 +112,7 @@ def p01(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("p03_time_axes", """SELECT event_id, date_trunc('minute', ts) AS from_parts, date_trunc('second', ts) AS from_text, ts + INTERVAL 9 HOUR AS local_at, date_sub('hour', ts, TIMESTAMP '2024-02-01 00:30:00') AS lead_hours,
-    date_trunc('hour', ts - INTERVAL 20 MINUTE) - to_hours(CAST((hour(ts - INTERVAL 20 MINUTE) + 1) % 3 AS INT)) AS issue_at, date_trunc('hour', ts - INTERVAL 40 MINUTE) AS slot_at FROM events""")
+    date_trunc('hour', ts - INTERVAL 20 MINUTE) - to_hours(CAST((hour(ts - INTERVAL 20 MINUTE) + 1) % 3 AS INT)) AS issue_at, date_trunc('hour', ts - INTERVAL 10 MINUTE) AS slot_at FROM events""")
 def p03(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("ts").cast("timestamp_ntz")
     return read(spark, sf_dir, "events").select(
@@ -126,35 +126,83 @@ def p03(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_TEXT_SECRET = r"""((?:service_?key|api_?key|access_?key|secret|token|password|passwd)["'']?\s*[=:]\s*["'']?)[^\s"''&,;}]+"""
+_SP = "[[:space:]]"
+#: The shapes of secrets as RE2 has them: it has no look-around, so what it would look at is kept.
+_SHAPES = (
+    (r"(https?://openapi\.seoul\.go\.kr(?::\d+)?/)[^/\s?#]+(/)", r"\1***REDACTED***\2", "gi"),
+    (r"""([/\s"''=:])[A-Za-z0-9%._\-]{6,}(/(?:json|xml)/)""", r"\1***REDACTED***\2", "gi"),
+    (r"(authorization\s*[:=]\s*)(?:bearer\s+)?\S+", r"\1***REDACTED***", "gi"),
+    (r"\bAKIA[0-9A-Z]{16}\b", "***REDACTED***", "g"),
+    (r"(://)[^/@\s]{1,256}(@)", r"\1***REDACTED***\2", "g"),
+    (r"""((?:service[_-]?key|api[_-]?key|access[_-]?key[_-]?id|secret[_-]?access[_-]?key|access[_-]?key|credential|signature|password|passwd|secret|token|pwd)\s*[=:]\s*["'']?)[^\s"''&;]+""", r"\1***REDACTED***", "gi"),
+)
 
 
-@register("p16_masked_texts", f"""SELECT doc_id, regexp_replace(regexp_replace(text, '(authorization\\s*[:=]\\s*(?:bearer|basic)\\s+)[^\\s"'',;]+', '\\1***', 'gi'), '{_TEXT_SECRET}', '\\1***', 'gi') AS masked FROM documents
-    WHERE regexp_matches(text, 'token|secret|key|password', 'i')""")
+def _sql_masked(text_sql: str) -> str:
+    for shape, left, flags in _SHAPES:
+        text_sql = f"regexp_replace({text_sql}, '{shape}', '{left}', '{flags}')"
+    return text_sql
+
+
+@register("p16_masked_texts", f"SELECT doc_id, {_sql_masked('text')} AS masked FROM documents")
 def p16(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").where(F.col("text").rlike("(?i)token|secret|key|password"))
-    return docs.select("doc_id", text.masked(F.col("text")).alias("masked"))
+    return read(spark, sf_dir, "documents").select("doc_id", text.masked(F.col("text")).alias("masked"))
 
 
-@register("p16_masked_all_texts")
+@register("p16_masked_all_texts", f"SELECT doc_id, md5({_sql_masked('text')}) AS masked_md5, contains({_sql_masked('text')}, '***REDACTED***') AS found FROM documents")
 def p16_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents by all patterns; the SQL of p16_masked_texts holds that query to some."""
-    return read(spark, sf_dir, "documents").select("doc_id", text.masked(F.col("text")).alias("masked"))
+    """What masking makes of every document, as digest, and whether it found anything."""
+    masked = text.masked(F.col("text"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.md5(masked.cast("binary")).alias("masked_md5"), F.contains(masked, F.lit(text.MASK)).alias("found"))
 
 
-@register("p17_neutral_logs", r"SELECT conv_id, turn, CASE WHEN length(t) > 200 THEN left(t, 200) || '…(+' || (length(t) - 200) || ')' ELSE t END AS neutral FROM (SELECT conv_id, turn, regexp_replace(text, '[\x00-\x1F\x7F]', ' ', 'g') AS t FROM conversations)")
+def _sql_neutral(text_sql: str) -> str:
+    for code, shown in ((92, r"\\"), (13, r"\r"), (10, r"\n"), (9, r"\t"), *((c, f"\\u{c:04x}") for c in text.CONTROLS if c)):
+        text_sql = f"replace({text_sql}, chr({code}), '{shown}')"
+    return text_sql
+
+
+@register("p17_neutral_logs", f"SELECT conv_id, turn, CASE WHEN length(t) > 200 THEN left(t, 200) || '…(+' || (length(t) - 200) || ')' ELSE t END AS neutral FROM (SELECT conv_id, turn, {_sql_neutral('text || chr(27) || chr(133) || chr(8232)')} AS t FROM conversations)")
 def p17(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "conversations").select("conv_id", "turn", text.neutral(F.col("text"), 200).alias("neutral"))
+    logged = F.concat("text", F.lit("\x1b\x85\u2028"))
+    return read(spark, sf_dir, "conversations").select("conv_id", "turn", text.neutral(logged, 200).alias("neutral"))
+
+
+_UNIT = "' 면목제' || p_partkey % 9 || '.' || p_size || '  동'"
+
+
+@register("p18_alias_keys", f"""SELECT DISTINCT p_partkey, alias_key FROM (SELECT p_partkey, unnest([k, j, replace(k, '.', '·'), replace(k, '.', ''), replace(j, '.', '·'), replace(j, '.', '')]) AS alias_key
+    FROM (SELECT p_partkey, replace({_UNIT}, ' ', '') AS k, regexp_replace(replace({_UNIT}, ' ', ''), '제([0-9])', '\\1', 'g') AS j FROM part))""".replace("\\\\", "\\"))
+def p18(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.lit(" 면목제"), F.col("p_partkey") % 9, F.lit("."), F.col("p_size"), F.lit("  동"))
+    return read(spark, sf_dir, "part").select("p_partkey", F.explode(text.alias_keys(name)).alias("alias_key"))
+
+
+@register("p19_unit_names", f"SELECT p_partkey, replace(replace(regexp_replace({_UNIT}, '제([0-9])', '\\1', 'g'), ' ', ''), '.', '') AS stripped, replace(replace({_UNIT} || '·-', ' ', ''), '.', '')[:-3] || '-' AS plain FROM part".replace("\\\\", "\\"))
+def p19(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.lit(" 면목제"), F.col("p_partkey") % 9, F.lit("."), F.col("p_size"), F.lit("  동"))
+    return read(spark, sf_dir, "part").select("p_partkey", text.unit_name(name, True).alias("stripped"), text.unit_name(F.concat(name, F.lit("·-"))).alias("plain"))
+
 
+_ITEM = "strftime(issued_at, '%Y%m%d') || '\",\"V:' || strftime(issued_at, '%H%M') || '\",\"V:' || nx || '\",\"V:' || ny || '\",\"V:' || category || '\",\"V:' || strftime(forecast_at, '%Y%m%d') || '\",\"V:' || strftime(forecast_at, '%H%M') || '\",\"V:' || fcst_value_raw"
 
-@register("p07_item_signature", "SELECT event_id, sha256('[\"V:' || event_type || '\",\"V:' || user_id || '\",\"N:<NULL>\"]') AS signature FROM events")
+
+@register("p07_item_signature", _BRONZE + f"SELECT raw_object_key, sha256('[\"V:' || {_ITEM} || '\"]') AS signature FROM bronze")
 def p07(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").select("event_id", values.item_signature([F.col("event_type"), F.col("user_id"), F.lit(None)]).alias("signature"))
+    return feed.bronze(spark, sf_dir).select("raw_object_key", values.item_signature({k: F.col(k) for k in values.ITEM_FIELDS}).alias("signature"))
 
 
-@register("p20_record_identity", "SELECT o_orderkey, sha256('{\"key\":' || o_orderkey || ',\"status\":\"' || o_orderstatus || '\"}') AS record_id, strftime(TIMESTAMP '2000-01-01' + to_seconds(CAST(o_orderkey % 86400 AS INT)), '%H:%M:%S') AS duration FROM orders")
+@register("p20_record_identity", """SELECT o_orderkey, sha256('{"key":' || o_orderkey || ',"none":null,"status":"' || o_orderstatus || '"}') AS record_id, CASE WHEN s < 0 THEN '-' ELSE '' END || printf('%02d:%02d:%02d', abs(s) // 3600, abs(s) % 3600 // 60, abs(s) % 60) AS duration
+    FROM (SELECT *, o_orderkey % 500000 - 3600 AS s FROM orders)""")
 def p20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "orders").select("o_orderkey", text.identity(status=F.col("o_orderstatus"), key=F.col("o_orderkey")).alias("record_id"), text.clock(F.col("o_orderkey") % 86400).alias("duration"))
+    key = F.col("o_orderkey")
+    return read(spark, sf_dir, "orders").select("o_orderkey", text.identity(status=F.col("o_orderstatus"), key=key, none=F.lit(None).cast("string")).alias("record_id"), text.clock(key % 500000 - 3600).alias("duration"))
+
+
+@register("p24_canonical_texts", "SELECT o_orderkey, o_orderkey::VARCHAR AS as_integer, format('{:.17g}', o_totalprice / 3) AS as_real, nfc_normalize(o_orderstatus || 'e' || chr(769)) AS as_text FROM orders")
+def p24(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = F.col("o_totalprice").cast("double") / 3
+    return read(spark, sf_dir, "orders").select("o_orderkey", text.canonical(F.col("o_orderkey"), "INTEGER", "bigint").alias("as_integer"), text.canonical(third, "REAL").alias("as_real"), text.canonical(F.concat("o_orderstatus", F.lit("e\u0301")), "TEXT", "string").alias("as_text"))
 
 
 # Joins, windows and upserts.
@@ -288,35 +336,104 @@ def a13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.confusion_metrics(_probabilities(spark, sf_dir), ["g"], F.col("l_quantity") > 25, F.col("l_tax") > 0.04)
 
 
+_VARIABLES = {"TMP": ("temperature_air_2m", "degC"), "WSD": ("wind_speed", "m/s"), "REH": ("relative_humidity", "percent"), "POP": ("precipitation_probability", "1")}
+_INSTANT = lambda c: F.col(c).cast("timestamp")
+
+
 def _forecasts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Temperatures of silver as vintages, and a truth for two hours in three."""
-    s = Products(spark, sf_dir).silver.where("category = 'TMP'")
-    instant = lambda c: F.col(c).cast("timestamp")
+    """Numbers of silver as vintages of four variables, one of them a probability, and truth of
+    several revisions, qualities and instants for two hours in three."""
+    s = feed.kept(spark, sf_dir).silver.where(F.col("category").isin(*_VARIABLES) & F.col("value_num").isNotNull())
+    pick = lambda i: F.try_element_at(F.create_map(*(F.lit(x) for k, v in _VARIABLES.items() for x in (k, v[i]))), "category")
     grid = F.concat_ws("_", F.lit("kma"), "nx", "ny")
     none = [F.lit(None).cast("boolean").alias("value_bool"), F.lit(None).cast("string").alias("value_text")]
-    v = s.select(F.lit("short").alias("product_family"), grid.alias("grid_id"), "nx", "ny", F.lit("temperature_2m").alias("variable"), F.lit("continuous").alias("value_kind"), F.col("value_num").alias("value_double"), *none, F.lit("celsius").alias("unit"), instant("issued_at").alias("issued_at"), instant("forecast_at").alias("valid_at"), "source_id", F.col("raw_object_key").alias("source_revision"))
-    t = s.groupBy(grid.alias("grid_id"), "nx", "ny", instant("forecast_at").alias("observed_at")).agg(F.avg("value_num").alias("value_double")).where(F.hour("observed_at") % 3 != 0)
-    late = F.col("observed_at") + F.expr("INTERVAL 1 HOUR")
-    t = t.select("grid_id", "nx", "ny", F.lit("temperature_2m").alias("variable"), F.lit("continuous").alias("value_kind"), "value_double", *none, F.lit("celsius").alias("unit"), "observed_at", F.lit("station").alias("truth_source"), F.lit("r1").alias("truth_revision"), late.alias("truth_as_of"), late.alias("collected_at"), F.lit("final").alias("quality"))
+    chance = F.col("category") == "POP"
+    s = s.withColumns({"variable": pick(0), "unit": pick(1), "kind": F.when(chance, "probability").otherwise("continuous"), "value_double": F.when(chance, F.col("value_num") / 128).otherwise(F.col("value_num"))})
+    v = s.select(F.lit("short").alias("product_family"), grid.alias("grid_id"), "nx", "ny", "variable", F.col("kind").alias("value_kind"), "value_double", *none, "unit", _INSTANT("issued_at").alias("issued_at"), _INSTANT("forecast_at").alias("valid_at"), "source_id", F.col("raw_object_key").alias("source_revision"))
+    one = s.where(F.hour("forecast_at") % 3 != 0).groupBy(grid.alias("grid_id"), "nx", "ny", "variable", "unit", "kind", _INSTANT("forecast_at").alias("observed_at")).agg(F.max("value_double").alias("y"))
+    day, hour, binary = F.dayofmonth("observed_at"), F.hour("observed_at"), F.col("kind") == "probability"
+    quality = F.when(day % 7 == 3, "rejected").when(day % 7 == 4, "provisional").otherwise("final")
+    revisions = F.explode(F.array(F.struct(F.lit("r1").alias("r"), F.lit(1).alias("late"), F.lit(0).alias("more")), F.struct(F.lit("r2").alias("r"), F.when(hour == 4, 1).otherwise(30).alias("late"), F.when(day % 5 == 0, 2).otherwise(0).alias("more"))))
+    t = one.withColumns({"x": revisions, "quality": quality}).withColumn("truth_as_of", F.col("observed_at") + F.make_dt_interval(hours=F.col("x.late")))
+    collected = F.col("truth_as_of") + F.make_dt_interval(hours=F.col("nx") % 3 * 20)
+    unit = F.when((F.col("nx") == 58) & ~binary, "other").otherwise(F.col("unit"))
+    y = F.col("y") + F.col("x.more")
+    t = t.select("grid_id", "nx", "ny", "variable", F.when(binary, "binary").otherwise("continuous").alias("value_kind"), F.when(~binary, y).alias("value_double"), F.when(binary, y >= 0.5).alias("value_bool"), none[1], unit.alias("unit"), "observed_at", F.lit("station").alias("truth_source"), F.col("x.r").alias("truth_revision"), "truth_as_of", collected.alias("collected_at"), "quality")
     return v, t
 
 
-@register("e08_cohorts", _SILVER + """, t AS (SELECT nx, forecast_at, avg(value_num) AS y FROM silver WHERE category = 'TMP' AND hour(forecast_at) % 3 <> 0 GROUP BY ALL),
-    pick AS (SELECT nx, forecast_at, label, max_by(value_num, struct_pack(a := issued_at, b := raw_object_key)) AS x FROM silver JOIN (VALUES ('D-1', 24)) v(label, h) ON issued_at <= forecast_at - to_hours(h) AND issued_at >= forecast_at - to_hours(h + 3) WHERE category = 'TMP' GROUP BY ALL)
-    SELECT label AS vintage_label, strftime(forecast_at, '%Y-%m-%d %H') AS valid_hour, count(y) AS sample_count, round(avg(abs(x - y)), 12) AS mae, CASE WHEN count(y) < 30 OR count(y) / 5 < 0.8 THEN 'insufficient_evidence' ELSE 'sufficient' END AS evidence_state
-    FROM pick LEFT JOIN t USING (nx, forecast_at) GROUP BY 1, 2""")
-def e08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, t = _forecasts(spark, sf_dir)
-    picked = evaluation.select_vintages(v, {"D-1": 24})
-    resolved = evaluation.resolve_truth(t, AS_OF.replace(year=2025))
-    rows = evaluation.cohorts(evaluation.match(picked, resolved), picked, 5)
-    return rows.where("exclusions IS NOT NULL OR sample_count > 0").select("vintage_label", F.date_format("valid_at", "yyyy-MM-dd HH").alias("valid_hour"), "sample_count", "mae", "evidence_state")
+_EVALUATED_AT = AS_OF.replace(day=20)
+_E = f"TIMESTAMP '{_EVALUATED_AT}'"
+_SQL_TRUTH = _SILVER + f""", num AS (SELECT nx, CASE category {' '.join(f"WHEN '{k}' THEN '{v}'" for k, (v, _) in _VARIABLES.items())} END AS variable, CASE category {' '.join(f"WHEN '{k}' THEN '{u}'" for k, (_, u) in _VARIABLES.items())} END AS unit,
+        category = 'POP' AS chance, CASE WHEN category = 'POP' THEN value_num / 128 ELSE value_num END AS x, issued_at, forecast_at, raw_object_key FROM silver WHERE category IN ('TMP', 'WSD', 'REH', 'POP') AND value_num IS NOT NULL),
+    one AS (SELECT nx, variable, unit, chance, forecast_at AS o, max(x) AS y FROM num WHERE hour(forecast_at) % 3 <> 0 GROUP BY ALL),
+    revised AS (SELECT one.*, r, y + CASE WHEN r = 'r2' AND day(o) % 5 = 0 THEN 2 ELSE 0 END AS v, o + to_hours(CASE WHEN r = 'r1' OR hour(o) = 4 THEN 1 ELSE 30 END) AS as_of, CASE day(o) % 7 WHEN 3 THEN 'rejected' WHEN 4 THEN 'provisional' ELSE 'final' END AS quality FROM one CROSS JOIN (VALUES ('r1'), ('r2')) t(r)),
+    truth AS (SELECT *, as_of + to_hours(nx % 3 * 20) AS collected, CASE WHEN nx = 58 AND NOT chance THEN 'other' ELSE unit END AS truth_unit FROM revised),
+    early AS (SELECT *, CASE WHEN as_of > {_E} THEN 'future_truth_revision' WHEN collected > {_E} THEN 'future_collection' END AS e FROM truth),
+    seen AS (SELECT *, rank() OVER (PARTITION BY nx, variable, o ORDER BY as_of DESC) AS k, row_number() OVER (PARTITION BY nx, variable, o ORDER BY as_of DESC, r DESC) AS n FROM early WHERE e IS NULL),
+    conflict AS (SELECT nx, variable, o, count(DISTINCT CASE WHEN chance THEN (v >= 0.5)::VARCHAR ELSE v::VARCHAR END) > 1 AS bad FROM seen WHERE k = 1 GROUP BY ALL),
+    resolved AS (SELECT nx, variable, chance, o, r, v, truth_unit, quality, CASE WHEN bad THEN 'conflicting_revisions' WHEN quality = 'rejected' THEN 'rejected_truth' WHEN quality = 'provisional' AND o + INTERVAL 6 HOUR < {_E} THEN 'stale_provisional_truth' END AS e
+        FROM seen JOIN conflict USING (nx, variable, o) WHERE n = 1 UNION ALL SELECT nx, variable, chance, o, r, v, truth_unit, quality, e FROM early WHERE e IS NOT NULL)
+"""
 
 
-@register("e05_truth_resolution", _SILVER + "SELECT nx, forecast_at AS observed_at, avg(value_num) AS value_double, CASE WHEN forecast_at + INTERVAL 1 HOUR > TIMESTAMP '2024-01-20 00:00:00' THEN 'future_truth_revision' END AS exclusion FROM silver WHERE category = 'TMP' AND hour(forecast_at) % 3 <> 0 GROUP BY ALL")
+@register("e05_truth_resolution", _SQL_TRUTH + "SELECT 'kma_' || nx || '_123' AS grid_id, variable, o AS observed_at, r AS truth_revision, CASE WHEN NOT chance THEN v END AS value_double, CASE WHEN chance THEN v >= 0.5 END AS value_bool, e AS exclusion FROM resolved")
 def e05(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, t = _forecasts(spark, sf_dir)
-    return evaluation.resolve_truth(t, AS_OF.replace(day=20)).select("nx", F.col("observed_at").cast("timestamp_ntz").alias("observed_at"), "value_double", "exclusion")
+    return evaluation.resolve_truth(t, _EVALUATED_AT).select("grid_id", "variable", F.col("observed_at").cast("timestamp_ntz").alias("observed_at"), "truth_revision", "value_double", "value_bool", "exclusion")
+
+
+_SQL_MATCHED = _SQL_TRUTH + """, labels AS (SELECT * FROM (VALUES ('D-3', 72), ('D-2', 48), ('D-1', 24)) t(label, h)),
+    fit AS (SELECT nx, variable, unit, chance, forecast_at AS o, label, max_by(x, struct_pack(a := issued_at, b := raw_object_key)) AS x FROM num JOIN labels ON issued_at <= forecast_at - to_hours(h) AND issued_at >= forecast_at - to_hours(h + 3) GROUP BY ALL),
+    matched AS (SELECT fit.*, t.v, t.r, CASE WHEN t.o IS NULL THEN 'missing_or_ineligible_truth' WHEN t.truth_unit <> fit.unit THEN 'incompatible_unit' END AS reason FROM fit LEFT JOIN (SELECT * FROM resolved WHERE e IS NULL) t ON t.nx = fit.nx AND t.variable = fit.variable AND t.o = fit.o)
+"""
+
+
+def _matched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    v, t = _forecasts(spark, sf_dir)
+    picked, resolved = evaluation.select_vintages(v), evaluation.resolve_truth(t, _EVALUATED_AT)
+    return picked, resolved, evaluation.match(picked, resolved)
+
+
+@register("e07_matches", _SQL_MATCHED + "SELECT variable, label AS vintage_label, coalesce(reason, 'matched') AS reason, count(*) AS n FROM matched GROUP BY ALL")
+def e07(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, rows = _matched(spark, sf_dir)
+    return rows.groupBy("variable", "vintage_label", F.coalesce("match_reason", F.lit("matched")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+_FAMILY = "CASE WHEN chance THEN 'probabilistic' ELSE 'continuous' END"
+_SQL_COHORTS = _SQL_MATCHED + f""", cohort AS (SELECT substr(sha256('["short","' || variable || '","' || label || '","' || strftime(o, '%Y-%m-%d %H:%M:%S+00:00') || '","' || {_FAMILY} || '","' || unit || '"]'), 1, 24) AS cohort_id, variable, label AS vintage_label, {_FAMILY} AS metric_family, unit, chance,
+        count(*) FILTER (reason IS NULL) AS sample_count, count(*) FILTER (reason = 'missing_or_ineligible_truth') AS missing_truth, count(*) FILTER (reason = 'incompatible_unit') AS incompatible_unit,
+        round(avg(round(abs(x - v), 12)) FILTER (reason IS NULL AND NOT chance), 12) AS mae, round(avg(round(x - v, 12)) FILTER (reason IS NULL AND NOT chance), 12) AS bias, round(avg(round((x - (v >= 0.5)::INT) ^ 2, 12)) FILTER (reason IS NULL AND chance), 12) AS brier_score,
+        CASE WHEN chance AND count(*) FILTER (reason IS NULL) > 0 THEN count(*) FILTER (reason IS NULL AND x >= 0.5 AND v >= 0.5) END AS true_positive
+        FROM matched GROUP BY variable, label, o, unit, chance)
+"""
+
+
+@register("e08_cohorts", _SQL_COHORTS + "SELECT * EXCLUDE (chance), sample_count / 5 AS matched_coverage, CASE WHEN sample_count < 30 OR sample_count / 5 < 0.8 THEN 'insufficient_evidence' ELSE 'sufficient' END AS evidence_state FROM cohort")
+def e08(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, rows = _matched(spark, sf_dir)
+    out = evaluation.cohorts(rows, 5)
+    n = lambda k: F.coalesce(F.try_element_at("excluded_counts", F.lit(k)), F.lit(0))
+    return out.select("cohort_id", "variable", "vintage_label", "metric_family", "unit", "sample_count", n("missing_or_ineligible_truth").alias("missing_truth"), n("incompatible_unit").alias("incompatible_unit"), "mae", "bias", "brier_score", "true_positive", "matched_coverage", "evidence_state")
+
+
+@register("e10_exclusion_counts", _SQL_MATCHED + """, series AS (SELECT DISTINCT nx, variable, forecast_at AS o FROM num)
+    SELECT 'vintage_gap' AS kind, label AS name, count(*) FILTER (fit.o IS NULL) AS n FROM series CROSS JOIN labels LEFT JOIN fit USING (nx, variable, o, label) GROUP BY label
+    UNION ALL SELECT 'truth_excluded', e, count(*) FROM resolved WHERE e IS NOT NULL GROUP BY e""")
+def e10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    picked, resolved, _ = _matched(spark, sf_dir)
+    return evaluation.exclusion_counts(picked, resolved)
+
+
+@register("e11_claims", _SQL_COHORTS + """SELECT metric_family, metric_name, metric_unit, refusal, count(*) AS n FROM (
+    SELECT 'continuous' AS metric_family, m AS metric_name, unit AS metric_unit, 'insufficient_evidence' AS refusal FROM cohort CROSS JOIN (VALUES ('mae'), ('rmse'), ('bias')) t(m) WHERE NOT chance AND sample_count > 0
+    UNION ALL SELECT f, m, u, 'insufficient_evidence' FROM cohort CROSS JOIN (VALUES ('probabilistic', 'brier_score', 'probability_squared'), ('probabilistic', 'expected_calibration_error', 'ratio'), ('categorical', 'true_positive', 'count'), ('categorical', 'false_positive', 'count'),
+        ('categorical', 'true_negative', 'count'), ('categorical', 'false_negative', 'count'), ('categorical', 'precision', 'ratio'), ('categorical', 'recall', 'ratio'), ('categorical', 'f1', 'ratio'), ('categorical', 'accuracy', 'ratio'), ('categorical', 'positive_prevalence', 'ratio')) t(f, m, u) WHERE chance AND sample_count > 0) GROUP BY ALL""")
+def e11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At five cells every cohort is below the evidence gate, so every claim is refused."""
+    _, _, rows = _matched(spark, sf_dir)
+    return evaluation.claims(evaluation.cohorts(rows, 5)).groupBy("metric_family", "metric_name", "metric_unit", "refusal").agg(F.count("*").alias("n"))
 
 
 # Assertions: how many rows break each.
@@ -364,12 +481,20 @@ def g03(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("g06_content_digest")
 def g06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publication.content_digest(read(spark, sf_dir, "orders"), ("o_orderkey",), {"o_orderkey": "INTEGER", "o_totalprice": "REAL", "o_orderstatus": "TEXT"})
+    return publication.content_digest(read(spark, sf_dir, "orders"), ("o_orderkey",), {"o_orderkey": "INTEGER", "o_totalprice": "REAL", "o_orderstatus": "TEXT"}, "orders")
+
 
+@register("g01_gate", """SELECT s_nationkey, n, last_good, CASE WHEN n = 0 THEN 'skip_retain' WHEN last_good > 0 AND n < last_good * 0.5 THEN 'skip_retain' ELSE 'publish' END AS decision FROM (
+    SELECT s_nationkey, count(*) FILTER (s_suppkey % 3 = 0) AS n, count(*) AS last_good FROM supplier GROUP BY 1)""")
+def g01(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.count_if(F.col("s_suppkey") % 3 == 0).alias("n"), F.count("*").alias("last_good"))
+    return rows.withColumn("decision", publication.gate_column(F.col("n"), F.col("last_good"), "retain_last_good", 0.5))
 
-@register("g02_reliable", "SELECT l_suppkey, count(*) AS n, count(*) < 600 AS low_sample FROM lineitem GROUP BY 1")
+
+@register("g02_reliable", "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) >= 600")
 def g02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publication.reliable(read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n")), "n", 600)
+    rows, _ = publication.reliable(read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n")), "n", 600, "suppress_row")
+    return rows
 
 
 @register("g10_publication_delay", "SELECT l_orderkey, l_linenumber, CASE WHEN l_shipdate >= o_orderdate THEN date_sub('minute', o_orderdate, l_shipdate) END AS delay_minutes, CASE WHEN l_shipdate < o_orderdate AND date_sub('minute', o_orderdate, l_shipdate) < 0 THEN 'clock_skew' END AS null_meaning FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
@@ -379,133 +504,76 @@ def g10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cycles = feed.bronze(spark, sf_dir).select("source_id", time_axes.wall_clock_from_parts("base_date", "base_time").alias("collection_slot_at")).distinct()
-    return slots.plan(cycles, feed.grid(spark, sf_dir))
+    cycles = feed.bronze(spark, sf_dir).select(time_axes.wall_clock_from_parts("base_date", "base_time").alias("collection_slot_at")).distinct()
+    return slots.plan(cycles, feed.grid(spark, sf_dir).withColumnRenamed("grid_id", "place_id"), AS_OF.replace(day=10))
 
 
-_SLOTS = _BRONZE + ", s AS (SELECT DISTINCT issued_at AS collection_slot_at, grid_id FROM bronze CROSS JOIN grid) "
+_SLOTS = _BRONZE + """, s AS (SELECT DISTINCT issued_at AS collection_slot_at, grid_id AS place_id, grid.nx, grid.ny FROM bronze CROSS JOIN grid),
+    came AS (SELECT issued_at AS collection_slot_at, nx, ny, count(*) AS row_count, count(DISTINCT category) AS categories FROM bronze GROUP BY ALL),
+    cycle AS (SELECT collection_slot_at, sum(row_count)::BIGINT AS verified, count(*) AS cells FROM came GROUP BY 1)
+"""
 
 
-@register("l01_planned_slots", _SLOTS + """SELECT collection_slot_at, grid_id, collection_slot_at + INTERVAL 60 MINUTE AS deadline_at,
-    sha256('{"collection_slot_at":"' || strftime(collection_slot_at, '%Y-%m-%dT%H:%M:%SZ') || '","contract":"slot/v1","grain_json":"{\\"grid_id\\":\\"' || grid_id || '\\"}","source_id":"forecast"}') AS expected_slot_id FROM s""")
+@register("l01_planned_slots", _SLOTS + """SELECT collection_slot_at, place_id, collection_slot_at + INTERVAL 60 MINUTE AS deadline_at,
+    sha256('{"collection_contract_id":"weather.vilage_fcst.v1","collection_slot_at":"' || strftime(collection_slot_at - INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S+00:00') || '","contract_version":"v1","grain":{"nx":' || nx || ',"ny":' || ny || ',"place_id":"' || place_id || '"},"source_id":"kma_vilage_fcst"}') AS expected_slot_id FROM s""")
 def l01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _slots(spark, sf_dir).select("collection_slot_at", "grid_id", "deadline_at", "expected_slot_id")
+    return _slots(spark, sf_dir).select("collection_slot_at", "place_id", "deadline_at", "expected_slot_id")
+
 
+@register("l02_outcomes", _SLOTS + """SELECT collection_slot_at, place_id, row_count, state AS collection_state, CASE WHEN state = 'observed' THEN 'not_required' WHEN again OR archive THEN 'pending' ELSE 'unrecoverable' END AS recovery_state,
+    CASE WHEN state = 'observed' THEN 'none' WHEN again THEN 'raw_replay' WHEN archive THEN 'historical_query' ELSE 'none' END AS recovery_class, CASE WHEN state <> 'observed' THEN state END AS gap_reason_code
+    FROM (SELECT s.*, row_count, hour(collection_slot_at) = 12 AS again, collection_slot_at >= TIMESTAMP '2024-01-10' AS archive, CASE WHEN cells = 5 AND day(collection_slot_at) % 3 <> 0 THEN 'observed' ELSE 'collection_failed' END AS state
+        FROM s JOIN cycle USING (collection_slot_at) LEFT JOIN came USING (collection_slot_at, nx, ny))""")
+def l02(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bronze row as a raw object of one row; on every third day loading counted one less."""
+    b = feed.bronze(spark, sf_dir)
+    at = time_axes.wall_clock_from_parts("base_date", "base_time").alias("collection_slot_at")
+    raw = b.select(F.concat_ws("_", F.lit("kma"), "nx", "ny").alias("place_id"), "nx", "ny", at, "raw_object_key", F.lit(1).alias("row_count"))
+    verified = raw.groupBy("collection_slot_at").agg((F.count("*") - F.when(F.dayofmonth("collection_slot_at") % 3 == 0, 1).otherwise(0)).alias("verified_rows"))
+    found = slots.outcomes(_slots(spark, sf_dir), raw, verified).withColumn("raw_manifest_verified", F.hour("collection_slot_at") == 12)
+    return slots.recovery(found).select("collection_slot_at", "place_id", "row_count", "collection_state", "recovery_state", "recovery_class", "gap_reason_code")
+
+
+@register("l04_outcome_rules", """SELECT reason, count(*) AS n FROM (SELECT CASE WHEN state = 'lost' THEN 'collection_state' WHEN again = 'unknown' THEN 'recovery_state' WHEN (state = 'collection_failed' OR again = 'unrecoverable') AND gap IS NULL THEN 'gap_reason_missing'
+    WHEN state = 'observed' AND (again <> 'not_required' OR kind <> 'none') THEN 'recovery_of_ended_slot' WHEN again = 'not_required' AND kind <> 'none' THEN 'class_without_recovery' WHEN again = 'recovered' AND kind = 'none' THEN 'recovered_without_class' WHEN again = 'recovered' THEN 'recovered_without_run' END AS reason
+    FROM (SELECT ['observed', 'collection_failed', 'lost'][1 + event_id % 3] AS state, ['not_required', 'pending', 'recovered', 'unrecoverable', 'unknown'][1 + event_id % 5] AS again, ['none', 'raw_replay'][1 + event_id % 2] AS kind, CASE WHEN event_id % 7 < 4 THEN 'gap' END AS gap FROM events)) WHERE reason IS NOT NULL GROUP BY 1""")
+def l04(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("event_id")
+    pick = lambda n, *xs: F.get(F.array(*map(F.lit, xs)), (i % n).cast("int"))
+    rows = read(spark, sf_dir, "events").select("event_id", pick(3, "observed", "collection_failed", "lost").alias("collection_state"), pick(5, "not_required", "pending", "recovered", "unrecoverable", "unknown").alias("recovery_state"), pick(2, "none", "raw_replay").alias("recovery_class"), F.when(i % 7 < 4, "gap").alias("gap_reason_code"), F.lit(None).cast("string").alias("recovery_run_id"), F.lit(None).cast("timestamp").alias("recovered_at"))
+    return slots.outcome_violations(rows).groupBy("reason").agg(F.count("*").alias("n"))
 
-@register("t07_due_slots", _SLOTS + f"SELECT collection_slot_at, 'missing_unknown' AS collection_state FROM s WHERE collection_slot_at + INTERVAL 60 MINUTE <= {_T} AND NOT EXISTS (SELECT 1 FROM bronze b WHERE b.issued_at = s.collection_slot_at AND 'kma_' || b.nx || '_' || b.ny = s.grid_id AND b.category = 'PCP')")
+
+@register("t07_due_slots", _SLOTS + f"SELECT collection_slot_at, place_id, 'missing_unknown' AS collection_state, CASE WHEN collection_slot_at >= TIMESTAMP '2024-01-10' THEN 'historical_query' ELSE 'none' END AS recovery_class FROM s LEFT JOIN came USING (collection_slot_at, nx, ny) WHERE collection_slot_at + INTERVAL 60 MINUTE <= {_T} AND coalesce(categories, 0) < 9")
 def t07(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slot has come when all nine categories of its cell have."""
     planned = _slots(spark, sf_dir)
-    came = feed.bronze(spark, sf_dir).where("category = 'PCP'").select(time_axes.wall_clock_from_parts("base_date", "base_time").alias("collection_slot_at"), F.concat_ws("_", F.lit("kma"), "nx", "ny").alias("grid_id")).distinct()
-    events = planned.join(came, ["collection_slot_at", "grid_id"], "left_semi").select("expected_slot_id")
-    return slots.finalise(planned, events, time_axes.literal_hour(AS_OF)).select("collection_slot_at", "collection_state")
+    came = feed.bronze(spark, sf_dir).groupBy(time_axes.wall_clock_from_parts("base_date", "base_time").alias("collection_slot_at"), "nx", "ny").agg(F.countDistinct("category").alias("n")).where("n = 9")
+    events = planned.join(came, ["collection_slot_at", "nx", "ny"], "left_semi").select("expected_slot_id")
+    return slots.finalise(planned, events, time_axes.literal_hour(AS_OF)).join(planned.select("expected_slot_id", "place_id"), "expected_slot_id").select("collection_slot_at", "place_id", "collection_state", "recovery_class")
 
 
-@register("a21_daily_volumes", _SLOTS + "SELECT call_date, source_id, count(*) AS calls FROM (SELECT collection_slot_at::DATE::VARCHAR AS call_date, unnest(['forecast', 'combined']) AS source_id FROM s) GROUP BY ALL")
+@register("a21_daily_volumes", _SLOTS + "SELECT call_date, source_id, count(*) AS calls FROM (SELECT collection_slot_at::DATE::VARCHAR AS call_date, unnest(['kma_vilage_fcst', 'combined']) AS source_id FROM s) GROUP BY ALL")
 def a21(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(slots.daily_volumes(_slots(spark, sf_dir)))
 
 
-# Published queries. Each pattern with its parameters; SQL for one or more of each shape.
-_W = "place_id, window_start_at, window_end_at, precipitation_hour_count, precip_prob_max_pct, pcp_max_mm"
-_C = "place_id, place_name, gu, forecast_date, change_state, min_temp_change_c, max_temp_change_c, max_precip_prob_change_pct"
-_RANGE = f">= {_T} AND {{0}} < {_T} + INTERVAL 2 DAY"
-_CALLS: dict[str, tuple[dict, str | None]] = {
-    "risk_windows_for_place": ({"value": "place_3"}, "SELECT place_id, forecast_at, risk_labels, temp_c, wind_ms, precip_prob_pct FROM risk WHERE place_id = 'place_3'"),
-    "place_risk_forecast_timeline": ({"value": "place_3"}, "SELECT place_id, place_name, gu, forecast_at, temp_c, wind_ms, precip_prob_pct, pty_code, heat_risk, cold_risk, heavy_rain_risk, snow_risk, wind_risk, risk_labels FROM risk WHERE place_id = 'place_3'"),
-    "precipitation_windows_for_place": ({"value": "place_4"}, f"SELECT {_W} FROM windows WHERE place_id = 'place_4'"),
-    "current_outlook_for_place": ({"value": "place_4"}, "SELECT place_id, place_name, gu, forecast_at, temp_c, precip_prob_pct, sky_label, pty_label FROM current WHERE place_id = 'place_4'"),
-    "current_outlook_for_gu": ({"value": "REGION_1"}, "SELECT place_id, place_name, gu, forecast_at, temp_c, precip_prob_pct, sky_label, pty_label FROM current WHERE gu = 'REGION_1'"),
-    "forecast_change_timeline_for_place": ({"value": "place_2"}, f"SELECT {_C}, latest_forecast_hour_count, previous_forecast_hour_count FROM change WHERE place_id = 'place_2'"),
-    "forecast_change_for_place_date": ({"place_id": "place_2"}, f"SELECT {_C} FROM change WHERE place_id = 'place_2' AND forecast_date = {_T}::DATE"),
-    "forecast_change_for_gu": ({"gu": "REGION_1"}, f"SELECT {_C} FROM change WHERE gu = 'REGION_1' AND forecast_date = {_T}::DATE"),
-    "upcoming_risk_windows": ({}, f"SELECT place_id, forecast_at, risk_labels FROM risk WHERE forecast_at {_RANGE.format('forecast_at')} ORDER BY forecast_at, place_id LIMIT 100"),
-    "risk_candidates_for_place_window": ({"place_id": "place_3"}, f"SELECT place_id, forecast_at, risk_labels FROM risk WHERE place_id = 'place_3' AND forecast_at {_RANGE.format('forecast_at')}"),
-    "windows_starting_in_range": ({}, f"SELECT {_W} FROM windows WHERE window_start_at {_RANGE.format('window_start_at')} ORDER BY window_start_at, place_id LIMIT 100"),
-    "outlook_forecast_window": ({}, f"SELECT place_id, place_name, gu, forecast_at, temp_c, precip_prob_pct FROM current WHERE forecast_at {_RANGE.format('forecast_at')} ORDER BY forecast_at, place_id LIMIT 100"),
-    "next_risk_candidate_for_place": ({"place_id": "place_3"}, f"SELECT place_id, forecast_at, risk_labels FROM risk WHERE place_id = 'place_3' AND forecast_at >= {_T} ORDER BY forecast_at LIMIT 1"),
-    "next_precipitation_window_for_place": ({"place_id": "place_4"}, f"SELECT {_W} FROM windows WHERE place_id = 'place_4' AND window_start_at >= {_T} ORDER BY window_start_at LIMIT 1"),
-    "risk_label_candidates": ({"risk_label": "강풍후보"}, "SELECT place_id, forecast_at, risk_labels FROM risk WHERE contains(risk_labels, '강풍후보') ORDER BY forecast_at, place_id LIMIT 100"),
-    "multi_risk_label_candidates": ({}, "SELECT place_id, forecast_at, risk_labels FROM risk WHERE contains(risk_labels, ',') ORDER BY forecast_at, place_id LIMIT 100"),
-    "place_current_by_name_search": ({"text": "NATION_1"}, "SELECT place_id, place_name, gu, forecast_at, temp_c, precip_prob_pct FROM current WHERE contains(place_name, 'NATION_1') OR contains(alias_names, 'NATION_1')"),
-    "precipitating_places_now": ({}, "SELECT place_id, place_name, gu, forecast_at, precip_prob_pct, pty_label, pcp_raw FROM current WHERE is_precipitating"),
-    "changed_forecasts_for_date": ({}, f"SELECT {_C}, latest_issued_at FROM change WHERE forecast_date = {_T}::DATE AND change_state = 'changed'"),
-    "partial_comparison_forecasts": ({}, f"SELECT {_C}, latest_issued_at FROM change WHERE change_state = 'partial_comparison' ORDER BY latest_issued_at DESC, place_id, forecast_date LIMIT 100"),
-    "forecasts_without_previous_issue": ({}, f"SELECT {_C}, latest_issued_at FROM change WHERE change_state = 'no_previous_issue' ORDER BY latest_issued_at DESC, place_id, forecast_date LIMIT 100"),
-    "forecasts_dropping_precipitation": ({}, f"SELECT {_C}, previous_first_precipitation_at FROM change WHERE previous_first_precipitation_at IS NOT NULL AND latest_first_precipitation_at IS NULL ORDER BY max_precip_prob_change_pct NULLS LAST, place_id, forecast_date LIMIT 100"),
-    "precipitating_grids_now": ({}, "SELECT grid_id, nx, ny, forecast_at, precip_prob_pct, pty_label, pcp_raw FROM grid_current WHERE is_precipitating"),
-    "snowfall_candidate_windows": ({}, "SELECT grid_id, window_start_at, window_end_at, sno_max_cm FROM grid_windows WHERE sno_max_cm IS NOT NULL"),
-    "highest_precip_probability": ({}, "SELECT place_id, place_name, gu, forecast_at, precip_prob_pct, pty_label FROM current WHERE precip_prob_pct >= 60 ORDER BY precip_prob_pct DESC, place_id LIMIT 50"),
-    "strong_wind_places_now": ({}, "SELECT place_id, place_name, gu, forecast_at, wind_ms, wind_dir_deg FROM current WHERE wind_ms >= 9 ORDER BY wind_ms DESC, place_id LIMIT 50"),
-    "high_precip_probability_windows": ({"n": 100000}, "SELECT place_id, forecast_at, risk_labels, precip_prob_pct FROM risk WHERE precip_prob_pct >= 60"),
-    "high_precip_probability_grids": ({}, "SELECT grid_id, forecast_at, precip_prob_pct, pty_label FROM grid_current WHERE precip_prob_pct >= 60"),
-    "muggy_places_threshold": ({"least_temp": 0, "least_humidity": 10}, "SELECT place_id, place_name, gu, forecast_at, temp_c, humidity_pct FROM current WHERE temp_c >= 0 AND humidity_pct >= 10"),
-    "hottest_places_now": ({}, "SELECT place_id, place_name, gu, forecast_at, temp_c, humidity_pct FROM current ORDER BY temp_c DESC NULLS LAST, place_id LIMIT 20"),
-    "latest_risk_candidates": ({}, "SELECT place_id, forecast_at, risk_labels FROM risk ORDER BY forecast_at DESC, place_id LIMIT 20"),
-    "latest_starting_precipitation_windows": ({}, f"SELECT {_W} FROM windows ORDER BY window_start_at DESC, place_id LIMIT 20"),
-    "all_current_grid_outlooks": ({}, "SELECT grid_id, nx, ny, forecast_at, coverage_scope, temp_c, precip_prob_pct, sky_label, pty_label FROM grid_current"),
-    "warmest_grids": ({}, "SELECT grid_id, nx, ny, forecast_at, temp_c, humidity_pct FROM grid_current"),
-    "windiest_grids": ({}, "SELECT grid_id, nx, ny, forecast_at, wind_ms, wind_dir_deg FROM grid_current"),
-    "all_grid_windows": ({}, "SELECT grid_id, window_start_at, window_end_at, precipitation_hour_count FROM grid_windows"),
-    "earliest_grid_windows": ({}, "SELECT grid_id, window_start_at, window_end_at, precip_prob_max_pct, pcp_max_mm FROM grid_windows ORDER BY window_start_at, grid_id LIMIT 20"),
-    "longest_grid_windows": ({}, "SELECT grid_id, window_start_at, window_end_at, precipitation_hour_count FROM grid_windows ORDER BY precipitation_hour_count DESC, window_start_at, grid_id LIMIT 20"),
-    "highest_probability_grid_windows": ({}, "SELECT grid_id, window_start_at, window_end_at, precip_prob_max_pct FROM grid_windows ORDER BY precip_prob_max_pct DESC NULLS LAST, grid_id, window_start_at LIMIT 20"),
-    "high_amount_grid_windows": ({}, "SELECT grid_id, window_start_at, window_end_at, pcp_max_mm FROM grid_windows ORDER BY pcp_max_mm DESC NULLS LAST, grid_id, window_start_at LIMIT 20"),
-    "largest_temperature_change": ({}, f"SELECT {_C} FROM change WHERE change_state = 'changed' ORDER BY greatest(abs(min_temp_change_c), abs(max_temp_change_c)) DESC, place_id, forecast_date LIMIT 20"),
-    "largest_precip_probability_change": ({}, f"SELECT {_C} FROM change WHERE change_state = 'changed' ORDER BY abs(max_precip_prob_change_pct) DESC, place_id, forecast_date LIMIT 20"),
-    "place_metric_ranking": ({"metric": "wind_ms"}, "SELECT place_id, place_name, gu, forecast_at, temp_c, humidity_pct, wind_ms, precip_prob_pct FROM current ORDER BY wind_ms DESC NULLS LAST, place_name, place_id LIMIT 20"),
-    "outlook_collection_freshness": ({}, "SELECT place_id, place_name, gu, forecast_at, forecast_collected_at_max FROM current ORDER BY forecast_collected_at_max NULLS LAST, place_id LIMIT 20"),
-    "top_places_by_metric_at_time": ({"metric": "wind_ms", "forecast_at": ("+2h", "datetime")}, f"SELECT place_id, place_name, gu, forecast_at, temp_c, wind_ms, precip_prob_pct, pty_code FROM risk WHERE forecast_at = {_T} + INTERVAL 2 HOUR ORDER BY wind_ms DESC NULLS LAST, place_name, place_id LIMIT 15"),
-    "forecast_movers_by_metric_direction": ({"forecast_date": ("+1d", "date")}, f"SELECT {_C}, max_temp_change_c AS metric_change FROM change WHERE forecast_date = {_T}::DATE + 1 AND max_temp_change_c < 0 ORDER BY max_temp_change_c, place_name, place_id LIMIT 20"),
-    "risk_candidate_count_by_place": ({}, f"SELECT place_id, count(*) AS risk_candidate_count FROM risk WHERE forecast_at {_RANGE.format('forecast_at')} GROUP BY 1"),
-    "precipitation_window_count_by_place": ({}, "SELECT place_id, count(*) AS window_count FROM windows GROUP BY 1"),
-    "change_state_over_date_range": ({}, f"SELECT forecast_date, change_state, count(*) AS row_count FROM change WHERE forecast_date BETWEEN {_T}::DATE AND {_T}::DATE + 4 GROUP BY 1, 2"),
-    "forecast_category_coverage_overview": ({}, "SELECT forecast_category_count, count(*) AS place_count FROM current GROUP BY 1"),
-    "sky_distribution": ({}, "SELECT sky_label, count(*) AS grid_count FROM grid_current GROUP BY 1"),
-    "category_distribution": ({}, "SELECT forecast_category_count, count(*) AS grid_count FROM grid_current GROUP BY 1"),
-    "windows_by_scope": ({}, "SELECT coverage_scope, count(*) AS window_count FROM grid_windows GROUP BY 1"),
-    "gu_weather_summary": ({}, "SELECT gu_code, gu, count(*) AS place_count, round(avg(temp_c), 1) AS avg_temp_c, min(temp_c) AS min_temp_c, max(temp_c) AS max_temp_c, round(avg(humidity_pct), 1) AS avg_humidity_pct, round(avg(wind_ms), 2) AS avg_wind_ms, max(precip_prob_pct) AS max_precip_prob_pct FROM current GROUP BY 1, 2"),
-    "risk_load_by_forecast_time": ({}, "SELECT forecast_at, count(DISTINCT place_id) AS place_count, " + ", ".join(f"count(*) FILTER ({k}) AS {k}_count" for k in values.RISKS) + " FROM risk GROUP BY 1"),
-    "temp_severity_distribution": ({}, "SELECT CASE WHEN temp_c >= 38 THEN '38+' WHEN temp_c >= 35 THEN '35-37' WHEN temp_c >= 33 THEN '33-34' WHEN temp_c <= -12 THEN '-12-' ELSE 'other' END AS temp_band, count(*) AS row_count, count(DISTINCT place_id) AS place_count FROM risk GROUP BY 1"),
-    "change_intensity_over_date_range": ({}, f"SELECT forecast_date, count(*) AS place_count, count(*) FILTER (change_state = 'changed') AS changed_count, round(avg(max_temp_change_c), 2) AS avg_max_temp_change_c, min(max_temp_change_c) AS min_max_temp_change_c, round(avg(max_precip_prob_change_pct), 2) AS avg_max_precip_prob_change_pct FROM change WHERE forecast_date BETWEEN {_T}::DATE AND {_T}::DATE + 4 GROUP BY 1"),
-    "risk_exposure_by_area": ({}, "SELECT gu AS area, count(*) AS risk_hours, count(DISTINCT place_id) AS place_count, max(temp_c) AS max_temp_c FROM risk GROUP BY 1"),
-    "temp_change_by_area_for_date": ({}, f"SELECT gu AS area, count(*) AS place_count, count(*) FILTER (change_state = 'changed') AS changed_count, round(avg(max_temp_change_c), 2) AS avg_max_temp_change_c, round(avg(max_precip_prob_change_pct), 2) AS avg_max_precip_prob_change_pct FROM change WHERE forecast_date = {_T}::DATE GROUP BY 1"),
-    "precipitation_edge_hour_distribution": ({}, "SELECT hour(window_start_at)::INT AS edge_hour, count(*) AS window_count FROM windows GROUP BY 1"),
-    "precipitation_windows_by_edge_in_range": ({"edge": "end"}, f"SELECT {_W}, window_end_at AS edge_at FROM windows WHERE window_end_at {_RANGE.format('window_end_at')} ORDER BY window_end_at, place_id LIMIT 100"),
-    "peak_temp_by_place": ({}, "SELECT place_id, place_name, gu, max(temp_c) AS peak_temp_c, count(*) AS risk_hours FROM risk GROUP BY ALL HAVING max(temp_c) >= 33"),
-    "risk_windows_for_gu_set": ({"gus": ["REGION_1", "REGION_2"]}, "SELECT gu, place_id, forecast_at, risk_labels FROM risk WHERE gu IN ('REGION_1', 'REGION_2') ORDER BY forecast_at, gu, place_id LIMIT 200"),
-    "precipitation_windows_for_place_set": ({"place_ids": ["place_1", "place_9"]}, f"SELECT {_W} FROM windows WHERE place_id IN ('place_1', 'place_9')"),
-    "compare_named_places": ({"place_ids": ["place_1", "place_9"]}, "SELECT place_id, place_name, gu, forecast_at, temp_c, humidity_pct, wind_ms, precip_prob_pct, sky_label, pty_label FROM current WHERE place_id IN ('place_1', 'place_9')"),
-    "forecast_change_for_places": ({"place_ids": ["place_1", "place_9"]}, f"SELECT {_C}, latest_issued_at, previous_issued_at FROM change WHERE place_id IN ('place_1', 'place_9') AND forecast_date = {_T}::DATE"),
-    "windows_overlapping_visit_window": ({"n": None}, f"SELECT {_W} FROM windows WHERE window_start_at < {_T} + INTERVAL 2 DAY AND window_end_at >= {_T}"),
-    "active_precipitation_at_instant": ({"instant": ("+3h", "datetime")}, f"SELECT {_W} FROM windows WHERE window_start_at <= {_T} + INTERVAL 3 HOUR AND window_end_at >= {_T} + INTERVAL 3 HOUR"),
-    "longest_precipitation_windows": ({}, f"SELECT {_W}, date_sub('hour', window_start_at, window_end_at) + 1 AS duration_hours FROM windows ORDER BY duration_hours DESC, window_start_at, place_id LIMIT 20"),
-    "long_precipitation_windows_for_place": ({"place_id": "place_4", "least_hours": 2}, f"SELECT {_W}, date_sub('hour', window_start_at, window_end_at) + 1 AS duration_hours FROM windows WHERE place_id = 'place_4' AND date_sub('hour', window_start_at, window_end_at) >= 1"),
-    "precipitation_duration_distribution": ({}, "SELECT date_sub('hour', window_start_at, window_end_at) + 1 AS duration_hours, count(*) AS window_count FROM windows GROUP BY 1"),
-    "active_place_count_by_hour": ({}, "SELECT e AS edge_at, count(DISTINCT place_id) AS active_count FROM (SELECT window_start_at AS e FROM windows UNION SELECT window_end_at FROM windows) JOIN windows ON window_start_at <= e AND window_end_at >= e GROUP BY 1"),
-    "precipitation_windows_in_gu": ({"gu": "REGION_1"}, f"SELECT {', '.join(f'windows.{c}' for c in _W.split(', '))}, current.gu FROM windows JOIN current ON windows.place_id = current.place_id WHERE current.gu = 'REGION_1'"),
-    "precipitation_window_place_count_by_gu": ({}, "SELECT current.gu, count(DISTINCT windows.place_id) AS place_count, count(*) AS window_count FROM windows JOIN current ON windows.place_id = current.place_id GROUP BY 1"),
-    "nearest_places_to_point": ({"lat": 37.1, "lon": 126.9}, "SELECT place_id, place_name, gu, forecast_at, (latitude - 37.1) * (latitude - 37.1) + (longitude - 126.9) * (longitude - 126.9) AS squared_distance, temp_c FROM current ORDER BY squared_distance, place_id LIMIT 5"),
-    "collection_scope_freshness": ({}, "SELECT coverage_scope, count(*) AS grid_count, max(forecast_collected_at_max) AS latest_collected_at FROM grid_current GROUP BY 1"),
-    "precipitation_window_freshness": ({}, "SELECT max(forecast_collected_at_max) AS latest_collected_at FROM grid_windows"),
-}
-
-
+# Published queries.
 def _call(name: str, params: dict):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _dated(published.query(name)(Products(spark, sf_dir).tables, as_of=AS_OF, **params))
+        return _dated(published.query(name)(feed.gold(spark, sf_dir), as_of=AS_OF, **params))
 
     return run
 
 
-for _name, (_params, _sql) in _CALLS.items():
-    _has_date = _sql and "forecast_date" in _sql.split(" FROM ")[0]
+for _name, (_params, _sql) in published_sql.CALLS.items():
+    _has_date = "forecast_date" in _sql.split(" FROM ")[0]
     register(f"q_{_name}", f"{SQL_ALL} SELECT * REPLACE ({_DATED}) FROM ({_sql})" if _has_date else f"{SQL_ALL} {_sql}")(_call(_name, _params))
 
 
 @register("g14_covered_range")
 def g14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Products(spark, sf_dir).tables
-    return published.covered_range(t, "place_3", AS_OF, AS_OF)
+    return published.covered_range(feed.gold(spark, sf_dir), "place_3", AS_OF, AS_OF)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,19 +1,37 @@
 """Keyed upserts, versions and staged publication of Parquet tables without a table format.
 
-A table is a folder of versions and a pointer. A write makes a new version, is read back, and
-only then becomes the table by replacing the pointer, so a failed job leaves the last good one.
+A table is a folder of versions and of pointers. A write makes a new version, is read back, and
+becomes the table by one more pointer, a single empty file whose name holds its number and the
+version; the highest number counts. Nothing is deleted or renamed, so a job that fails at any
+step leaves the last good version as the table.
 """
 
 from __future__ import annotations
 
-import uuid
+import re
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_OWN_FOLDER: list[str] = []
+
+
+def work_folder(spark: SparkSession) -> str:
+    """Where derived tables go: below spark.checkpoint.dir, which all machines share. Where it is
+    unset, a temporary folder serves a local session; a cluster is refused."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return f"{folder.rstrip('/')}/brontide"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    if not _OWN_FOLDER:
+        _OWN_FOLDER.append(tempfile.mkdtemp(prefix="brontide-"))
+    return _OWN_FOLDER[0]
+
+
 class VersionedTable:
-    """Versions v1, v2 ... below a path, and the number of the current one."""
+    """Versions v1, v2 ... below a path, and pointers to the current one."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -22,11 +40,22 @@ class VersionedTable:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def current(self) -> int | None:
-        fs, p = self._fs(f"{self.path}/current")
+    def _names(self, folder: str, pattern: str) -> list[tuple[int, ...]]:
+        fs, p = self._fs(folder)
         if not fs.exists(p):
-            return None
-        return self.spark.read.text(f"{self.path}/current").agg(F.max(F.col("value").cast("int"))).first()[0]
+            return []
+        found = (re.fullmatch(pattern, s.getPath().getName()) for s in fs.listStatus(p))
+        return sorted(tuple(map(int, m.groups())) for m in found if m)
+
+    def _pointers(self) -> list[tuple[int, ...]]:
+        return self._names(f"{self.path}/pointers", r"(\d+)-v(\d+)")
+
+    def current(self) -> int | None:
+        pointers = self._pointers()
+        return pointers[-1][1] if pointers else None
+
+    def versions(self) -> list[int]:
+        return [v for (v,) in self._names(self.path, r"v(\d+)")]
 
     def read(self, version: int | None = None) -> DataFrame:
         version = self.current() if version is None else version
@@ -35,35 +64,35 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.path}/v{version}")
 
     def stage(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> int:
-        """Writes the next version; it is not current yet."""
-        version = (self.current() or 0) + 1
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/v{version}")
+        """Writes a version of a number that none has had; it is not current yet."""
+        version = max(self.versions(), default=0) + 1
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{self.path}/v{version}")
         return version
 
     def swap(self, version: int) -> None:
-        """Makes a version current: a pointer folder is written aside and renamed into place."""
-        aside = f"{self.path}/_pointer-{uuid.uuid4().hex}"
-        self.spark.createDataFrame([(str(version),)], "value string").coalesce(1).write.text(aside)
-        fs, target = self._fs(f"{self.path}/current")
-        _, source = self._fs(aside)
-        if fs.exists(target):
-            fs.delete(target, True)
-        fs.rename(source, target)
+        """Makes a version current."""
+        number = self._pointers()[-1][0] + 1 if self._pointers() else 1
+        fs, p = self._fs(f"{self.path}/pointers/{number:010d}-v{version}")
+        fs.create(p, False).close()
 
     def upsert(self, new: DataFrame, key: list[str], partition: str | None = None) -> int:
-        """Rows of new replace those of equal key. With a partition column only its affected
-        values are joined; the others are copied as they are."""
+        """Rows of new replace those of equal key; new must hold each key once. With a partition
+        column that is part of the key only its affected values are joined and the others are
+        copied; a key that can move is looked for in all partitions."""
+        if not new.groupBy(*key).count().where("count > 1").isEmpty():
+            raise ValueError(f"new rows repeat a key of {key}")
+        by = (partition,) if partition else ()
         if self.current() is None:
-            version = self.stage(new, (partition,) if partition else ())
+            version = self.stage(new, by)
         else:
             old = self.read()
-            kept = old
-            if partition:
-                touched = [r[0] for r in new.select(partition).distinct().collect()]
-                kept = old.where(F.col(partition).isin(touched)).join(new.select(*key), key, "left_anti").unionByName(old.where(~F.col(partition).isin(touched)))
+            if partition in key:
+                touched = new.select(partition).distinct()
+                same = old.join(touched, partition, "left_anti")
+                kept = old.join(touched, partition, "left_semi").join(new.select(*key), key, "left_anti").unionByName(same)
             else:
                 kept = old.join(new.select(*key), key, "left_anti")
-            version = self.stage(kept.unionByName(new.select(kept.columns)), (partition,) if partition else ())
+            version = self.stage(kept.unionByName(new.select(old.columns)), by)
         self.swap(version)
         return version
 
@@ -73,22 +102,20 @@ class VersionedTable:
             version = self.stage(new, (partition,))
         else:
             old = self.read()
-            kept = old.where(~((F.col("source_id") == source_id) & (F.col("dag_run_id") == run_id)))
+            mine = (F.col("source_id") == source_id) & (F.col("dag_run_id") == run_id)
+            kept = old.where(~F.coalesce(mine, F.lit(False)))
             version = self.stage(kept.unionByName(new.select(old.columns)), (partition,))
         self.swap(version)
         return version
 
     def append_window(self, new: DataFrame, at: str, cutoff) -> int:
-        """Rows at or after a cutoff are loaded anew."""
-        kept = self.read().where(F.col(at) < F.lit(cutoff)) if self.current() else new.limit(0)
+        """Rows at or after a cutoff are loaded anew; rows without a time stay."""
+        before = (F.col(at) < F.lit(cutoff)) | F.col(at).isNull()
+        kept = self.read().where(before) if self.current() else new.limit(0)
         version = self.stage(kept.unionByName(new.where(F.col(at) >= F.lit(cutoff))))
         self.swap(version)
         return version
 
-    def drop_before(self, rows: DataFrame, at: str, cutoff) -> DataFrame:
-        """Retention before a write."""
-        return rows.where(F.col(at) >= F.lit(cutoff))
-
 
 def upserted(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """The rows of a keyed upsert, as a DataFrame."""
