@@ -26,14 +26,20 @@ def merge_batches(stream: DataFrame, table: VersionedTable, key: list[str], tran
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+#: How long a finished slot is remembered, so that late outcomes do not finish it again.
+KEEP_MS = 7 * 24 * 3600 * 1000
+
+
 def _final_state(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    deadline, done = state.get if state.exists else (0, False)
     if state.hasTimedOut:
-        deadline, done = state.get
+        if done:
+            state.remove()
+            return
         state.update((deadline, True))
-        if not done:
-            yield pd.DataFrame({"expected_slot_id": [key[0]], "collection_state": ["missing_unknown"], "event_at": [pd.Timestamp(deadline, unit="ms")]})
+        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + KEEP_MS)
+        yield pd.DataFrame({"expected_slot_id": [key[0]], "collection_state": ["missing_unknown"], "event_at": [pd.Timestamp(deadline, unit="ms")]})
         return
-    deadline, done = state.get if state.exists else (0, False)
     out = []
     for rows in batches:
         for r in rows.itertuples():
@@ -43,8 +49,11 @@ def _final_state(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
                 done = True
                 out.append((key[0], r.collection_state, r.event_at))
     state.update((deadline, done))
-    if deadline and not done:
-        state.setTimeoutTimestamp(max(deadline, state.getCurrentWatermarkMs() + 1))
+    now = state.getCurrentWatermarkMs()
+    if done:
+        state.setTimeoutTimestamp(max(deadline, now) + KEEP_MS)
+    elif deadline:
+        state.setTimeoutTimestamp(max(deadline, now + 1))
     if out:
         yield pd.DataFrame(out, columns=["expected_slot_id", "collection_state", "event_at"])
 
