@@ -436,35 +436,92 @@ def e11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.claims(evaluation.cohorts(rows, 5)).groupBy("metric_family", "metric_name", "metric_unit", "refusal").agg(F.count("*").alias("n"))
 
 
-# Assertions: how many rows break each.
-@register("d_assertions", f"""{SQL_ALL} SELECT 'D02' AS assertion, count(*) AS violations FROM (SELECT 1 FROM silver GROUP BY {_KEY} HAVING count(*) > 1)
-    UNION ALL SELECT 'D05', count(DISTINCT dag_run_id) FROM silver WHERE dag_run_id NOT IN (SELECT dag_run_id FROM runs)
-    UNION ALL SELECT 'D07', 0 UNION ALL SELECT 'D08', count(DISTINCT category) FROM silver WHERE category IN ('POP', 'REH', 'TMP', 'VEC', 'WSD') AND value_num IS NULL
-    UNION ALL SELECT 'D10', count(*) FROM (SELECT max(qualitative_code) FILTER (category = 'PTY') AS pty, coalesce(max(value_num) FILTER (category = 'PCP'), max(value_lower_bound) FILTER (category = 'PCP'), 0) AS amount FROM silver WHERE category IN ('PTY', 'PCP') GROUP BY place_id, nx, ny, issued_at, forecast_at) WHERE pty = '0' AND amount > 0
-    UNION ALL SELECT 'D12', count(DISTINCT fcst_value_raw) FROM silver WHERE value_representation = 'unparseable'
-    UNION ALL SELECT 'D15', count(*) FROM (SELECT 1 FROM place_mart GROUP BY place_id, forecast_at HAVING count(DISTINCT issued_at) > 2)
-    UNION ALL SELECT 'D16', count(*) FROM grid WHERE grid_id NOT IN (SELECT grid_id FROM grid_current) UNION ALL SELECT 'D17', 0 UNION ALL SELECT 'D18', 0
-    UNION ALL SELECT 'D19', count(*) FROM places WHERE place_id NOT IN (SELECT place_id FROM current) AND place_id IN (SELECT place_id FROM hourly WHERE forecast_at >= {_T}) UNION ALL SELECT 'D20', 0 UNION ALL SELECT 'D21', count(*) FROM hourly WHERE forecast_issued_at_min <> forecast_issued_at_max UNION ALL SELECT 'D22', 0 UNION ALL SELECT 'D23', 0""")
+# Assertions, each over rows spoiled on purpose: how many break it.
+def _spoiled(df: DataFrame, column: str, value, where: str) -> DataFrame:
+    return df.withColumn(column, F.when(F.expr(where), value).otherwise(F.col(column)))
+
+
+#: Which rows are spoiled: by the end of a key that both engines have.
+_ROW, _PLACE = "raw_object_key LIKE '%77'", "place_id LIKE '%4'"
+
+
+def _bad(table: str, column: str, value: str, where: str = _ROW) -> str:
+    return f"(SELECT * REPLACE (CASE WHEN {where} THEN {value} ELSE {column} END AS {column}) FROM {table})"
+
+
+_WET = f"(SELECT place_id, count(*) AS n FROM hourly WHERE forecast_at >= {_T} AND is_precipitating GROUP BY 1)"
+_D_SQL = {
+    "D01_not_null": f"SELECT count(*) FROM {_bad('silver', 'fcst_value_raw', 'NULL')} WHERE fcst_value_raw IS NULL",
+    "D01_unique": "SELECT count(*) FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)",
+    "D01_accepted": "SELECT count(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')",
+    "D02": f"SELECT count(*) FROM silver WHERE {_ROW}",
+    "D03": f"SELECT count(*) FROM places WHERE {_PLACE}",
+    "D04": f"SELECT (count(*) FILTER (NOT ({_PLACE})) / count(*) < 0.95)::INT FROM places",
+    "D05": f"SELECT count(DISTINCT CASE WHEN {_ROW} THEN 'run_x' ELSE dag_run_id END) FROM silver WHERE CASE WHEN {_ROW} THEN 'run_x' ELSE dag_run_id END NOT IN (SELECT dag_run_id FROM runs)",
+    "D06": f"SELECT count(*) FROM silver WHERE {_ROW}",
+    "D07": f"SELECT count(DISTINCT category) FROM {_bad('silver', 'category', 'lower(category)')} WHERE category = lower(category)",
+    "D08": f"SELECT count(DISTINCT category) FROM silver WHERE {_ROW} AND category IN ('POP', 'REH', 'TMP', 'VEC', 'WSD')",
+    "D09": f"SELECT count(*) FROM silver WHERE category IN ('PCP', 'SNO') AND value_representation = 'quantitative_range' AND {_ROW}",
+    "D10": f"SELECT count(*) FROM (SELECT max(CASE WHEN {_ROW} THEN '0' ELSE qualitative_code END) FILTER (category = 'PTY') AS pty, coalesce(max(value_num) FILTER (category = 'PCP'), max(value_lower_bound) FILTER (category = 'PCP'), 0) AS amount FROM silver WHERE category IN ('PTY', 'PCP') GROUP BY place_id, nx, ny, issued_at, forecast_at) WHERE pty = '0' AND amount > 0",
+    "D11": f"SELECT count(DISTINCT category) FROM silver WHERE {_ROW} AND category IN ('PTY', 'SKY')",
+    "D12": f"SELECT count(*) FROM (SELECT DISTINCT category, fcst_value_raw FROM silver WHERE {_ROW})",
+    "D13": "SELECT 1 + (SELECT count(*) FROM grid WHERE nx = 57) + (SELECT count(*) FROM grid WHERE nx = 58)",
+    "D14": f"SELECT count(*) FROM places WHERE {_PLACE}",
+    "D15_issues": f"SELECT count(*) FROM (SELECT place_id, forecast_at FROM (SELECT place_id, forecast_at, issued_at FROM place_mart UNION SELECT place_id, forecast_at, issued_at - INTERVAL 1 HOUR FROM place_mart WHERE {_PLACE}) GROUP BY ALL HAVING count(*) > 2)",
+    "D15_retention": f"SELECT count(*) FROM place_mart WHERE {_PLACE} AND issued_at - INTERVAL 9 DAY < {_T} - INTERVAL 24 HOUR",
+    "D16": "SELECT count(*) FROM grid WHERE nx = 57 OR grid_id NOT IN (SELECT grid_id FROM grid_current)",
+    "D17": f"SELECT count(*) FROM (SELECT *, lag(e) OVER (PARTITION BY place_id ORDER BY window_start_at) AS before FROM (SELECT *, CASE WHEN {_PLACE} THEN window_end_at + INTERVAL 2 HOUR ELSE window_end_at END AS e FROM windows)) WHERE date_sub('hour', before, window_start_at) <= 1 OR precipitation_hour_count <> date_sub('hour', window_start_at, e) + 1",
+    "D18": f"SELECT count(*) FROM {_WET} w FULL JOIN (SELECT place_id, sum(precipitation_hour_count + CASE WHEN {_PLACE} THEN 1 ELSE 0 END) AS m FROM windows WHERE place_id <> 'place_7' GROUP BY 1) x USING (place_id) WHERE n IS DISTINCT FROM m",
+    "D19": f"SELECT count(*) FROM current WHERE {_PLACE}",
+    "D20": f"SELECT count(*) FROM change WHERE {_PLACE} AND max_temp_change_c IS NOT NULL",
+    "D21": f"SELECT count(*) FROM hourly WHERE {_PLACE}",
+    "D22": f"SELECT 2 * count(*) FROM places WHERE {_PLACE}",
+    "D23": f"SELECT count(*) FROM risk WHERE {_PLACE}",
+    "D24": "SELECT count(*) FROM (SELECT l_partkey, l_suppkey FROM lineitem GROUP BY ALL HAVING count(*) > 1)",
+    "D25": f"SELECT (max(collected_at) IS NULL OR date_sub('minute', max(collected_at), {_T}) > 360)::INT FROM bronze WHERE collected_at < TIMESTAMP '2024-01-14 12:00:00'",
+}
+
+
+@register("d_assertions", SQL_ALL + " UNION ALL ".join(f" SELECT '{k}' AS assertion, ({q})::BIGINT AS violations" for k, q in _D_SQL.items()))
 def d_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = Products(spark, sf_dir)
-    t = p.tables
+    p, t = feed.kept(spark, sf_dir), feed.gold(spark, sf_dir)
     runs = core.publishable_runs(models.run_states(p.manifest, SOURCE))
+    silver, orders = p.silver, read(spark, sf_dir, "orders")
+    hour = lambda n: F.expr(f"INTERVAL {n} HOUR")
+    mart = p.place_mart
+    older = mart.where(_PLACE).withColumn("issued_at", F.col("issued_at") - hour(1))
+    grid = p.grid.unionByName(p.grid.where("nx = 58").withColumns({"grid_id": F.lit("kma_x"), "nx": F.lit(0), "ny": F.lit(0)}))
+    spoiled_grid = _spoiled(grid, "coverage_scope", F.lit(None), "nx = 57")
+    late = F.col("forecast_at") + hour(1)
     found = {
-        "D02": assertions.unique(p.silver, *_KEY.split(", ")),
-        "D05": assertions.only_publishable(p.silver, runs),
-        "D07": assertions.category_domain(p.silver),
-        "D08": assertions.numbers_parsed(p.silver),
-        "D10": assertions.type_against_amount(p.silver),
-        "D12": assertions.all_classified(p.silver),
-        "D15": assertions.issue_window(p.place_mart),
-        "D16": assertions.grid_covered(t["grid"], p.grid),
-        "D17": assertions.windows_apart(t["windows"], "place_id"),
-        "D18": assertions.windows_reconcile(t["windows"], p.hourly, AS_OF, "place_id"),
-        "D19": assertions.current_ready(t["current"], p.hourly, p.places, AS_OF),
-        "D20": assertions.change_recomputes(t["change"], p.place_mart, AS_OF),
-        "D21": assertions.single_issue(p.hourly),
-        "D22": assertions.availability_holds(t["availability"], p.hourly, p.places, AS_OF, 25),
-        "D23": assertions.future_only(t["risk"], AS_OF),
+        "D01_not_null": assertions.not_null(_spoiled(silver, "fcst_value_raw", F.lit(None), _ROW), "fcst_value_raw"),
+        "D01_unique": assertions.unique(orders, "o_custkey"),
+        "D01_accepted": assertions.accepted_values(orders, "o_orderstatus", ["F", "O"]),
+        "D02": assertions.unique(silver.unionByName(silver.where(_ROW)), *_KEY.split(", ")),
+        "D03": assertions.coordinates_in_box(_spoiled(p.places, "longitude", F.lit(10.0), _PLACE), "longitude", "latitude"),
+        "D04": assertions.coverage(_spoiled(p.places, "longitude", F.lit(None), _PLACE), "longitude", 0.95),
+        "D05": assertions.only_publishable(_spoiled(silver, "dag_run_id", F.lit("run_x"), _ROW), runs),
+        "D06": assertions.event_is_forecast_time(_spoiled(silver, "event_at", F.col("event_at") + hour(1), _ROW)),
+        "D07": assertions.category_domain(_spoiled(silver, "category", F.lower("category"), _ROW)),
+        "D08": assertions.numbers_parsed(_spoiled(silver, "value_num", F.lit(None), _ROW)),
+        "D09": assertions.amounts_consistent(_spoiled(silver, "value_lower_bound", F.lit(None), _ROW)),
+        "D10": assertions.type_against_amount(_spoiled(silver, "qualitative_code", F.lit("0"), f"category = 'PTY' AND {_ROW}")),
+        "D11": assertions.code_domain(_spoiled(silver, "qualitative_code", F.lit("9"), _ROW)),
+        "D12": assertions.all_classified(_spoiled(silver, "value_representation", F.lit("unparseable"), _ROW)),
+        "D13": assertions.canonical_grid(spoiled_grid),
+        "D14": assertions.admin_axis(_spoiled(p.places, "gu_code", F.lit("x"), _PLACE)),
+        "D15_issues": assertions.issue_window(mart.unionByName(older)),
+        "D15_retention": assertions.retention_window(_spoiled(mart, "issued_at", F.col("issued_at") - F.expr("INTERVAL 9 DAYS"), _PLACE), AS_OF),
+        "D16": assertions.grid_covered(t["grid"].where("nx <> 57"), p.grid),
+        "D17": assertions.windows_apart(_spoiled(t["windows"], "window_end_at", F.col("window_end_at") + hour(2), _PLACE), "place_id"),
+        "D18": assertions.windows_reconcile(_spoiled(t["windows"].where("place_id <> 'place_7'"), "precipitation_hour_count", F.col("precipitation_hour_count") + 1, _PLACE), p.hourly, AS_OF, "place_id"),
+        "D19": assertions.current_ready(_spoiled(t["current"], "forecast_at", late, _PLACE), p.hourly, p.places, AS_OF),
+        "D20": assertions.change_recomputes(_spoiled(t["change"], "max_temp_change_c", F.col("max_temp_change_c") + 1, _PLACE), mart, AS_OF),
+        "D21": assertions.single_issue(_spoiled(p.hourly, "forecast_issued_at_min", F.col("forecast_issued_at_min") - hour(1), _PLACE)),
+        "D22": assertions.availability_holds(_spoiled(t["availability"], "availability_status", F.lit("maybe"), _PLACE), p.hourly, p.places, AS_OF, 25),
+        "D23": assertions.future_only(_spoiled(t["risk"], "forecast_at", F.col("forecast_at") - F.expr("INTERVAL 90 DAYS"), _PLACE), AS_OF),
+        "D24": assertions.unique(read(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey"),
+        "D25": assertions.freshness(p.bronze.where(F.col("collected_at") < F.lit("2024-01-14 12:00:00").cast("timestamp_ntz")), "collected_at", AS_OF).where("freshness_state = 'error'"),
     }
     out = None
     for name, rows in found.items():
