@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from brontide.functions import geo, text, time_axes, values
 from brontide.operators import core
-from brontide.plans import assertions, evaluation, feed, models, publication, published, published_sql, slots
+from brontide.plans import assertions, evaluation, feed, models, ops, publication, published, published_sql, slots
 from brontide.plans.feed import AS_OF, SOURCE, SQL_ALL, SQL_BRONZE, SQL_SILVER, Products, read
 from brontide.plans.registry import register
 from brontide.sources import ingest, tables
@@ -530,6 +530,50 @@ def d_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+# Records of operations and the first build.
+_OPS = """SELECT event_id AS i, ['runs', 'metrics', 'control', 'oddity'][1 + event_id % 11 % 4] AS category, CASE WHEN event_id % 13 = 0 THEN '' ELSE 'weather' END AS domain, 'gold' AS layer, ['airflow_task', 'dbt_node', 'publication', 'product_transition'][1 + event_id % 4] AS grain, CASE WHEN event_id % 17 = 0 THEN 'ok' ELSE 'success' END AS status,
+    'task' AS task_id, CASE WHEN event_id % 19 <> 0 THEN 'dag' END AS dag_id, 'run_' || user_id AS run_id, CASE WHEN event_id % 23 <> 0 THEN 'pub' END AS publication_id, ts AS started_at, ts + to_seconds(CAST(event_id % 7200 AS INT)) AS ended_at,
+    CASE WHEN event_id % 5 <> 0 THEN event_id % 100 - CASE WHEN event_id % 29 = 0 THEN 100 ELSE 0 END END AS row_count, CASE WHEN event_id % 10 = 0 THEN 'not_observed' ELSE 'count_query' END AS rows_source, CASE WHEN event_id % 31 = 0 THEN 'https://a/b' ELSE 'seoul.citydata' END AS api_name FROM events"""
+_OPS_REASON = """CASE WHEN category = 'control' THEN 'state_category' WHEN category = 'oddity' THEN 'category' WHEN domain = '' THEN 'domain' WHEN status = 'ok' THEN 'status' WHEN grain IN ('airflow_task', 'product_transition') AND dag_id IS NULL THEN 'missing_dag_id' WHEN grain = 'publication' AND publication_id IS NULL THEN 'missing_publication_id'
+    WHEN row_count IS NULL AND rows_source <> 'not_observed' THEN 'count_missing' WHEN row_count < 0 THEN 'count_negative' WHEN row_count IS NOT NULL AND rows_source = 'not_observed' THEN 'count_without_source' WHEN contains(api_name, '://') THEN 'holds_address' END"""
+_JSON = "'{\"dag_id\":' || coalesce('\"' || dag_id || '\"', 'null') || ',\"domain\":\"weather\",\"grain\":\"' || grain || '\",\"layer\":\"gold\",\"product_id\":\"a|b\",\"publication_id\":' || coalesce('\"' || publication_id || '\"', 'null') || ',\"run_id\":\"' || run_id || '\",\"task_id\":\"task\",\"try_number\":1}'"
+
+
+def _ops_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("event_id")
+    pick = lambda n, *xs: F.get(F.array(*map(F.lit, xs)), n.cast("int"))
+    at = F.col("ts").cast("timestamp")
+    count = F.when(i % 5 != 0, i % 100 - F.when(i % 29 == 0, 100).otherwise(0))
+    return read(spark, sf_dir, "events").select(
+        i.alias("i"), pick(i % 11 % 4, "runs", "metrics", "control", "oddity").alias("category"), F.when(i % 13 == 0, "").otherwise("weather").alias("domain"), F.lit("gold").alias("layer"), pick(i % 4, "airflow_task", "dbt_node", "publication", "product_transition").alias("grain"), F.when(i % 17 == 0, "ok").otherwise("success").alias("status"), F.lit("prod").alias("environment"),
+        F.lit("task").alias("task_id"), F.when(i % 19 != 0, "dag").alias("dag_id"), F.concat(F.lit("run_"), "user_id").alias("run_id"), F.lit(1).alias("try_number"), F.when(i % 23 != 0, "pub").alias("publication_id"), F.lit(None).cast("timestamp").alias("observed_at"), at.alias("started_at"), (at + F.make_dt_interval(secs=i % 7200)).alias("ended_at"),
+        count.alias("row_count"), F.when(i % 10 == 0, "not_observed").otherwise("count_query").alias("rows_source"), F.when(i % 31 == 0, "https://a/b").otherwise("seoul.citydata").alias("api_name"), F.lit(None).cast("string").alias("sink_type"), F.array(F.lit("b"), F.lit("a"), F.lit("b")).alias("product_ids"),
+    )
+
+
+@register("g12_ops_records", f"SELECT i, sha256({_JSON}) AS event_id, (i % 7200)::DOUBLE AS duration_s, printf('%02d:%02d:%02d', i % 7200 // 3600, i % 3600 // 60, i % 60) AS duration_hms, strftime(ended_at + INTERVAL 9 HOUR, '%Y-%m-%d') AS observed_date_kst FROM ({_OPS}) WHERE {_OPS_REASON} IS NULL")
+def g12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, _ = ops.ops_records(_ops_rows(spark, sf_dir))
+    return _dated(records.select("i", "event_id", "duration_s", "duration_hms", "observed_date_kst"))
+
+
+@register("g12_refused_records", f"SELECT {_OPS_REASON} AS reason, count(*) AS n FROM ({_OPS}) WHERE {_OPS_REASON} IS NOT NULL GROUP BY 1")
+def g12_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, refused = ops.ops_records(_ops_rows(spark, sf_dir))
+    return refused.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@register("a14_bootstrap_evidence", _BRONZE + """SELECT run AS dag_run_id, (SELECT count(*) FROM states WHERE dag_run_id = run) AS manifest_count, (SELECT count(*) FROM states WHERE dag_run_id = run AND NOT (status = 'SUCCESS' AND is_publishable)) AS invalid_manifest_count,
+    (SELECT count(*) FROM bronze WHERE dag_run_id = run) AS bronze_row_count, run = 'run_1' AS admitted FROM (VALUES ('run_1'), ('run_3'), ('run_9')) t(run)""")
+def a14(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good run, one that was merged away, and one that never was."""
+    states, rows, out = models.run_states(feed.manifest(spark, sf_dir), SOURCE), feed.bronze(spark, sf_dir), None
+    for run in ("run_1", "run_3", "run_9"):
+        one = ops.bootstrap_evidence(rows, states, SOURCE, run).select(F.lit(run).alias("dag_run_id"), "manifest_count", "invalid_manifest_count", "bronze_row_count", "admitted")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # Publication and slots.
 @register("g03_key_stats", "SELECT count(*) AS row_count, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys, count(*) FILTER (l_orderkey IS NULL OR l_linenumber IS NULL) AS null_keys, count(DISTINCT l_suppkey) AS distinct_l_suppkey FROM lineitem")
 def g03(spark: SparkSession, sf_dir: str) -> DataFrame:
