@@ -220,3 +220,27 @@ def test_learning_takes_whole_bags_or_none(spark, monkeypatch):
     quality.learn(docs_frame(spark, rows), labels)
     short = [x for x in want if len(x) <= 50]
     assert [len(b) for b in seen[1][0]] == [len(b) for b in short]
+
+
+def test_partners_in_large_buckets_are_found(spark):
+    """Members of one family share buckets but are no links of each other; each has one partner
+    at a similarity just above the threshold, with which it alone shares its own words."""
+    rnd = random.Random(12)
+    fresh = lambda n: [f"x{rnd.randrange(10**9)}" for _ in range(n)]
+    base, rows = fresh(300), []
+    for i in range(150):
+        own = list(base)
+        for at in rnd.sample(range(10, 290, 14), 5):
+            own[at : at + 6] = fresh(6)  # each block renews eight shingles
+        partner = list(own)
+        for at in rnd.sample(range(15, 290, 14), 2):
+            partner[at : at + 6] = fresh(6)
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(partner))]
+    want = near_components(rows)
+    pairs = [(2 * i, 2 * i + 1) for i in range(150) if want[2 * i][1] == want[2 * i + 1][1]]
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs_frame(spark, rows)).collect()}
+    assert len(pairs) > 100 and len({c for _, c in want.values()}) > 100
+    found = sum(got[a] == got[b] for a, b in pairs) / len(pairs)
+    print(f"partners found: {found:.3f} of {len(pairs)}")
+    assert found >= 0.9
+    assert all(got[i] >= want[i][1] for i in got)
