@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brontide.functions.text import joined_identity
-from brontide.functions.time_axes import NTZ, parse, wall_clock_from_parts
+from brontide.functions.time_axes import NTZ, slot_instant, wall_clock_from_parts
 from brontide.schemas import BRONZE_FORECAST, BRONZE_OBSERVATION
 
 #: Observation categories with units, and reasons of result codes.
-UNITS = {"PTY": "code", "REH": "percent", "RN1": "millimeter", "T1H": "celsius", "UUU": "meter_per_second", "VEC": "degree", "VVV": "meter_per_second", "WSD": "meter_per_second"}
+UNITS = {"PTY": "code", "REH": "percent", "RN1": "mm", "T1H": "degC", "UUU": "m/s", "VEC": "degree", "VVV": "m/s", "WSD": "m/s"}
 RESULT_CLASSES = {"00": "ok", "22": "quota", "23": "throttle", "20": "auth", "30": "auth", "31": "auth", "32": "auth"}
 OBSERVED_TYPES = (0, 1, 2, 3, 5, 6, 7)
 
@@ -153,11 +153,13 @@ def observation_reason() -> Column:
 def observation_bronze(items: DataFrame, source_id: str, manifest_key: str, revision: str, quality: str = "provisional") -> DataFrame:
     """Observed items as bronze rows with their idempotency key."""
     i = lambda n: F.col(f"item.{n}")
-    at = wall_clock_from_parts(i("baseDate"), i("baseTime"))
-    slot, grid = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.concat_ws("_", F.lit("kma"), i("nx"), i("ny"))
+    local = wall_clock_from_parts(i("baseDate"), i("baseTime"))
+    at = slot_instant(i("baseDate"), i("baseTime"))  # slots are local, instants UTC
+    instant = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    slot, grid = F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.concat_ws("_", F.lit("kma"), i("nx"), i("ny"))
     units = F.try_element_at(F.create_map(*[F.lit(x) for kv in UNITS.items() for x in kv]), i("category"))
     values = {
-        "idempotency_key": joined_identity(F.lit(source_id), slot, grid, i("category"), F.lit(revision)),
+        "idempotency_key": joined_identity(F.lit(source_id), instant, grid, i("category"), F.lit(revision)),
         "request_id": F.sha2(F.col("raw_object_key"), 256),
         "source_id": F.lit(source_id),
         "dag_run_id": F.col("path_run_id"),
@@ -249,12 +251,28 @@ def receipts(rows: DataFrame, fields: list[str], id_col: str, derived: Column) -
     return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
 
 
-def run_metrics(results: DataFrame) -> DataFrame:
-    """Build results (a column results: array of structs) as one metric row for each node."""
+def run_metrics(results: DataFrame, domain: str, target: str | None = None) -> DataFrame:
+    """Build results (columns metadata and results, as the build tool writes them) as one metric
+    row for each node. Warnings are successes, and rows that are not known are null."""
     rows = results.withColumn("_r", F.explode("results"))
-    status = F.when(F.col("_r.status").isin("success", "pass"), "ok").when(F.col("_r.status") == "warn", "warn").when(F.col("_r.status") == "skipped", "skipped").otherwise("failed")
-    affected = F.col("_r.rows_affected")
-    return rows.select(F.col("_r.unique_id").alias("node_id"), status.alias("status"), F.col("_r.execution_time").alias("seconds"), F.when(affected >= 0, affected).alias("rows_affected"))
+    said = F.lower(F.coalesce("_r.status", F.lit("")))
+    status = F.when(said.isin("success", "pass", "warn"), "success").when(said == "skipped", "skipped").otherwise("failed")
+    timing = lambda name: F.get(F.filter("_r.timing", lambda t: t["name"] == name), 0)
+    when = lambda k: F.when(timing("execute")["started_at"].isNotNull(), timing("execute")[k]).otherwise(timing("compile")[k])
+    affected = F.col("_r.adapter_response.rows_affected")
+    return rows.select(
+        F.lit("silver").alias("layer"),
+        F.lit(domain).alias("domain"),
+        F.nullif(F.element_at(F.split("_r.unique_id", r"\."), -1), F.lit("")).alias("task_id"),
+        F.col("metadata.invocation_id").alias("run_id"),
+        when("started_at").alias("started_at"),
+        when("completed_at").alias("finished_at"),
+        F.col("_r.execution_time").alias("duration_s"),
+        F.when(affected >= 0, affected).alias("rows"),
+        status.alias("status"),
+        (said == "skipped").alias("skipped"),
+        F.lit(target).alias("target"),
+    )
 
 
 def published_read(table: DataFrame, columns: list[str], at: str, mode: str = "full", newest=None, hours: int = 2) -> DataFrame:
@@ -265,7 +283,3 @@ def published_read(table: DataFrame, columns: list[str], at: str, mode: str = "f
         newest = table.agg(F.max(at)).first()[0]
     literal = F.lit(str(newest)).cast(NTZ)
     return table.select(columns).where(F.col(at) > literal if mode == "incremental" else F.col(at) >= literal - F.expr(f"INTERVAL {hours} HOURS"))
-
-
-def text_instant(text: Column) -> Column:
-    return parse(text, "yyyy-MM-dd'T'HH:mm:ss")

@@ -289,6 +289,19 @@ def test_upserts_and_versions(spark, tmp_path):
     assert sorted(r.k for r in t.read().collect()) == [1, 2, 5, 6]
 
 
+def test_build_metrics_and_observation_keys(spark):
+    kind = "metadata struct<invocation_id:string>, results array<struct<unique_id:string,status:string,execution_time:double,timing:array<struct<name:string,started_at:string,completed_at:string>>,adapter_response:struct<rows_affected:long>>>"
+    nodes = [("model.p.a", "success", 1.5, [("compile", "c0", "c1"), ("execute", "e0", "e1")], (7,)), ("model.p.b", "warn", 0.5, [("compile", "c0", "c1")], (-1,)), ("model.p.c", "skipped", 0.0, [], None), ("model.p.d", "error", 2.0, None, None)]
+    got = {r.task_id: r for r in ingest.run_metrics(spark.createDataFrame([(("inv",), nodes)], kind), "weather").collect()}
+    assert [(k, got[k].status, got[k].rows, got[k].started_at, got[k].run_id) for k in "abcd"] == [("a", "success", 7, "e0", "inv"), ("b", "success", None, "c0", "inv"), ("c", "skipped", None, None, "inv"), ("d", "failed", None, None, "inv")]
+    item = {"baseDate": "20260812", "baseTime": "0600", "category": "T1H", "obsrValue": "21.5", "nx": 60, "ny": 127}
+    raw = spark.createDataFrame([("k", raw_page([item]))], "raw_object_key string, content binary").withColumns({f"path_{k}": F.lit("x") for k in ("load_date", "run_id", "nx", "ny", "base_date", "base_time")}).withColumn("stored_at", F.lit("2026-08-11 21:10:00").cast("timestamp"))
+    items, _ = ingest.unwrap(raw)
+    r = ingest.observation_bronze(items, "kma_ultra_srt_ncst", "m", "r1").first()
+    key = "\x1f".join(("kma_ultra_srt_ncst", "2026-08-11T21:00:00.000000+00:00", "kma_60_127", "T1H", "r1"))
+    assert (r.idempotency_key, r.unit, r.observed_at) == (hashlib.sha256(key.encode()).hexdigest(), "degC", datetime(2026, 8, 11, 21))
+
+
 # Publication and slots.
 def test_digest_and_publication(spark, tmp_path):
     rows = [(1, 1.5, "é"), (2, None, "b"), (3, 2.0, None)]
