@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brontide.llm import decontaminate, near_dup, pieces, pii, quality, rules, shards, tokens, urls, warc
+from brontide.llm import decontaminate, near_dup, pieces, pii, quality, rules, shards, spelling, tokens, urls, warc
 from brontide.llm.common import table
 from brontide.llm.sql import ORACLE
 
@@ -102,3 +102,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@_query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"), damage=97)
