@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brontide.llm import decontaminate, near_dup, pieces, pii, quality, rules, shards, spelling, tokens, urls, warc
-from brontide.llm.common import table
+from brontide.llm import decontaminate, near_dup, pieces, pii, quality, rules, shards, spelling, tokens, turns, urls, warc
+from brontide.llm.common import table, written
 from brontide.llm.sql import ORACLE
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,17 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"), damage=97)
+
+
+@_query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = turns.Repaired(turns.damaged(conversations))
+    ids = conversations.select("conv_id").distinct().withColumn("ck", turns.never_null("conv_id"))
+    found = repaired.summary.drop("conv_id").join(repaired.digest(), "ck")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    out = ids.join(found, "ck", "left").select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+    out = written(out, "repaired")
+    repaired.clear()
+    return out
