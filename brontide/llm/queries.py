@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brontide.llm import decontaminate, near_dup, pieces, pii, quality, rules, shards, spelling, tokens, turns, urls, warc
+from brontide.llm import decontaminate, near_dup, pieces, pii, quality, rules, shards, spelling, suffixes, tokens, turns, urls, warc
 from brontide.llm.common import table, written
 from brontide.llm.sql import ORACLE
 
@@ -121,3 +121,14 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = written(out, "repaired")
     repaired.clear()
     return out
+
+
+@_query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, scratch = suffixes.without_repeats(docs, length=200, keep="none")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    out = found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    out = written(out, "without-repeats", suffixes.TEXT_ROWS)
+    scratch.clear()
+    return out
