@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from brontide.functions import geo, text, time_axes, values
 from brontide.operators import core
-from brontide.plans import assertions, evaluation, feed, models, ops, publication, published, published_sql, slots
-from brontide.plans.feed import AS_OF, SOURCE, SQL_ALL, SQL_BRONZE, SQL_SILVER, Products, read
+from brontide.plans import assertions, evaluation, feed, models, ops, publication, published, published_sql, refresh, slots
+from brontide.plans.feed import AS_OF, SOURCE, SQL_ALL, SQL_BRONZE, SQL_MARTS, SQL_SILVER, Products, read
 from brontide.plans.registry import register
-from brontide.sources import ingest, tables
+from brontide.sources import ingest, partitions, tables
 
 _T = f"TIMESTAMP '{AS_OF}'"
 _BRONZE, _SILVER = f"WITH {SQL_BRONZE} ", f"WITH {SQL_BRONZE}, {SQL_SILVER} "
@@ -275,6 +275,62 @@ def t01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core.after_watermark(p.bronze, p.silver, "collected_at").select("request_id")
 
 
+def _table(spark: SparkSession, name: str, layout: partitions.Layout) -> partitions.PartitionedTable:
+    return partitions.PartitionedTable(spark, f"{tables.session_folder(spark, name)}/rows", layout)
+
+
+@register("s08_replaced_run", _BRONZE + "SELECT request_id, load_date, dag_run_id, fcst_value_raw AS fcst_value FROM bronze")
+def s08(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that was loaded in part, a day off and with other values, is loaded again."""
+    rows = feed.bronze(spark, sf_dir).select("source_id", "request_id", "load_date", "dag_run_id", "fcst_value")
+    mine = F.col("dag_run_id") == "run_1"
+    off = F.date_format(F.date_add(F.to_date("load_date"), 1), "yyyy-MM-dd")
+    table = _table(spark, "replaced-run", partitions.COLLECTED)
+    table.append(rows.where(~mine | F.col("request_id").endswith("1")).withColumns({"load_date": F.when(mine, off).otherwise(F.col("load_date")), "fcst_value": F.when(mine, "old").otherwise(F.col("fcst_value"))}))
+    table.replace_run(rows.where(mine), SOURCE, "run_1")
+    return table.read().select("request_id", "load_date", "dag_run_id", "fcst_value")
+
+
+_MERGED_AT = AS_OF.replace(day=16)
+
+
+@register("t01_silver_merge", _SILVER + f"SELECT {_KEY}, fcst_value_raw, value_representation, value_num, raw_object_key, collected_at FROM silver")
+def t01_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver merged in two steps, the second behind the look-back watermark, by days of forecasts."""
+    table, rows, states = _table(spark, "silver", partitions.FORECAST), feed.bronze(spark, sf_dir), feed.manifest(spark, sf_dir)
+    for part in (rows.where(F.col("collected_at") < time_axes.literal_hour(_MERGED_AT)), rows):
+        refresh.merge_silver(table, part, states, SOURCE)
+    return table.read().select(*_KEY.split(", "), "fcst_value_raw", "value_representation", "value_num", "raw_object_key", "collected_at")
+
+
+@register("t02_grid_mart_merge", f"WITH {SQL_BRONZE}, {SQL_SILVER}, {SQL_MARTS.replace(str(AS_OF), str(_MERGED_AT))} SELECT grid_id, coverage_scope, nx, ny, {_MART} FROM grid_mart")
+def t02(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid mart of one day, refreshed on the next: old partitions go, new winners are merged."""
+    table, p = _table(spark, "grid-mart", partitions.FORECAST), feed.kept(spark, sf_dir)
+    for as_of in (AS_OF, _MERGED_AT):
+        refresh.merge_grid_mart(table, p.silver, p.grid, as_of)
+    return table.read().select("grid_id", "coverage_scope", "nx", "ny", *_MART.split(", "))
+
+
+@register("t05_append_window", _BRONZE + "SELECT request_id, load_date, CASE WHEN collected_at >= TIMESTAMP '2024-01-14 12:00:00' THEN fcst_value_raw ELSE 'old' END AS fcst_value FROM bronze")
+def t05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows from a cutoff on are published anew, whatever stood there before."""
+    rows = feed.bronze(spark, sf_dir).select("request_id", "load_date", "collected_at", "fcst_value")
+    table = _table(spark, "window", partitions.COLLECTED)
+    table.append(rows.withColumn("fcst_value", F.lit("old")))
+    table.append_window(rows, "collected_at", AS_OF.replace(day=14, hour=12))
+    return table.read().select("request_id", "load_date", "fcst_value")
+
+
+@register("s28_forecast_days", _SILVER + "SELECT forecast_at::DATE::VARCHAR AS forecast_day, count(*) AS row_count, min(forecast_at) AS first_at, max(forecast_at) AS last_at FROM silver WHERE forecast_at::DATE BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY 1")
+def s28(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some days of silver laid out by day: other folders are not listed."""
+    table = _table(spark, "forecast-days", partitions.FORECAST)
+    table.append(feed.kept(spark, sf_dir).silver)
+    rows = table.stored().where(F.col("forecast_day").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-20").cast("date")))
+    return _dated(rows.groupBy("forecast_day").agg(F.count("*").alias("row_count"), F.min("forecast_at").alias("first_at"), F.max("forecast_at").alias("last_at")))
+
+
 @register("k03_keyset_page", "SELECT o_orderkey, o_totalprice FROM orders WHERE (o_totalprice, o_orderkey) > (250000.0, 10) ORDER BY o_totalprice, o_orderkey LIMIT 101")
 def k03(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")

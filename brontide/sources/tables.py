@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,15 @@ def work_folder(spark: SparkSession) -> str:
     return _OWN_FOLDER[0]
 
 
+def session_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below work_folder, which is deleted when the session's JVM ends."""
+    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 class VersionedTable:
     """Versions v1, v2 ... below a path, and pointers to the current one."""
 
