@@ -12,9 +12,14 @@ There the suffixes at all starts are ranked by their first `length` bytes (prefi
 ranks of 8 bytes make those of 16, and so on). In suffix order, with ties by place, a
 longest-previous-factor entry reaches `length` exactly if the entry before has the same rank: then that
 is the previous smaller position; a next smaller one at that length cannot be left. The entry
-behind shows a later copy likewise. Anchors with more than GROUP different surroundings (the edges of a
-passage that many documents hold) would be too much for one task; their starts are counted by
-Spark by two hashes of their strings, which gives the same matches.
+behind shows a later copy likewise.
+
+Anchors with more than GROUP different surroundings (the edges of a passage that many documents
+hold) would be too much for one task. Their starts are halved by the distance to the anchor, again
+and again: starts of one half share the bytes around the anchor that all strings of that half
+hold, so they fall into groups by these. Groups alone or all equal are done, small ones are ranked, and
+only the halves over a passage's edge are halved further, so rows grow with surroundings, not
+with their starts.
 
 keep="first" removes what an earlier document, or the same one further up, already has (documents
 in order of id, then of the hash of their text); keep="none" removes all copies. Matches do not
@@ -43,7 +48,7 @@ from brontide.llm.common import Scratch, free_names, release, text_of
 
 #: Bytes of the strings whose hashes make anchors; starts of a text that are looked at together.
 GRAM, PIECE = 32, 1 << 22
-#: Different surroundings of an anchor that one task ranks; bytes that it ranks at once, at least.
+#: Different surroundings of an anchor that one task ranks; bytes that are ranked at once, at least.
 GROUP, BLOCK = 2000, 1 << 20
 #: Up to so many documents whose bytes are wanted are told to the scan; beyond, texts are shuffled.
 BROADCAST_DOCS = 500_000
@@ -81,7 +86,8 @@ def _grams(b: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: bytes, length: int) -> Iterator[tuple[int, int, int, int]]:
-    """(first start, bytes, anchor hash, hash of the bytes) of the starts of each anchor."""
+    """(first start, distance from it to the anchor, bytes, anchor hash, hash of the bytes) of the
+    starts of each anchor."""
     for begin in range(0, len(data) - length + 1, PIECE):
         piece = data[begin : begin + PIECE + length - 1]
         starts, reach = len(piece) - length + 1, length - GRAM + 1
@@ -96,15 +102,16 @@ def anchors(data: bytes, length: int) -> Iterator[tuple[int, int, int, int]]:
         at = least[:starts] & _PLACE
         first = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1))
         end = np.concatenate((first[1:], [starts])) + length - 1
-        own = hashes[at[first].astype(np.int64)].view(np.int64)
-        for s, e, a in zip(first.tolist(), end.tolist(), own.tolist(), strict=True):
-            yield begin + s, e - s, a, xxhash.xxh3_64_intdigest(piece[s:e]) - (1 << 63)
+        places = at[first].astype(np.int64)
+        own = hashes[places].view(np.int64)
+        for s, e, p, a in zip(first.tolist(), end.tolist(), places.tolist(), own.tolist(), strict=True):
+            yield begin + s, p - s, e - s, a, xxhash.xxh3_64_intdigest(piece[s:e]) - (1 << 63)
 
 
 def _anchored(length: int):
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, out = [], ([], [], [], [])
+            rows, out = [], ([], [], [], [], [])
             for i, text in enumerate(batch.column("text")):
                 n = 0
                 for found in anchors(text.as_py(), length):
@@ -114,7 +121,7 @@ def _anchored(length: int):
                 rows.append(np.full(n, i))
             rows = pa.array(np.concatenate(rows) if rows else [], pa.int64())
             ids = [batch.column(c).take(rows) for c in ("id", "th")]
-            yield pa.RecordBatch.from_arrays([*ids, *(pa.array(x, pa.int64()) for x in out)], ["id", "th", "s0", "bytes", "a", "c"])
+            yield pa.RecordBatch.from_arrays([*ids, *(pa.array(x, pa.int64()) for x in out)], ["id", "th", "s0", "far", "bytes", "a", "c"])
         release()
 
     return anchored
@@ -160,12 +167,12 @@ def _ranked(length: int):
         flags = list(matches([r[5] for r in block], length))
         cells = [[r[0] for r in block], [r[1] for r in block], [_runs(f[0]) for f in flags], [_runs(f[1]) for f in flags]]
         types = [pa.int64(), pa.int64(), _SPAN_ARROW, _SPAN_ARROW]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cells, types, strict=True)], ["a", "c", "other", "earlier"])
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cells, types, strict=True)], ["g", "c", "other", "earlier"])
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("a", "c", "id", "th", "s0", "content")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("g", "c", "id", "th", "s0", "content")), strict=True):
                 if size >= BLOCK and row[0] != block[-1][0]:
                     yield handed(block)
                     block, size = [], 0
@@ -178,25 +185,35 @@ def _ranked(length: int):
     return ranked
 
 
-def _hashed(length: int):
-    """Two hashes of the string of each start."""
+def halves(content: bytes, far: int, width: int, length: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """Parts of a content by the distance of their starts to the anchor, which lies far behind the
+    first start: part, place in the content, distance of its first start, hash of the bytes that all
+    starts of the part have in common, and the part's bytes."""
+    starts = len(content) - length + 1
+    for part in range((far - starts + 1) // width, far // width + 1):
+        near, least = max(part * width, far - starts + 1), part * width
+        most = min(least + width - 1, far)
+        first = far - most
+        common = content[far - least : far + length - min(least + width - 1, length - 1)]
+        yield part, first, most, xxhash.xxh3_64_intdigest(common) - (1 << 63), content[first : far - near + length]
+
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _halved(length: int, width: int):
+    def halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, x, one, two = [], [], [], []
-            for i, content in enumerate(batch.column("content").to_pylist()):
-                for at in range(len(content) - length + 1):
-                    both = xxhash.xxh3_128_intdigest(content[at : at + length])
+            rows, out = [], [[] for _ in range(6)]
+            for i, (g, s0, far, x, content) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("g", "s0", "far", "x", "content")), strict=True)):
+                for part, first, most, common, own in halves(content, far, width, length):
                     rows.append(i)
-                    x.append(at)
-                    one.append((both >> 64) - (1 << 63))
-                    two.append((both & (1 << 64) - 1) - (1 << 63))
-            rows = pa.array(rows, pa.int64())
-            own = [batch.column(c).take(rows) for c in ("a", "c", "id", "th", "s0")]
-            yield pa.RecordBatch.from_arrays([*own, *(pa.array(v, pa.int64()) for v in (x, one, two))], ["a", "c", "id", "th", "s0", "x", "one", "two"])
+                    group = xxhash.xxh3_64_intdigest(f"{g}:{part}:{common}") - (1 << 63)
+                    for cell, value in zip(out, (group, xxhash.xxh3_64_intdigest(own) - (1 << 63), s0 + first, most, x + first, own), strict=True):
+                        cell.append(value)
+            kept = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("a", "top", "id", "th")]
+            types = [pa.int64()] * 5 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(v, t) for v, t in zip(out, types, strict=True))], ["a", "top", "id", "th", "g", "c", "s0", "far", "x", "content"])
         release()
 
-    return hashed
+    return halved
 
 
 @F.arrow_udf(_SPAN)
@@ -226,47 +243,83 @@ def _kept(texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 def _contents(docs: DataFrame, own: DataFrame, scratch: Scratch) -> DataFrame:
     """own with the bytes of each of its rows (id, th, s0, bytes), cut from the documents."""
-    wanted = own.groupBy("id", "th").agg(F.collect_list(F.struct("a", "c", "s0", "bytes", "members")).alias("own"))
+    wanted = own.groupBy("id", "th").agg(F.collect_list(F.struct("a", "c", "s0", "far", "bytes", "members")).alias("own"))
     wanted = scratch.written(wanted, "wanted")
     if wanted.count() <= BROADCAST_DOCS:
         ids = wanted.select(F.col("id").alias("i"), F.col("th").alias("t"))
         docs = docs.join(F.broadcast(ids), F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")), "left_semi")
     right = wanted.select(F.col("id").alias("i"), F.col("th").alias("t"), "own")
     found = docs.join(right, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")))
-    cut = F.transform("own", lambda o: F.struct(o["a"].alias("a"), o["c"].alias("c"), o["s0"].alias("s0"), o["members"].alias("members"), F.substring(F.col("text"), o["s0"].cast("int") + 1, o["bytes"].cast("int")).alias("content")))
+    cut = F.transform("own", lambda o: F.struct(o["a"].alias("a"), o["c"].alias("c"), o["s0"].alias("s0"), o["far"].alias("far"), o["members"].alias("members"), F.substring(F.col("text"), o["s0"].cast("int") + 1, o["bytes"].cast("int")).alias("content")))
     # Copies of one row give the same bytes again; one is enough.
     return found.select("id", "th", F.inline(cut)).dropDuplicates(["a", "c"])
 
 
+def _first() -> Column:
+    return F.min(F.struct(F.col("id").isNotNull().alias("known"), "id", "th", "s0", "far", "x", "top", "a", "content"))
+
+
+def _all(n: Column) -> Column:
+    return F.array(F.struct(F.lit(0).cast("long").alias("start"), n.alias("end")))
+
+
+def _shifted(runs: str) -> Column:
+    return F.transform(runs, lambda r: F.struct((r["start"] + F.col("x")).alias("start"), (r["end"] + F.col("x")).alias("end")))
+
+
 def _flags(contents: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """(a, c, other, earlier): runs of starts whose string is met in other surroundings of the
     anchor, and in earlier ones."""
-    few = contents.where(F.col("members") <= GROUP).drop("members").repartition("a").sortWithinPartitions("a")
-    flags = few.mapInArrow(_ranked(length), T.StructType().add("a", "long").add("c", "long").add("other", _SPAN).add("earlier", _SPAN))
-    many = contents.where(F.col("members") > GROUP)
-    if many.isEmpty():
-        return flags
-    fields = [contents.schema[c] for c in ("a", "c", "id", "th", "s0")] + [T.StructField(c, T.LongType()) for c in ("x", "one", "two")]
-    each = scratch.written(many.mapInArrow(_hashed(length), T.StructType(fields)), "starts")
-    first = F.min(F.struct(F.col("id").isNotNull(), "id", "th", "s0", "c"))
-    met = each.groupBy("a", "one", "two").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1").select("a", "one", "two", F.col("first.c").alias("first"))
-    run = F.struct(F.col("x").alias("start"), (F.col("x") + 1).alias("end"))
-    found = each.join(met, ["a", "one", "two"]).groupBy("a", "c").agg(F.collect_list(run).alias("other"), F.collect_list(F.when(F.col("first") != F.col("c"), run)).alias("earlier"))
-    return flags.unionByName(found)
+    kinds = T.StructType().add("g", "long").add("c", "long").add("other", _SPAN).add("earlier", _SPAN)
+
+    def ranked(groups: DataFrame) -> DataFrame:
+        few = groups.where(F.col("members") <= GROUP).select("g", "c", "id", "th", "s0", "content")
+        return few.repartition("g").sortWithinPartitions("g").mapInArrow(_ranked(length), kinds)
+
+    found = [ranked(contents.withColumn("g", F.col("a"))).select(F.col("g").alias("a"), "c", "other", "earlier")]
+    # g: group; c: hash of a part; top: hash of the surroundings it was cut from, where it starts at x.
+    many = contents.where(F.col("members") > GROUP).withColumns({"g": F.col("a"), "top": F.col("c"), "x": F.lit(0).cast("long")})
+    width = 1 << (length - GRAM).bit_length()
+    while width > 1 and not many.isEmpty():
+        width //= 2
+        fields = [contents.schema["a"], T.StructField("top", T.LongType()), *(contents.schema[c] for c in ("id", "th")), *(T.StructField(c, T.LongType()) for c in ("g", "c", "s0", "far", "x")), contents.schema["content"]]
+        parts = scratch.written(many.mapInArrow(_halved(length, width), T.StructType(fields)), "halves", CONTENT_ROWS)
+        met = scratch.written(parts.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "met")
+        same = parts.join(met, "g", "left_semi").groupBy("g", "c").agg(F.count("*").alias("n"), _first().alias("first"))
+        same = scratch.written(same, "equal-parts", CONTENT_ROWS)
+        members = same.groupBy("g").agg(F.count("*").alias("members"))
+        reps = same.join(members, "g").select("g", "c", "n", "members", "first.id", "first.th", "first.s0", "first.far", "first.x", "first.top", "first.a", "first.content")
+        reps = scratch.written(reps, "representatives", CONTENT_ROWS)
+        # Equal parts match wholly: all but the first have an earlier copy.
+        about = reps.where("n > 1").select("g", "c", F.col("id").alias("i"), F.col("th").alias("t"), F.col("s0").alias("s"))
+        copies = parts.select("g", "c", "a", "top", "id", "th", "s0", "x", (F.length("content") - length + 1).cast("long").alias("starts")).join(about, ["g", "c"])
+        own = F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")) & (F.col("s0") == F.col("s"))
+        copies = copies.select("a", F.col("top").alias("c"), "x", _all(F.col("starts")).alias("other"), F.when(own, F.array().cast(_SPAN)).otherwise(_all(F.col("starts"))).alias("earlier"))
+        some = ranked(reps.where("members > 1")).join(reps.select("g", "c", "a", "top", "x"), ["g", "c"]).select("a", F.col("top").alias("c"), "x", "other", "earlier")
+        found += [df.select("a", "c", _shifted("other").alias("other"), _shifted("earlier").alias("earlier")) for df in (copies, some)]
+        many = reps.where(F.col("members") > GROUP)
+    if len(found) == 1:
+        return found[0]
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("a", "c").agg(F.flatten(F.collect_list("other")).alias("other"), F.flatten(F.collect_list("earlier")).alias("earlier"))
 
 
 def repeated_spans(docs: DataFrame, length: int, keep: str, scratch: Scratch) -> DataFrame:
     """(id, th, spans): the bytes to remove of documents (id, th, text) that lose any."""
-    starts = T.StructType([docs.schema["id"], *(T.StructField(c, T.LongType()) for c in ("th", "s0", "bytes", "a", "c"))])
+    starts = T.StructType([docs.schema["id"], *(T.StructField(c, T.LongType()) for c in ("th", "s0", "far", "bytes", "a", "c"))])
     rows = scratch.written(docs.where(F.length("text") >= length).mapInArrow(_anchored(length), starts), "anchors", TEXT_ROWS)
     met = rows.groupBy("a").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 1")
-    common = scratch.written(rows.join(met.select("a", (F.col("lo") != F.col("hi")).alias("mixed")), "a"), "common")
+    # Written, so that the rows of a hot anchor can be split in the join.
+    met = scratch.written(met.select("a", (F.col("lo") != F.col("hi")).alias("mixed")), "met")
+    common = scratch.written(rows.join(met, "a"), "common")
     scratch.drop(rows)
-    place = F.struct(F.col("id").isNotNull().alias("known"), "id", "th", "s0", "bytes")
+    place = F.struct(F.col("id").isNotNull().alias("known"), "id", "th", "s0", "far", "bytes")
     per = common if keep == "first" else common.where("mixed")
     per = scratch.written(per.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("mixed").alias("mixed")), "surroundings")
     members = per.where("mixed").groupBy("a").agg(F.count("*").alias("members"))
-    own = per.where("mixed").join(members, "a").select("a", "c", "first.id", "first.th", "first.s0", "first.bytes", "members")
+    own = per.where("mixed").join(members, "a").select("a", "c", "first.id", "first.th", "first.s0", "first.far", "first.bytes", "members")
     contents = scratch.written(_contents(docs, own, scratch), "contents", CONTENT_ROWS)
     flags = scratch.written(_flags(contents, length, scratch), "flags")
     scratch.drop(contents)

@@ -91,5 +91,5 @@ def test_pieces_of_very_long_texts(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "PIECE", 100)
     rows = cases()
     for data in ((t or "").encode() for _, t in rows):
-        starts = [s + k for s, n, _, _ in suffixes.anchors(data, 80) for k in range(n - 79)]
+        starts = [s + k for s, _, n, _, _ in suffixes.anchors(data, 80) for k in range(n - 79)]
         assert starts == list(range(max(0, len(data) - 79)))
