@@ -6,16 +6,19 @@ set. A table key is a pair (left tuple, right tuple), so collection ** 2 tables
 Two sets at similarity s meet in some table with probability 1 - 2 * (1 - s ** rows) ** collection
 at least; with the production values that leaves out 2e-5 at s = 0.85 and less above.
 
-Inside a bucket no pairs are listed while it is large, so pairs grow with the members. Rounds
-compare every member with one centre, the member with most links so far, and merge components;
-buckets of one component are done, and of up to SMALL members are compared in full. Large
-buckets that still hold several components are keyed again by further minhashes of each of
-their two families, as many as their size asks for, several independent times, and treated the
-same way. In the end sets of such buckets that share a shingle which is rare among them meet.
-A link that is no bridge through centres, shares no rare shingle and is missed by all further
-keys is lost; tests and the README give the recall. Pairs are first judged by one byte of each
-minhash; those of fewer equal bytes than six standard deviations below the threshold allow (a
-chance of about 1e-7) do not fetch their sets.
+Inside a bucket no pairs are listed, so what is written grows with the members. A first round
+compares every member with one centre, the member with most links so far, and merges components;
+buckets of one component are done. The others are compared in full inside a task, by one byte of
+each minhash, if they have up to SMALL members, and give the pairs that may be similar. Where
+these would be more than DENSE times the members, the task gets the members' sets instead, counts
+all intersections as a product of matrices, and gives links that join components, fewer than members.
+Larger buckets are keyed again by further minhashes of each of their two families, as many as their
+size asks for, and as many times as leave out LOST of the pairs at the threshold. What is large
+even then (sets that are nearly, but not quite, similar) is dealt in blocks, and the sets of
+every block are compared with those of every other.
+So besides the tables' 2e-5, only LOST of the pairs inside large buckets can be missed. Pairs of
+fewer equal bytes than six standard deviations below the threshold allow (a chance of about 1e-7)
+are not compared further.
 
 Defined results: a null or wordless text has the empty set and is linked with nothing; fewer
 words than a shingle form one shingle; equal sets are one node, whatever their number; rows of
@@ -44,14 +47,14 @@ from brontide.llm.common import Scratch, release, text_of, written
 
 #: Word hashes that a worker process keeps; it starts again when full.
 MEMO_ENTRIES = 60_000
-#: Buckets of at most so many nodes are compared in full, larger ones with their centre.
-SMALL = 8
-#: Rounds over the tables' buckets, and over those that further minhashes make of them.
-STARS, FURTHER_STARS = 2, 1
-#: Independent further keys of a large bucket, and the most minhashes of each family in them.
-REPEATS, FURTHER = 2, 8
-#: A shingle in at most so many of the sets left in large buckets is rare.
-RARE = 8
+#: Buckets of at most so many nodes are compared in full by one task.
+SMALL = 2000
+#: Likely pairs for each member beyond which sets are compared where they are; shingles of the sets
+#: that one task compares then; columns of a product of matrices.
+DENSE, DENSE_SHINGLES, COLUMNS = 4, 1 << 21, 4096
+#: Share of the pairs at the threshold that keying a large bucket again may leave out; similarity of
+#: the members that it is to bring down to SMALL; the most minhashes of a family, and keys, for that.
+LOST, LEAVES, FURTHER, REPEATS = 1e-4, 0.8, 24, 64
 #: Rows that Python workers get at once: texts, and pairs of sets.
 TEXT_ROWS, PAIR_ROWS = 1000, 200
 #: Up to so many ids of candidate documents are broadcast to the scan that makes their sets, and
@@ -172,10 +175,14 @@ def _confirmed(share: int):
     return confirmed
 
 
+def _least(p: Params) -> float:
+    """Equal bytes of two sketches that sets at the threshold have, but for a chance of 1e-7."""
+    n, share = 2 * p.collection * p.rows, p.share / 100
+    return n * (share - 6 * (share * (1 - share) / n) ** 0.5)
+
+
 def _likely(p: Params):
-    n = 2 * p.collection * p.rows
-    share = p.share / 100
-    least = n * (share - 6 * (share * (1 - share) / n) ** 0.5)
+    n, least = 2 * p.collection * p.rows, _least(p)
 
     @F.arrow_udf(T.BooleanType())
     def likely(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -249,19 +256,32 @@ def set_digests(size: int, col: str):
     return digests(text_of(col))
 
 
+def _sides(p: Params, depth: int, share: float) -> float:
+    """Chance that two sets of a similarity share a left, or a right, tuple and depth further minhashes of its family."""
+    return 1 - (1 - share ** (p.rows + depth)) ** p.collection
+
+
+def repeats(p: Params, depth: int) -> int:
+    """How often keys of so many further minhashes are made, to leave out LOST of the pairs at the threshold."""
+    met = _sides(p, depth, p.share / 100) ** 2
+    return min(REPEATS, max(1, math.ceil(math.log(LOST) / math.log(max(1 - met, 1e-12)))))
+
+
 def further_keys(hashes: np.ndarray, tables: list[dict], p: Params) -> np.ndarray:
-    """For each table entry (key, i, j, depth), REPEATS keys that also hold depth further
+    """For each table entry (key, i, j, depth), repeats(depth) keys that also hold depth further
     minhashes of left family i and of right family j."""
     out = []
-    old, i, j, depth = (np.array([t[k] for t in tables], np.int64) for k in ("key", "i", "j", "depth"))
-    for repeat in range(REPEATS):
-        low = minhashes(hashes, 2 * p.collection * FURTHER, p.seed + 1000 * (repeat + 1)).reshape(2 * p.collection, FURTHER)
+    deepest = max(t["depth"] for t in tables)
+    for r in range(max(repeats(p, t["depth"]) for t in tables)):
+        low = minhashes(hashes, 2 * p.collection * deepest, p.seed + 1000 * (r + 1)).reshape(2 * p.collection, deepest)
         so_far = np.empty_like(low)
         so_far[:, 0] = _mixed(low[:, 0])
-        for d in range(1, FURTHER):
+        for d in range(1, deepest):
             so_far[:, d] = _mixed(so_far[:, d - 1] * np.uint64(0x9E3779B97F4A7C15) + low[:, d])
+        own = [t for t in tables if r < repeats(p, t["depth"])]
+        old, i, j, depth = (np.array([t[k] for t in own], np.int64) for k in ("key", "i", "j", "depth"))
         left, right = so_far[i, depth - 1], so_far[p.collection + j, depth - 1]
-        out.append(_mixed(_mixed(old.view(np.uint64) + np.uint64(repeat) + left) * np.uint64(0x9E3779B97F4A7C15) + right))
+        out.append(_mixed(_mixed(old.view(np.uint64) + np.uint64(r) + left) * np.uint64(0x9E3779B97F4A7C15) + right))
     return np.concatenate(out).view(np.int64)
 
 
@@ -275,9 +295,86 @@ def _further(p: Params):
     return further
 
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def _hashes(sets: pa.Array) -> pa.Array:
-    return pa.array([np.frombuffer(x.as_py(), np.int64) for x in sets], pa.list_(pa.int64()))
+def likely_pairs(members: list[dict], p: Params) -> dict:
+    """Pairs of members (nid, comp, n, sketch) of different components whose sizes and sketches
+    allow the threshold, or only that they are too many."""
+    found, most = [], DENSE * len(members)
+    sketches = np.frombuffer(b"".join(m["sketch"] for m in members), np.uint8).reshape(len(members), -1)
+    comp, size, nid = (np.array([m[k] for m in members], np.int64) for k in ("comp", "n", "nid"))
+    least = _least(p)
+    for k in range(len(members) - 1):
+        rest = slice(k + 1, None)
+        fit = (comp[rest] != comp[k]) & (np.minimum(size[rest], size[k]) * 100 >= np.maximum(size[rest], size[k]) * p.share)
+        at = np.flatnonzero(fit) + k + 1
+        if len(at):
+            at = at[(sketches[at] == sketches[k]).sum(axis=1) >= least]
+            found += [{"a": int(nid[k]), "b": b} for b in nid[at].tolist()]
+        if len(found) > most:
+            return {"pairs": [], "dense": True}
+    return {"pairs": found, "dense": False}
+
+
+_PAIRS = T.ArrayType(T.StructType().add("a", "long").add("b", "long"))
+_PAIRS_ARROW = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
+
+def _likely_pairs(p: Params):
+    @F.arrow_udf(T.StructType().add("pairs", _PAIRS).add("dense", "boolean"))
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for groups in batches:
+            yield pa.array([likely_pairs(g.as_py(), p) for g in groups], pa.struct([("pairs", _PAIRS_ARROW), ("dense", pa.bool_())]))
+        release()
+
+    return found
+
+
+def joining_links(members: list[dict], share: int) -> list[dict]:
+    """Of the similar pairs of members (nid, comp, side, hashes) as many as it takes to join all
+    components that such pairs join. Sides 1 and 2 meet only the other side."""
+    sets = [np.frombuffer(m["hashes"], np.uint64) for m in members]
+    size = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Only shingles of two sets can be common; they get columns without gaps.
+    number = np.cumsum(counts > 1) - 1
+    kept = counts[column] > 1
+    owner, column = owner[kept], number[column[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        own = slice(*np.searchsorted(column, (first, first + COLUMNS)))
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[owner[own], column[own] - first] = 1
+        common += part @ part.T
+    root = {m["comp"]: m["comp"] for m in members}
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    side = np.array([m["side"] for m in members])
+    links = []
+    for k in range(len(sets) - 1):
+        rest = common[k, k + 1 :]
+        near = (100 * rest >= share * (size[k] + size[k + 1 :] - rest)) & ((side[k] == 0) | (side[k + 1 :] != side[k]))
+        for other in (np.flatnonzero(near) + k + 1).tolist():
+            one, two = top(members[k]["comp"]), top(members[other]["comp"])
+            if one != two:
+                root[one] = two
+                links.append({"a": members[k]["nid"], "b": members[other]["nid"]})
+    return links
+
+
+def _joining_links(share: int):
+    @F.arrow_udf(_PAIRS)
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for groups in batches:
+            yield pa.array([joining_links(g.as_py(), share) for g in groups], _PAIRS_ARROW)
+        release()
+
+    return found
 
 
 class _Merger:
@@ -302,20 +399,42 @@ class _Merger:
         about = about.where("lo <> hi").select("key", "members", F.col("mid.nid").alias("mid"), F.col("mid.comp").alias("mid_comp"))
         return self.scratch.written(now.join(about, "key"), "buckets")
 
-    def compare(self, keys: DataFrame, small: int) -> DataFrame:
-        """One round over the buckets; the members of those that may need another."""
+    def stars(self, keys: DataFrame) -> DataFrame:
+        """Compares the members of every open bucket with its centre; the members of those that need more."""
         left = self.open_buckets(keys)
-        pairs = left.where("comp <> mid_comp AND members > %d" % small).select(F.col("mid").alias("a"), F.col("nid").alias("b"))
-        if small:
-            x, y = (left.where(F.col("members") <= small).select("key", F.col("nid").alias(f"nid_{s}"), F.col("comp").alias(f"comp_{s}")) for s in "xy")
-            full = x.join(y, "key").where((F.col("nid_x") < F.col("nid_y")) & (F.col("comp_x") != F.col("comp_y")))
-            pairs = pairs.union(full.select("nid_x", "nid_y"))
-        self.confirm(pairs)
-        # Of a large bucket, the centre that was just compared with all is done.
-        rest = self.scratch.written(left.where((F.col("members") > small) & (F.col("nid") != F.col("mid"))).select(keys.columns), "rest")
+        self.confirm(left.where("comp <> mid_comp").select(F.col("mid").alias("a"), F.col("nid").alias("b")))
+        rest = self.scratch.written(left.where("members > 2").select(keys.columns), "rest")
         self.scratch.drop(left)
         return rest
 
+    def groups(self, keys: DataFrame) -> DataFrame:
+        """Compares all members of open buckets of up to SMALL; the larger buckets."""
+        left = self.open_buckets(keys)
+        own = left.where(F.col("members") <= SMALL).select("key", "nid", "comp")
+        about = self.sizes.join(self.sketches, "nid")
+        listed = own.join(about, "nid").groupBy("key").agg(F.collect_list(F.struct("nid", "comp", "n", "sketch")).alias("members"))
+        found = self.scratch.written(listed.select("key", _likely_pairs(self.p)("members").alias("j")).select("key", "j.pairs", "j.dense"), "pairs", PAIR_ROWS)
+        self.confirm(found.select(F.inline("pairs")))
+        dense = found.where("dense").select("key")
+        if not dense.isEmpty():
+            again = self.open_buckets(own.join(dense, "key", "left_semi").select("key", "nid"))
+            self.sets_of(again)
+            self.scratch.drop(again)
+        rest = self.scratch.written(left.where(F.col("members") > SMALL), "rest")
+        self.scratch.drop(left, found)
+        return rest
+
+    def sets_of(self, buckets: DataFrame) -> None:
+        """Compares the sets of all members (key, nid, comp), in blocks that a task can hold."""
+        rows = buckets.select("key", "nid", "comp").join(self.sizes, "nid")
+        count = rows.groupBy("key").agg(F.ceil(F.sum("n") / DENSE_SHINGLES).cast("int").alias("count"))
+        rows = rows.join(count, "key").withColumn("block", F.pmod(F.xxhash64("nid"), F.col("count")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+        side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+        rows = rows.select("key", "nid", "comp", side.alias("side"), F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+        listed = rows.join(self.sets.select("nid", "hashes"), "nid").groupBy("key", "one", "two").agg(F.collect_list(F.struct("nid", "comp", "side", "hashes")).alias("members"))
+        self.add(self.scratch.written(listed.select(F.inline(_joining_links(self.p.share)("members"))).distinct(), "found", 2))
+
     def confirm(self, pairs: DataFrame) -> None:
         """Adds the similar ones of the pairs to the links, and merges their components."""
         share = self.p.share
@@ -329,6 +448,10 @@ class _Merger:
         a, b = (self.sets.select(F.col("nid").alias(s), F.col("hashes").alias(f"{s}_hashes")) for s in "ab")
         found = self.scratch.written(likely.join(a, "a").join(b, "b").where(_confirmed(share)("a_hashes", "b_hashes")).select("a", "b"), "found", PAIR_ROWS)
         self.scratch.drop(likely)
+        self.add(found)
+
+    def add(self, found: DataFrame) -> None:
+        """Adds links, and merges the components that they join."""
         if found.isEmpty():
             return
         self.links = found if self.links is None else self.links.unionByName(found)
@@ -341,45 +464,31 @@ class _Merger:
 
     def further(self, buckets: DataFrame) -> DataFrame:
         """(key, nid) of open buckets by further minhashes, as many as bring sets of similarity
-        three quarters down to SMALL."""
-        depth = F.ceil(F.log(F.col("members") / SMALL) / F.lit(2 * math.log(4 / 3)))
+        LEAVES down to SMALL."""
+        depth = F.ceil(F.log(F.col("members") / SMALL) / F.lit(-2 * math.log(LEAVES)))
         tables = buckets.groupBy("nid").agg(F.collect_list(F.struct("key", "i", "j", F.least(F.greatest(depth, F.lit(1)), F.lit(FURTHER)).cast("int").alias("depth"))).alias("tables"))
         keyed = tables.join(self.sets, "nid").select("nid", _further(self.p)("hashes", "tables").alias("keys"))
-        return self.scratch.written(keyed.select(F.explode("keys").alias("key"), "nid"), "further", PAIR_ROWS)
-
-    def rare_pairs(self, buckets: DataFrame) -> DataFrame:
-        """Pairs of the sets in open buckets that share a shingle of at most RARE of these sets."""
-        nids = buckets.groupBy("nid").agg(F.first("comp").alias("comp"))
-        each = self.scratch.written(nids.join(self.sets, "nid").select("nid", "comp", F.explode(_hashes("hashes")).alias("h")), "shingles", PAIR_ROWS)
-        rare = each.groupBy("h").count().where(F.col("count").between(2, RARE)).select("h")
-        some = self.scratch.written(each.join(rare, "h", "left_semi"), "rare")
-        self.scratch.drop(each)
-        x, y = (some.select("h", F.col("nid").alias(s), F.col("comp").alias(f"{s}_comp")) for s in "ab")
-        return x.join(y, "h").where("a < b AND a_comp <> b_comp").select("a", "b")
+        keys = self.scratch.written(keyed.select("nid", F.explode("keys").alias("key")).select("key", "nid"), "further", PAIR_ROWS)
+        # Keys of one node are no bucket.
+        often = keys.groupBy("key").count().where("count > 1").select("key")
+        shared = self.scratch.written(keys.join(often, "key", "left_semi"), "shared")
+        self.scratch.drop(keys)
+        return shared
 
 
 def _merged(keys: DataFrame, nodes: DataFrame, sets: DataFrame, p: Params, scratch: Scratch) -> DataFrame | None:
     """(node, comp, degree): the components of the pairs that share a key and are similar."""
     merger = _Merger(nodes, sets, p, scratch)
-    rest = keys
-    for step in range(STARS):
-        new = merger.compare(rest, SMALL if step else 0)
-        scratch.drop(rest)
-        rest = new
-        if rest.isEmpty():
-            return merger.comps
-    left = merger.open_buckets(rest)
+    rest = merger.stars(keys)
+    scratch.drop(keys)
+    large = merger.groups(rest)
     scratch.drop(rest)
-    if left.isEmpty():
-        return merger.comps
-    again = merger.further(left)
-    for _ in range(FURTHER_STARS):
-        new = merger.compare(again, SMALL)
+    if not large.isEmpty():
+        again = merger.further(large)
+        larger = merger.groups(again)
         scratch.drop(again)
-        again = new
-        if again.isEmpty():
-            break
-    merger.confirm(merger.rare_pairs(left))
+        if not larger.isEmpty():
+            merger.sets_of(merger.open_buckets(larger.select("key", "nid")))
     return merger.comps
 
 

@@ -244,3 +244,37 @@ def test_partners_in_large_buckets_are_found(spark):
     print(f"partners found: {found:.3f} of {len(pairs)}")
     assert found >= 0.9
     assert all(got[i] >= want[i][1] for i in got)
+
+
+def variant_rows(n, seed=5, length=880, places=80):
+    """A group in which no shingle is rare: two variants of single words at some places, partners
+    of which only some differ."""
+    rnd = random.Random(seed)
+    base = [f"w{rnd.randrange(10**9)}" for _ in range(length)]
+    at = range(5, length - 5, (length - 10) // places)
+    rows = []
+    for i in range(n):
+        own = list(base)
+        chosen = [rnd.random() < 0.5 for _ in at]
+        if i % 2:  # about seven of ten partners are links
+            chosen = [c != (rnd.random() < 0.57) if k < 46 else c for k, c in enumerate(previous)]
+        previous = chosen
+        for k, c in zip(at, chosen, strict=False):
+            if c:
+                own[k] = f"v{k}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("way", ["one task", "further keys", "blocks"])
+def test_no_link_is_lost_without_rare_shingles(spark, monkeypatch, way):
+    if way != "one task":
+        monkeypatch.setattr(near_dup, "SMALL", 20)
+    if way == "blocks":
+        monkeypatch.setattr(near_dup, "LEAVES", 1e-9)
+        monkeypatch.setattr(near_dup, "DENSE_SHINGLES", 30_000)
+    rows = variant_rows(160)
+    want = near_components(rows)
+    assert 30 < len({c for _, c in want.values()}) < 150
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs_frame(spark, rows)).collect()}
+    assert got == {i: c for i, (_, c) in want.items()}
