@@ -306,6 +306,9 @@ class Repaired:
         grouped = each.groupBy("ck", "w").agg(codes.alias("codes"), F.max("pos").alias("end")).where(F.col("end") >= F.col("w") * ROWS)
         size = grouped.groupBy("ck").agg(F.max("end").alias("size"))
         grouped = self._scratch.written(grouped.join(size, "ck"), "windows")
+        # Few bytes, much work: dealt by number, so that no task gets all that fits into a partition.
+        parts = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        grouped = grouped.repartition(parts, "ck", "w")
         ways = _window("codes", "w", F.col("end") == F.col("size"))
         return self._scratch.written(grouped.select("ck", "w", "codes", ways.alias("a")).select("ck", "w", "codes", "a.illegal", "a.ways"), "aligned")
 
