@@ -7,12 +7,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brontide.sources.tables import session_folder
+
 
 def latest_state(rows: DataFrame, key: list[str], at: str, name: str, tie: str) -> DataFrame:
     """The newest row of each key by (at, tie); a key whose newest state is not unique is left out."""
-    w = Window.partitionBy(*key)
-    ranked = rows.withColumns({"_n": F.row_number().over(w.orderBy(F.desc(at), F.desc(tie))), name: F.count("*").over(Window.partitionBy(*key, at, tie))})
-    return ranked.where((F.col("_n") == 1) & (F.col(name) == 1)).drop("_n")
+    w, n = Window.partitionBy(*key), free_name("_n", rows)
+    ranked = rows.withColumns({n: F.row_number().over(w.orderBy(F.desc(at), F.desc(tie))), name: F.count("*").over(Window.partitionBy(*key, at, tie))})
+    return ranked.where((F.col(n) == 1) & (F.col(name) == 1)).drop(n)
 
 
 def publishable_runs(states: DataFrame) -> DataFrame:
@@ -47,7 +49,8 @@ def winner(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def newest_issues(rows: DataFrame, key: list[str], issued: str, most: int) -> DataFrame:
     """Rows of the newest `most` distinct issues of each key; nulls count as oldest."""
     w = Window.partitionBy(*key).orderBy(F.desc_nulls_last(issued))
-    return rows.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= most).drop("_r")
+    r = free_name("_r", rows)
+    return rows.withColumn(r, F.dense_rank().over(w)).where(F.col(r) <= most).drop(r)
 
 
 def islands(rows: DataFrame, key: list[str], at: str, gap_hours: int = 1) -> DataFrame:
@@ -55,14 +58,16 @@ def islands(rows: DataFrame, key: list[str], at: str, gap_hours: int = 1) -> Dat
     w = Window.partitionBy(*key).orderBy(at)
     before = F.lag(at).over(w)
     new = F.when(before.isNull() | (F.timestamp_diff("HOUR", before, F.col(at)) > gap_hours), 1).otherwise(0)
-    marked = rows.withColumn("_new", new)
-    return marked.withColumn("window_number", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    n = free_name("_new", rows)
+    marked = rows.withColumn(n, new)
+    return marked.withColumn("window_number", F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop(n)
 
 
 def nearest_from(rows: DataFrame, key: list[str], at: str, issued: str, start: Column) -> DataFrame:
     """Of each key the first row at or after start, of the newest issue."""
     w = Window.partitionBy(*key).orderBy(F.asc(at), F.desc(issued))
-    return rows.where(F.col(at) >= start).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    n = free_name("_n", rows)
+    return rows.where(F.col(at) >= start).withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(n)
 
 
 def asof_windows(left: DataFrame, right: DataFrame, key: list[str], at: str, issued: str, cutoffs: dict[str, int], lookback: int, order: list[str]) -> DataFrame:
@@ -72,13 +77,14 @@ def asof_windows(left: DataFrame, right: DataFrame, key: list[str], at: str, iss
     Right rows carry their own time `at`, so labels are exploded and joined by equality.
     """
     labels = F.explode(F.array(*(F.struct(F.lit(k).alias("label"), F.lit(h).alias("hours")) for k, h in cutoffs.items())))
-    wanted = left.select(*key, at).distinct().withColumn("_l", labels).select(*key, at, F.col("_l.label").alias("vintage_label"), F.col("_l.hours").alias("_h"))
+    name, own = free_name("_l", left, right), free_name("_lead", left, right)
+    wanted = left.select(*key, at).distinct().withColumn(name, labels).select(*key, at, F.col(f"{name}.label").alias("vintage_label"))
     lead = (F.unix_seconds(F.col(at).cast("timestamp")) - F.unix_seconds(F.col(issued).cast("timestamp"))) / 3600
-    found = right.withColumn("_lead", lead).withColumn("_l", labels)
-    fits = (F.col("_lead") >= F.col("_l.hours")) & (F.col("_lead") <= F.col("_l.hours") + lookback)
-    found = found.where(fits).withColumn("vintage_label", F.col("_l.label")).drop("_lead", "_l")
+    found = right.withColumn(own, lead).withColumn(name, labels)
+    fits = (F.col(own) >= F.col(f"{name}.hours")) & (F.col(own) <= F.col(f"{name}.hours") + lookback)
+    found = found.where(fits).withColumn("vintage_label", F.col(f"{name}.label")).drop(own, name)
     best = winner(found, [*key, at, "vintage_label"], order)
-    return wanted.drop("_h").join(best, [*key, at, "vintage_label"], "left")
+    return wanted.join(best, [*key, at, "vintage_label"], "left")
 
 
 def active_at_edges(windows: DataFrame, start: str, end: str) -> DataFrame:
@@ -97,17 +103,40 @@ def hour_sequence(start: Column, end: Column) -> Column:
     return F.when(ok, F.sequence(start, F.when(ok, end).otherwise(start), F.expr("INTERVAL 1 HOUR"))).otherwise(F.array().cast("array<timestamp_ntz>"))
 
 
+def placed(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """rows with name: their place, from 1, in the order of their group; order must tell rows apart.
+
+    A group may hold all rows, so there is no window over it. Rows are dealt by ranges of group and
+    order and written, as ranges are drawn anew each time; then a place is the number of rows before it in
+    its range, and of those of its group in earlier ranges. These sums are a row for each range and each group in it.
+    """
+    part, seq, first, before = (free_name(n, rows) for n in ("_part", "_seq", "_first", "_before"))
+    folder = f"{session_folder(rows.sparkSession, 'placed')}/rows"
+    dealt = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    dealt.withColumns({part: F.spark_partition_id(), seq: F.monotonically_increasing_id()}).write.parquet(folder)
+    laid = rows.sparkSession.read.parquet(folder)
+    own = {c: free_name(f"_{c}", laid) for c in (*group, part)}
+    counts = laid.groupBy(*(F.col(c).alias(n) for c, n in own.items())).agg(F.min(seq).alias(first), F.count("*").alias(before))
+    earlier = Window.partitionBy(*(own[c] for c in group)).orderBy(own[part]).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
+    same = F.lit(True)
+    for c, n in own.items():
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    return laid.join(counts, same).select(*rows.columns, (F.col(seq) - F.col(first) + F.col(before) + 1).alias(name))
+
+
 def admitted(attempts: DataFrame, id_col: str, day: str, at: str, limit: int) -> DataFrame:
     """Reservations of each day in order of time, marked admitted up to the daily limit.
 
     A repeated id is one reservation if its content is equal; if not, it is marked in conflict
     and takes no place.
     """
+    a, n, place = (free_name(x, attempts) for x in ("_a", "_n", "_place"))
     rest = [c for c in attempts.columns if c != id_col]
-    one = attempts.groupBy(id_col).agg(F.min(F.struct(at, *[c for c in rest if c != at])).alias("_a"), F.countDistinct(F.struct(*rest)).alias("_n"))
-    one = one.select(id_col, *(F.col(f"_a.{c}").alias(c) for c in rest), (F.col("_n") > 1).alias("conflict"))
-    w = Window.partitionBy(day, "conflict").orderBy(at, id_col)
-    return one.withColumn("admitted", ~F.col("conflict") & (F.row_number().over(w) <= limit))
+    one = attempts.groupBy(id_col).agg(F.min(F.struct(at, *[c for c in rest if c != at])).alias(a), F.countDistinct(F.struct(*rest)).alias(n))
+    one = one.select(id_col, *(F.col(f"{a}.{c}").alias(c) for c in rest), (F.col(n) > 1).alias("conflict"))
+    ranked = placed(one, [day, "conflict"], [at, id_col], place)
+    return ranked.withColumn("admitted", ~F.col("conflict") & (F.col(place) <= limit)).drop(place)
 
 
 def keyset_page(rows: DataFrame, order: list[str], cursor: tuple | None, limit: int) -> DataFrame:

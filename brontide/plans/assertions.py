@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -17,6 +19,74 @@ CATEGORIES = ("POP", "PTY", "PCP", "REH", "SNO", "SKY", "TMP", "TMN", "TMX", "UU
 NUMERIC = ("POP", "REH", "TMP", "TMN", "TMX", "UUU", "VVV", "VEC", "WSD")
 
 
+@dataclass(frozen=True)
+class Rule:
+    """breaks: whether a row breaks it; each: columns of which every value is one violation, where
+    it is not every row."""
+
+    breaks: Column
+    each: tuple[str, ...] = ()
+
+
+def profile(df: DataFrame, rules: dict[str, Callable[[], Rule]], keep: list[str]) -> DataFrame:
+    """How many rows there are of every combination of broken rules, of the values that rules
+    count, and of the columns in keep: few rows, from one scan and one aggregate."""
+    made = {name: rule() for name, rule in rules.items()}
+    values = dict.fromkeys([*keep, *(c for r in made.values() for c in r.each)])
+    flags = [F.coalesce(r.breaks, F.lit(False)).alias(f"breaks_{n}") for n, r in made.items()]
+    return df.groupBy(*values, *flags).agg(F.count("*").alias("rows"))
+
+
+def profile_violations(profiled: DataFrame, rules: dict[str, Callable[[], Rule]]) -> DataFrame:
+    """(assertion, violations) of all rules, from one aggregate of a profile."""
+    counts = []
+    for name, rule in rules.items():
+        broken, each = F.col(f"breaks_{name}"), rule().each
+        # A struct of nulls is a value; a null is none.
+        count = F.countDistinct(F.when(broken, F.struct(*each))) if each else F.sum(F.when(broken, F.col("rows")))
+        counts.append(F.coalesce(count, F.lit(0)).cast("long").alias(name))
+    one = profiled.agg(*counts)
+    return one.select(F.inline(F.array(*(F.struct(F.lit(n).alias("assertion"), F.col(n).alias("violations")) for n in rules))))
+
+
+def _silver_amount() -> Column:
+    r, n, lo, hi = (F.col(c) for c in ("value_representation", "value_num", "value_lower_bound", "value_upper_bound"))
+    return (r.isin("quantitative_exact", "bare_numeric") & n.isNull()) | ((r == "quantitative_range") & (lo.isNull() | n.isNotNull())) | ((r == "explicit_none") & (n.isNotNull() | lo.isNotNull())) | (lo > hi)
+
+
+def _silver_code(types=tuple("01234"), skies=("1", "3", "4")) -> Column:
+    code = F.col("qualitative_code")
+    return ((F.col("category") == "PTY") & ~code.isin(*types)) | ((F.col("category") == "SKY") & ~code.isin(*skies))
+
+
+def _silver_number() -> Column:
+    return F.col("category").isin(*NUMERIC) & F.col("fcst_value_raw").isNotNull() & F.col("value_num").isNull()
+
+
+#: The rules over single rows of silver; functions, as columns need a session.
+SILVER_RULES: dict[str, Callable[[], Rule]] = {
+    "D01_not_null": lambda: Rule(F.col("fcst_value_raw").isNull()),
+    "D06": lambda: Rule(~F.col("event_at").eqNullSafe(F.col("forecast_at"))),
+    "D07": lambda: Rule(~F.col("category").isin(*CATEGORIES), ("category",)),
+    "D08": lambda: Rule(_silver_number(), ("category",)),
+    "D09": lambda: Rule(F.col("category").isin("PCP", "SNO") & _silver_amount()),
+    "D11": lambda: Rule(_silver_code(), ("category", "qualitative_code")),
+    "D12": lambda: Rule(F.col("value_representation") == "unparseable", ("category", "fcst_value_raw")),
+}
+
+
+def key_violations(silver: DataFrame) -> DataFrame:
+    """(assertion, violations) of the rules over keys of silver: keys that come twice (D02), and hours
+    of no precipitation with an amount (D10). Both come from one scan: keys first, then their hours."""
+    hour = ["place_id", "nx", "ny", "issued_at", "forecast_at"]
+    of = lambda c, v: F.max(F.when(F.col("category") == c, F.col(v)))
+    keys = silver.groupBy(*hour, "category").agg((F.count("*") > 1).alias("twice"), of("PTY", "qualitative_code").alias("pty"), of("PCP", "value_num").alias("amount"), of("PCP", "value_lower_bound").alias("low"))
+    hours = keys.groupBy(*hour).agg(F.count_if("twice").alias("twice"), *(F.max(c).alias(c) for c in ("pty", "amount", "low")))
+    dry = F.coalesce((F.col("pty") == "0") & (F.coalesce("amount", "low", F.lit(0.0)) > 0), F.lit(False))
+    one = hours.agg(F.coalesce(F.sum("twice"), F.lit(0)).alias("D02"), F.count_if(dry).alias("D10"))
+    return one.select(F.inline(F.array(*(F.struct(F.lit(n).alias("assertion"), F.col(n).alias("violations")) for n in ("D02", "D10")))))
+
+
 def _kinds(parts: dict[str, DataFrame]) -> DataFrame:
     """Violations of several kinds: kind and the keys, as text."""
     return reduce(DataFrame.unionByName, [df.select(F.lit(k).alias("violation"), F.concat_ws("|", *df.columns).alias("key")) for k, df in parts.items()])
@@ -56,14 +126,12 @@ def category_domain(silver: DataFrame) -> DataFrame:
 
 
 def numbers_parsed(silver: DataFrame) -> DataFrame:
-    return silver.where(F.col("category").isin(*NUMERIC) & F.col("fcst_value_raw").isNotNull() & F.col("value_num").isNull()).groupBy("category").count()
+    return silver.where(_silver_number()).groupBy("category").count()
 
 
 def amounts_consistent(silver: DataFrame) -> DataFrame:
     """Amounts whose columns contradict their class."""
-    r, n, lo, hi = (F.col(c) for c in ("value_representation", "value_num", "value_lower_bound", "value_upper_bound"))
-    bad = (r.isin("quantitative_exact", "bare_numeric") & n.isNull()) | ((r == "quantitative_range") & (lo.isNull() | n.isNotNull())) | ((r == "explicit_none") & (n.isNotNull() | lo.isNotNull())) | (lo > hi)
-    return silver.where(F.col("category").isin("PCP", "SNO") & bad)
+    return silver.where(F.col("category").isin("PCP", "SNO") & _silver_amount())
 
 
 def type_against_amount(silver: DataFrame) -> DataFrame:
@@ -75,8 +143,7 @@ def type_against_amount(silver: DataFrame) -> DataFrame:
 
 
 def code_domain(silver: DataFrame, types=tuple("01234"), skies=("1", "3", "4")) -> DataFrame:
-    code = F.col("qualitative_code")
-    return silver.where(((F.col("category") == "PTY") & ~code.isin(*types)) | ((F.col("category") == "SKY") & ~code.isin(*skies))).groupBy("category", "qualitative_code").count()
+    return silver.where(_silver_code(types, skies)).groupBy("category", "qualitative_code").count()
 
 
 def all_classified(silver: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@ of their runs, nations as places and grid cells. SQL says the same, for comparis
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from brontide.functions.time_axes import NTZ, as_of_hour
 from brontide.plans import models
-from brontide.sources.tables import VersionedTable, work_folder
+from brontide.sources.tables import session_folder
 
 SOURCE = "forecast"
 AS_OF: datetime = as_of_hour("2024-01-15 00:00:00")
@@ -141,20 +140,30 @@ class Products:
         }
 
 
-#: Where the gold of each session and folder is.
-_GOLD: dict[tuple[str, str], Products] = {}
+#: Products of each session, folder and state of its files.
+_GOLD: dict[tuple[str, ...], Products] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """The files of the tables that the feed reads, with their sizes and times."""
+    found = []
+    for name in ("events", "nation", "region"):
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+        found += [f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in files]
+    return "|".join(sorted(found))
 
 
 def kept(spark: SparkSession, sf_dir: str) -> Products:
-    """The model graph, written once in a session as versioned tables; readers of gold share it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The model graph, written once in a session; all readers of silver, marts and gold share it.
+    What is written goes when the session's JVM ends; other files in the folder make other products."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     if key not in _GOLD:
-        root = f"{work_folder(spark)}/gold-{uuid.uuid4().hex}"
+        root = session_folder(spark, "products")
 
         def keep(name: str, df: DataFrame) -> DataFrame:
-            table = VersionedTable(spark, f"{root}/{name}")
-            table.swap(table.stage(df))
-            return table.read()
+            df.write.parquet(f"{root}/{name}")
+            return spark.read.parquet(f"{root}/{name}")
 
         _GOLD[key] = Products(spark, sf_dir, keep)
     return _GOLD[key]
@@ -174,7 +183,7 @@ class _Gold(dict):
 
     def __missing__(self, name: str) -> DataFrame:
         if name not in self._products.gold:
-            self._products.gold[name] = self._products.keep(name, self._products.tables[name])
+            self._products.gold[name] = self._products.keep(f"gold_{name}", self._products.tables[name])
         return self._products.gold[name]
 
 
