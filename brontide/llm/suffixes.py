@@ -323,7 +323,8 @@ def repeated_spans(docs: DataFrame, length: int, keep: str, scratch: Scratch) ->
     contents = scratch.written(_contents(docs, own, scratch), "contents", CONTENT_ROWS)
     flags = scratch.written(_flags(contents, length, scratch), "flags")
     scratch.drop(contents)
-    judged = per.join(flags, ["a", "c"], "left")
+    # Written, so that rows of hot surroundings can be split in the join.
+    judged = scratch.written(per.join(flags, ["a", "c"], "left"), "judged")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), (F.col("bytes") - length + 1).alias("end")))
     runs: Column
     if keep == "first":
