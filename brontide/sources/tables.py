@@ -137,3 +137,10 @@ def coalesced(events: DataFrame, key: str = "source_id", at: str = "event_at", r
     newest = events.groupBy(key).agg(F.max_by(run, F.struct(at, run)).alias("_newest"))
     status = F.when(F.col(run) == F.col("_newest"), F.col("status")).otherwise(F.lit("COALESCED"))
     return events.join(newest, key).withColumns({"status": status, "is_publishable": F.col("is_publishable") & (F.col(run) == F.col("_newest"))}).drop("_newest")
+
+
+def dated_events(events: DataFrame, offset: int = 9) -> tuple[DataFrame, DataFrame]:
+    """(good, refused): an event's load_date must be its local day."""
+    own = F.date_format(F.col("event_at") + F.expr(f"INTERVAL {offset} HOURS"), "yyyy-MM-dd")
+    good = F.coalesce(F.col("load_date") == own, F.lit(False))
+    return events.where(good), events.where(~good)
