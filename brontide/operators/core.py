@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import json
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from brontide.sources.tables import session_folder
@@ -146,13 +149,48 @@ def keyset_page(rows: DataFrame, order: list[str], cursor: tuple | None, limit:
     if cursor is not None:
         beyond, equal = F.lit(False), F.lit(True)
         for c, v in zip(order, cursor, strict=True):
-            value = F.lit(v)
+            value = F.lit(str(v)).cast("timestamp_ntz") if isinstance(v, datetime) else F.lit(v)
             beyond = beyond | (equal & (F.col(c) > value))
             equal = equal & (F.col(c) == value)
         rows = rows.where(beyond)
     return rows.orderBy(*order).limit(limit + 1)
 
 
+def fingerprint(name: str, params: dict) -> str:
+    """What a cursor is good for: a query and its parameters."""
+    return hashlib.sha256(json.dumps([name, params], sort_keys=True, default=str, ensure_ascii=False).encode()).hexdigest()
+
+
+def cursor_of(values: tuple, publication_id: str, query: str) -> str:
+    """The place behind a row, bound to the publication and the query it was read from."""
+    cells = [{"t": v.isoformat()} if isinstance(v, datetime) else v for v in values]
+    return base64.urlsafe_b64encode(json.dumps([publication_id, query, cells], ensure_ascii=False).encode()).decode()
+
+
+def cursor_values(cursor: str, publication_id: str, query: str) -> tuple:
+    """The values of a cursor; one of another publication or query is refused."""
+    try:
+        publication, asked, cells = json.loads(base64.urlsafe_b64decode(cursor.encode()))
+    except (ValueError, TypeError) as e:
+        raise ValueError("this is no cursor") from e
+    if publication != publication_id:
+        raise ValueError("the cursor is of another publication")
+    if asked != query:
+        raise ValueError("the cursor is of another query")
+    return tuple(datetime.fromisoformat(v["t"]) if isinstance(v, dict) else v for v in cells)
+
+
+def bound_page(rows: DataFrame, order: list[str], limit: int, publication_id: str, query: str, cursor: str | None = None) -> tuple[list[Row], str | None]:
+    """(rows of a page, cursor of the next one or None). A page is at most 500 rows, so it is
+    the driver's to hand on."""
+    at = None if cursor is None else cursor_values(cursor, publication_id, query)
+    found = keyset_page(rows, order, at, limit).collect()
+    if len(found) <= limit:
+        return found, None
+    last = found[limit - 1]
+    return found[:limit], cursor_of(tuple(last[c] for c in order), publication_id, query)
+
+
 def top(rows: DataFrame, by: str, k: int, tie: str, descending: bool = True) -> DataFrame:
     """The first k by a column, nulls last, ties by another column."""
     return rows.orderBy(F.desc_nulls_last(by) if descending else F.asc_nulls_last(by), F.asc(tie)).limit(k)

@@ -144,7 +144,7 @@ class Products:
 _GOLD: dict[tuple[str, ...], Products] = {}
 
 
-def _state(spark: SparkSession, sf_dir: str) -> str:
+def state(spark: SparkSession, sf_dir: str) -> str:
     """The files of the tables that the feed reads, with their sizes and times."""
     found = []
     for name in ("events", "nation", "region"):
@@ -157,7 +157,7 @@ def _state(spark: SparkSession, sf_dir: str) -> str:
 def kept(spark: SparkSession, sf_dir: str) -> Products:
     """The model graph, written once in a session; all readers of silver, marts and gold share it.
     What is written goes when the session's JVM ends; other files in the folder make other products."""
-    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, state(spark, sf_dir))
     if key not in _GOLD:
         root = session_folder(spark, "products")
 

@@ -279,14 +279,17 @@ def crosswalk(a: DataFrame, b: DataFrame) -> dict[str, DataFrame]:
     key = lambda strip: F.concat_ws("|", text.region_name(F.col("region")), text.unit_name(F.col("name"), strip))
     left, right = a.withColumn("_k", key(True)), b.withColumn("_k", key(False)).select("_k", "stat_code", "stat_region_code")
     one = right.groupBy("_k").agg(F.min(F.struct("stat_code", "stat_region_code")).alias("_b"), F.count("*").alias("_n"))
-    matched = left.join(one, "_k").select(*left.columns, F.col("_b.stat_code").alias("stat_code"), F.col("_b.stat_region_code").alias("stat_region_code"))
     prefixes = a.groupBy(text.region_name(F.col("region")).alias("region")).agg(F.array_sort(F.collect_set(F.substring(F.trim("code"), 1, 5))).alias("codes"))
+    # One pass over both sides: what has no partner is left over on its side.
+    both = left.withColumn("_a", F.lit(True)).join(one, "_k", "full_outer")
+    own = [F.col(c) for c in a.columns]
     return {
-        "matched": matched.drop("_k"),
-        "unmatched_a": left.join(one, "_k", "left_anti").drop("_k"),
-        "unmatched_b": right.join(left, "_k", "left_anti").drop("_k"),
+        "matched": both.where("_a AND _n IS NOT NULL").select(*own, F.col("_b.stat_code").alias("stat_code"), F.col("_b.stat_region_code").alias("stat_region_code")),
+        "unmatched_a": both.where("_n IS NULL").select(*own),
+        "unmatched_b": right.join(both.where("_a IS NULL").select("_k"), "_k", "left_semi").drop("_k"),
         "duplicates": one.where("_n > 1").select(F.col("_k").alias("key"), F.col("_n").alias("n")),
         "conflicts": prefixes.where(F.size("codes") > 1),
+        "sides": both.select(F.col("_k").alias("key"), F.when(F.col("_a").isNull(), "unmatched_b").when(F.col("_n").isNull(), "unmatched_a").otherwise("matched").alias("state"), *own, F.col("_b.stat_code").alias("stat_code")),
     }
 
 

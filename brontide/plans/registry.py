@@ -22,7 +22,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _loaded() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
-    from brontide.plans import registered  # noqa: F401  registers on import
+    from brontide.plans import registered, registered_sources  # noqa: F401  they register on import
 
     return _QUERIES
 

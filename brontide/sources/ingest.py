@@ -9,46 +9,76 @@ from pyspark.sql import types as T
 
 from brontide.functions.text import joined_identity
 from brontide.functions.time_axes import NTZ, slot_instant, wall_clock_from_parts
-from brontide.schemas import BRONZE_FORECAST, BRONZE_OBSERVATION
+from brontide.operators.core import winner
+from brontide.schemas import BRONZE_FORECAST, BRONZE_OBSERVATION, require_schema
+from brontide.sources.partitions import PartitionedTable
 
 #: Observation categories with units, and reasons of result codes.
 UNITS = {"PTY": "code", "REH": "percent", "RN1": "mm", "T1H": "degC", "UUU": "m/s", "VEC": "degree", "VVV": "m/s", "WSD": "m/s"}
 RESULT_CLASSES = {"00": "ok", "22": "quota", "23": "throttle", "20": "auth", "30": "auth", "31": "auth", "32": "auth"}
 OBSERVED_TYPES = (0, 1, 2, 3, 5, 6, 7)
 
-_ITEM = T.StructType([T.StructField(n, T.StringType()) for n in ("baseDate", "baseTime", "category", "fcstDate", "fcstTime", "fcstValue", "obsrValue")] + [T.StructField(n, T.IntegerType()) for n in ("nx", "ny")])
+#: Partition columns of raw objects, all texts: a time like 0200 is no number.
+RAW_PARTS = ("load_date", "run_id", "nx", "ny", "base_date", "base_time")
+_ITEM = {**dict.fromkeys(("baseDate", "baseTime", "category", "fcstDate", "fcstTime", "fcstValue", "obsrValue"), "string"), "nx": "int", "ny": "int"}
 
 
-def _envelope(item: T.DataType) -> T.StructType:
-    body = T.StructType().add("totalCount", T.IntegerType()).add("pageNo", T.IntegerType()).add("numOfRows", T.IntegerType()).add("items", T.StructType().add("item", item))
-    head = T.StructType().add("resultCode", T.StringType()).add("resultMsg", T.StringType())
-    return T.StructType().add("response", T.StructType().add("header", head).add("body", body))
-
-
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw objects: their key, bytes, and what the key's name=value parts say."""
-    raw = spark.read.format("binaryFile").load(path)
-    part = lambda n: F.nullif(F.regexp_extract("path", rf"/{n}=([^/]+)", 1), F.lit(""))
-    return raw.select(F.col("path").alias("raw_object_key"), F.col("content"), F.col("modificationTime").alias("stored_at"), *(part(n).alias(f"path_{n}") for n in ("load_date", "run_id", "nx", "ny", "base_date", "base_time")))
+def read_raw(spark: SparkSession, path: str, run_id: str | None = None, load_date: str | None = None) -> DataFrame:
+    """Raw objects: their key, bytes, and what the folders of their key say. A run or load date
+    that is asked for keeps other folders from being listed."""
+    files = T.StructType().add("path", "string").add("modificationTime", "timestamp").add("length", "long").add("content", "binary")
+    raw = spark.read.format("binaryFile").schema(T.StructType([*files, *(T.StructField(n, T.StringType()) for n in RAW_PARTS)])).load(path)
+    for name, value in (("run_id", run_id), ("load_date", load_date)):
+        if value is not None:
+            raw = raw.where(F.col(name) == value)
+    return raw.select(F.col("path").alias("raw_object_key"), "content", F.col("modificationTime").alias("stored_at"), *(F.col(n).alias(f"path_{n}") for n in RAW_PARTS))
 
 
 def unwrap(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(items, quarantine) of raw objects. An item may be a list or a single object."""
-    text = F.decode("content", "UTF-8")
-    rows = raw.withColumns({"_many": F.from_json(text, _envelope(T.ArrayType(_ITEM))), "_one": F.from_json(text, _envelope(_ITEM)), "payload_hash": F.sha2("content", 256)})
-    head = F.coalesce(F.col("_many.response.header"), F.col("_one.response.header"))
-    part = lambda n: F.coalesce(F.col(f"_many.response.body.{n}"), F.col(f"_one.response.body.{n}"))
-    items = F.coalesce(F.filter("_many.response.body.items.item", lambda x: x["category"].isNotNull() | x["baseDate"].isNotNull()), F.array().cast(T.ArrayType(_ITEM)))
-    single = F.col("_one.response.body.items.item")
-    items = F.when(F.size(items) > 0, items).when(single.isNotNull(), F.array(single)).otherwise(items)
-    rows = rows.withColumns({"result_code": head["resultCode"], "result_msg": head["resultMsg"], "total_count": part("totalCount"), "page_no": part("pageNo"), "num_of_rows": part("numOfRows"), "_items": items})
+    """(items, quarantine) of raw objects, whose text is read once, as a variant: an item may be a
+    list or a single object, and a field that does not fit its type is null, not its list."""
+    get = lambda v, path, kind: F.try_variant_get(v, path, kind)
+    of = lambda path, kind: get(F.col("_v"), f"$.response.{path}", kind)
+    item = lambda v: F.struct(*(get(v, f"$.{n}", k).alias(n) for n, k in _ITEM.items()))
+    rows = raw.withColumns({"_v": F.try_parse_json(F.decode("content", "UTF-8")), "payload_hash": F.sha2("content", 256)})
+    kind = F.schema_of_variant(F.try_variant_get(F.col("_v"), "$.response.body.items.item", "variant"))
+    many = F.filter(F.transform(of("body.items.item", "array<variant>"), item), lambda x: x["category"].isNotNull() | x["baseDate"].isNotNull())
+    one = F.when(kind.startswith("OBJECT"), F.array(item(of("body.items.item", "variant"))))
+    rows = rows.withColumns({"result_code": of("header.resultCode", "string"), "result_msg": of("header.resultMsg", "string"), "total_count": of("body.totalCount", "int"), "page_no": of("body.pageNo", "int"), "num_of_rows": of("body.numOfRows", "int"), "_items": F.coalesce(many, one, F.array())})
     reason = F.when(F.col("result_code").isNull(), "malformed_envelope").when(F.col("result_code") != "00", F.concat(F.lit("result_"), F.coalesce(result_class(F.col("result_code")), F.lit("other")))).when(F.col("total_count").isNull() | (F.size("_items") == 0), "no_items")
-    rows = rows.withColumn("reason", reason).drop("_many", "_one", "content")
+    rows = rows.withColumn("reason", reason).drop("_v", "content")
     bad = rows.where("reason IS NOT NULL").select("raw_object_key", "result_code", "reason")
     good = rows.where("reason IS NULL").withColumn("item_count", F.size("_items")).withColumn("item", F.explode("_items")).drop("_items", "reason")
     return good, bad
 
 
+def whole_objects(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(items, refused objects): an observation is one page, so its totalCount is its number of rows."""
+    bad = items.where(F.col("item_count") != F.col("total_count")).select("raw_object_key", F.lit("row_count").alias("reason")).distinct()
+    return items.where(F.col("item_count") == F.col("total_count")), bad
+
+
+def against_expected(expected: DataFrame, actual: DataFrame, key: list[str], group: list[str]) -> DataFrame:
+    """One row for each group of either side: how many keys were expected and are there, and how
+    many are missing, unexpected or there more than once. One symmetric difference serves ids, slots and revisions."""
+    want = expected.select(*group, *key).distinct().withColumn("_want", F.lit(True))
+    have = actual.groupBy(*group, *key).agg(F.count("*").alias("_have"))
+    both = want.join(have, [*group, *key], "full_outer")
+    c = F.col
+    return both.groupBy(*group).agg(
+        F.count("_want").alias("expected_count"),
+        F.count("_have").alias("actual_count"),
+        F.count_if(c("_have").isNull()).alias("missing"),
+        F.count_if(c("_want").isNull()).alias("unexpected"),
+        F.count_if(c("_have") > 1).alias("repeated"),
+    )
+
+
+def exact(differences: DataFrame) -> DataFrame:
+    """Of differences the groups that are just what was expected."""
+    return differences.where("missing = 0 AND unexpected = 0 AND repeated = 0 AND expected_count > 0")
+
+
 def result_class(code: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in RESULT_CLASSES.items() for x in kv]), code)
 
@@ -137,6 +167,17 @@ def manifest_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events.where(~F.coalesce(unequal, F.lit(False))), events.where(unequal)
 
 
+MANIFEST_KEY = ["source_id", "dag_run_id", "status"]
+
+
+def record_events(table: PartitionedTable, events: DataFrame) -> DataFrame:
+    """Stores run events, one row for each (source, run, status), the newest told; gives those
+    refused. table: partitioned by the day of event_at."""
+    good, refused = manifest_events(events)
+    table.upsert(winner(good, MANIFEST_KEY, ["event_at", "dag_id"]), MANIFEST_KEY)
+    return refused
+
+
 def observation_reason() -> Column:
     """Why an observed value is refused; null if it is good."""
     v, c = F.col("item.obsrValue").try_cast("double"), F.col("item.category")
@@ -183,6 +224,34 @@ def observation_bronze(items: DataFrame, source_id: str, manifest_key: str, revi
     return items.withColumns(values).select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_OBSERVATION))
 
 
+def slot_evidence(rows: DataFrame, grids: DataFrame) -> DataFrame:
+    """What each slot of observed rows has against every category of every grid (grid_id): the
+    counts of against_expected, rows whose slot is not their base time, and the number of runs."""
+    slots = rows.select("observed_at").distinct()
+    # Grids and categories are fixed sets of some dozens: they go as an array, not a join.
+    cells = [r[0] for r in grids.select("grid_id").distinct().orderBy("grid_id").collect()]
+    pairs = F.array(*(F.struct(F.lit(g).alias("grid_id"), F.lit(k).alias("category")) for g in cells for k in UNITS))
+    expected = slots.select("observed_at", F.inline(pairs))
+    base = slot_instant("base_date", "base_time")
+    about = rows.groupBy("observed_at").agg(F.count_if(~F.col("observed_at").eqNullSafe(base)).alias("off_base"), F.countDistinct("dag_run_id").alias("runs"))
+    return against_expected(expected, rows, ["grid_id", "category"], ["observed_at"]).join(about, "observed_at")
+
+
+def admitted_slots(evidence: DataFrame) -> DataFrame:
+    return exact(evidence).where("off_base = 0 AND runs = 1").select("observed_at")
+
+
+def row_set_violations(rows: DataFrame, grids: DataFrame, expected_rows: int) -> DataFrame:
+    """Why observed rows must not be loaded as one slot of one run: kind and count. The schema is
+    checked as the rows are asked for."""
+    rows = require_schema(rows, BRONZE_OBSERVATION)
+    c = F.col
+    about = rows.agg((F.count("*") != expected_rows).cast("long").alias("row_count"), (F.countDistinct("observed_at") != 1).cast("long").alias("slots"), (F.countDistinct("dag_run_id") != 1).cast("long").alias("runs"), (F.count("*") - F.countDistinct("idempotency_key")).alias("repeated_keys"))
+    sets = slot_evidence(rows, grids).agg(F.sum(c("missing") + c("unexpected") + c("repeated")).alias("grid_categories"))
+    kinds = lambda df: df.select(F.inline(F.array(*(F.struct(F.lit(k).alias("violation"), c(k).alias("n")) for k in df.columns))))
+    return kinds(about).unionByName(kinds(sets)).where("n <> 0")
+
+
 def complete_slots(rows: DataFrame, grids: int, categories: int = 8) -> DataFrame:
     """Slots with every grid and, in each, every category once, of one run."""
     by_grid = rows.groupBy("observed_at", "grid_id").agg(F.countDistinct("category").alias("c"), F.count("*").alias("n"), F.min("dag_run_id").alias("lo"), F.max("dag_run_id").alias("hi"))
@@ -194,7 +263,8 @@ def novel_observations(new: DataFrame, stored: DataFrame) -> tuple[DataFrame, Da
     """(rows to append, conflicts): keys already stored are skipped if their content is equal."""
     content = ["observed_value", "unit", "quality_status", "payload_sha256"]
     days = [r[0] for r in new.select(F.to_date("observed_at")).distinct().collect()]
-    near = stored.where(F.to_date("observed_at").isin(days))  # reaches the partition column
+    # Of a table laid out by day the partition column keeps other days from being listed.
+    near = stored.where((F.col("observed_day") if "observed_day" in stored.columns else F.to_date("observed_at")).isin(days))
     old = near.select("idempotency_key", F.struct(*content).alias("_old"))
     both = new.withColumn("_new", F.struct(*content)).join(old, "idempotency_key")
     return new.join(near.select("idempotency_key"), "idempotency_key", "left_anti"), both.where(~F.col("_new").eqNullSafe(F.col("_old"))).select("idempotency_key")
@@ -230,6 +300,17 @@ def master_rows(pages: DataFrame, columns: dict[str, str], run_id: str) -> DataF
     return rows.select(*(F.try_element_at("_r", F.lit(k)).cast("string").alias(v) for k, v in columns.items()), F.lit(run_id).alias("dag_run_id"))
 
 
+def load_master(stored: DataFrame | None, rows: DataFrame, expected: int) -> DataFrame | None:
+    """Rows of a reference revision to append, or None if it is stored already; a revision of
+    another number of rows than told, or of several revisions, raises."""
+    about = rows.agg(F.count("*").alias("n"), F.countDistinct("revision_date").alias("revisions"), F.max("revision_date").alias("revision")).first()
+    if about["n"] != expected or about["revisions"] != 1:
+        raise ValueError(f"{about['n']} rows of {about['revisions']} revisions instead of {expected} of one")
+    if stored is not None and not stored.where(F.col("revision_date") == about["revision"]).isEmpty():
+        return None
+    return rows
+
+
 def latest_revision(rows: DataFrame, col: str = "revision_date") -> str | None:
     return rows.agg(F.max(col)).first()[0]
 
