@@ -12,13 +12,14 @@ Defined results: a null text is empty and has no spans; without candidates nothi
 or added; repeated rows get equal spans; an empty table gives no rows; result columns replace
 input columns of the same name, and working columns take names that the input does not have.
 Patterns are possessive, so very long texts neither backtrack nor recurse; context comes from
-the gap before a match and pieces from slices, so texts are passed over once, and only the short
-lists of spans are copied as they grow. Offsets are code points, ends exclusive.
+the gap before a match and pieces from slices, so texts are passed over once; spans are gathered
+by blocks, so their number counts once, too. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,21 +92,47 @@ def valid(kind: str, value: Column) -> Column:
     return luhn(_digits(value)) if kind == "card" else (n >= 9) & (n <= 15)
 
 
+#: Elements that are gathered before they are put behind those gathered earlier.
+BLOCK = 64
+
+
+def _gathered(items: Column, kind: str, step: Callable[[Column, Column], Column]) -> Column:
+    """(at, out) of a fold over items that starts at 0 and gathers an array out of elements of a
+    kind. An array copies itself for every element that it takes, so blocks are gathered first and then listed:
+    for n items that is BLOCK * n + (n / BLOCK) ** 2 copies of a reference, not n ** 2."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def folded(own: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(own) - 1) / BLOCK).cast("int")), lambda b: F.slice(own, b * BLOCK + 1, F.lit(BLOCK)))
+
+        def listed(acc: Column, block: Column) -> Column:
+            inner = F.aggregate(block, F.struct(acc["at"].alias("at"), none.alias("out")), step)
+            return _once(inner, lambda r: F.struct(r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+        done = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out")), listed)
+        return _once(done, lambda r: F.struct(r["at"].alias("at"), F.flatten(r["out"]).alias("out")))
+
+    return _once(items, folded)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is made once however often use names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """Matches with their offsets and what comes before them: the gaps between matches come from
     a split by the same pattern, and lengths of gaps and matches add up to offsets."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)  # one more than the matches
     pairs = F.zip_with(gaps, found, lambda g, v: F.struct(F.length(g).alias("gap"), F.substring(g, -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"), v.alias("value")))
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string,before:string>>").alias("spans"))
-
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + F.length(x["value"])
         own = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"), x["before"].alias("before"))
-        return F.struct(F.coalesce(end, acc["at"]).alias("at"), F.when(x["value"].isNotNull(), F.concat(acc["spans"], F.array(own))).otherwise(acc["spans"]).alias("spans"))
+        return F.struct(F.coalesce(end, acc["at"]).alias("at"), F.when(x["value"].isNotNull(), F.concat(acc["out"], F.array(own))).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(pairs, first, add, lambda acc: acc["spans"])
+    return _gathered(pairs, "struct<start:int,end:int,value:string,before:string>", add)["out"]
 
 
 def _votes(kind: str, x: Column, before: Column, extra: bool) -> list[Column]:
@@ -237,18 +264,16 @@ def redacted(text: Column, spans: Column) -> Column:
     """The text with every span replaced by <KIND>; overlapping spans become one, named by the
     first. Pieces are slices of the text's characters, so each is copied once."""
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<after:int,start:int,kind:int>>").alias("heads"))
-
     def add(acc: Column, x: Column) -> Column:
         own = F.struct(acc["at"].alias("after"), x["start"].alias("start"), x["kind"].alias("kind"))
-        heads = F.when(x["start"] >= acc["at"], F.concat(acc["heads"], F.array(own))).otherwise(acc["heads"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), heads.alias("heads"))
+        heads = F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.array(own))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), heads.alias("out"))
 
-    done = F.aggregate(spans, first, add)
+    done = _gathered(spans, "struct<after:int,start:int,kind:int>", add)
 
     def pieces(both: Column) -> Column:
         chars, own = both["chars"], both["own"]
-        shown = F.transform(own["heads"], lambda x: F.concat(F.array_join(F.slice(chars, x["after"] + 1, x["start"] - x["after"]), ""), F.get(names, x["kind"])))
+        shown = F.transform(own["out"], lambda x: F.concat(F.array_join(F.slice(chars, x["after"] + 1, x["start"] - x["after"]), ""), F.get(names, x["kind"])))
         rest = F.slice(chars, own["at"] + 1, F.greatest(F.size(chars) - own["at"], F.lit(0)))
         return F.concat(F.array_join(shown, ""), F.array_join(rest, ""))
 

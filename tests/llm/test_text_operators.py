@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -176,3 +177,21 @@ def test_rules_find_junk_and_keep_the_rest(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert all(r.kept for r in rules.judge(docs_frame(spark, clean + junk), none).collect())
     assert rules.judge(docs_frame(spark, []), none).count() == 0
+
+
+@pytest.mark.parametrize("n", [63, 64, 65, 129, 1000])
+def test_spans_are_gathered_by_blocks(spark, n):
+    """Texts with as many matches as fill blocks, or one less or more; redaction goes by blocks, too."""
+    text = "".join(f"{i} name{i}@host.example.org, " for i in range(n))
+    r = pii.find_pii(docs_frame(spark, [(1, text)])).withColumn("clean", pii.redacted(F.col("text"), F.col("spans"))).select(pii.spans_text("base_spans").alias("base"), "clean").first()
+    assert r.base == base_spans(text) and r.clean == "".join(f"{i} <EMAIL>, " for i in range(n))
+
+
+def test_many_matches_cost_their_number_once(spark):
+    seconds = []
+    for n in (6000, 24000):
+        docs = docs_frame(spark, [(1, " ".join(f"name{i}@host.example.org" for i in range(n)))])
+        start = time.time()
+        assert len(pii.find_pii(docs).first().base_spans) == n
+        seconds.append(time.time() - start)
+    assert seconds[1] < 6 * seconds[0] + 2
