@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from brontide.llm.common import release
 
-#: Parts and pairs of pieces that a worker process remembers while a task runs. Parts have two
+#: Parts and pairs of pieces that a worker process remembers, from task to task. Parts have two
 #: generations: when the young one is full it becomes the old one, and what is met again comes
 #: back young.
 MEMO_WORDS = 150_000
@@ -80,7 +80,7 @@ class Vocabulary:
         #: Cutting there only saves time.
         line = "" if "\n" in self.chars else "\n"
         side_by_side = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        letters = "".join(sorted(x for x in map(chr, range(0x41, 0x250)) if x.isalpha() and (x.isascii() or x in self.chars)))
         marks = "".join(re.escape(m) for m in "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~" if not any(x + m in side_by_side for x in letters))
         word = f"{SPACE}*[{letters}]+(?=[{marks}])|" if marks else ""
         self.cut = None if inside else re.compile(f"{word}{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + (f"|{line}" if line else ""))
@@ -242,21 +242,14 @@ class _Stream:
                 if last[at] is None or value > worth[at]:
                     last[at], back[at], worth[at] = piece, start, value
             return
+        get = pairs.get
         for at, (piece, size) in self.scan:
             at -= base
             # Pieces come by their end, the longest first; the first that agrees is the path's.
-            if last[at] is not None:
-                continue
-            start = at - size
-            if start < 0:
-                continue
-            before = last[start]
-            if before is None:
-                continue
-            key = before << 20 | piece
-            known = pairs.get(key)
-            if agree(key) if known is None else known:
-                last[at], back[at] = piece, start
+            if last[at] is None and (start := at - size) >= 0 and (before := last[start]) is not None:
+                known = get(key := before << 20 | piece)
+                if known or known is None and agree(key):
+                    last[at], back[at] = piece, start
 
     def commit(self) -> list[int]:
         """Ids before the boundary where the paths of all boundaries in the window meet."""
@@ -393,7 +386,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
             values = pa.array(np.frombuffer(b"".join(x for x in ids if x), np.int32))
             mask = pa.array([x is None for x in ids])
             yield _with(batch, ids_col, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=mask))
-        own.forget()
+        # What was learnt stays for the worker's next task; its size is bounded.
         release()
 
     docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
