@@ -199,12 +199,42 @@ def test_classifier_learns_held_out_labels(spark):
 
 
 def test_gradients_are_right():
+    """Against finite differences, in every parameter, and the score against a plain loop."""
     rng = np.random.default_rng(2)
-    bags = [rng.normal(size=(rng.integers(1, 4), quality.WIDTH)).astype(np.float32) for _ in range(12)]
-    labels = np.array([i % 2 for i in range(12)], float)
-    model = quality.fit(bags, labels)
-    x = (bags[0] - model.mean) / model.scale
-    assert model.weights(x).sum() == pytest.approx(1)
+    bags = [rng.normal(size=(n, quality.WIDTH)) for n in (1, 3, 2, 4, 1)]
+    labels, weight = np.array([0.0, 1.0, 1.0, 0.0, 1.0]), rng.uniform(0.5, 2, 5)
+    x, starts = np.concatenate(bags), np.array([0, 1, 4, 6, 10])
+    own = np.repeat(np.arange(5), [len(b) for b in bags])
+    shapes = {"v": (quality.WIDTH, quality.HIDDEN), "u": (quality.WIDTH, quality.HIDDEN), "w": quality.HIDDEN, "c": quality.WIDTH, "b": 1}
+    p = {k: rng.normal(0, 0.3, n) for k, n in shapes.items()}
+    loss, grads = quality.gradients(p, x, starts, own, labels, weight)
+    plain = 0.0
+    for bag, y, w in zip(bags, labels, weight, strict=True):
+        energy = [float((np.tanh(r @ p["v"]) / (1 + np.exp(-(r @ p["u"])))) @ p["w"]) for r in bag]
+        share = np.exp(energy) / np.exp(energy).sum()
+        score = 1 / (1 + np.exp(-float(sum(a * r for a, r in zip(share, bag, strict=True)) @ p["c"] + p["b"][0])))
+        plain -= w * (y * np.log(score) + (1 - y) * np.log(1 - score))
+    assert loss == pytest.approx(plain)
+    for name, grad in grads.items():
+        for at in rng.integers(0, p[name].size, 12):
+            ends = []
+            for step in (1e-6, -1e-6):
+                moved = p | {name: p[name].copy()}
+                moved[name].flat[at] += step
+                ends.append(quality.gradients(moved, x, starts, own, labels, weight)[0])
+            assert np.asarray(grad).flat[at] == pytest.approx((ends[0] - ends[1]) / 2e-6, rel=1e-4, abs=1e-7), name
+
+
+def test_held_out_accuracy_on_the_given_tables(spark):
+    """Scores of rows that were not learned from, against their labels, on sf0.01."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.classify(docs.select("doc_id", "text"), labels).where("held_out").join(labels.select("doc_id", "quality"), "doc_id").collect()
+    assert len(rows) > 50
+    right = sum(r.predicted == r.quality for r in rows) / len(rows)
+    most = max(sum(r.quality == y for r in rows) for y in (0, 1)) / len(rows)
+    print(f"held out: {right:.3f} of {len(rows)}, the commoner label alone {most:.3f}")
+    assert right > most
 
 
 def test_learning_takes_whole_bags_or_none(spark, monkeypatch):
