@@ -29,8 +29,24 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN_FOLDER[0]
 
 
-def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_folder(spark)}/brontide/{what}-{uuid.uuid4().hex}"
+#: The folder of each application and shared folder for what only its session reads.
+_SESSIONS: dict[tuple[str, str], str] = {}
+
+
+def new_path(spark: SparkSession, what: str, stays: bool = False) -> str:
+    """A path that nothing has had. Unless it stays it lies in a folder of the session, which is
+    deleted when the session's JVM ends, whatever became of the operator that wrote there."""
+    shared = shared_folder(spark)
+    if stays:
+        return f"{shared}/brontide/{what}-{uuid.uuid4().hex}"
+    key = (spark.sparkContext.applicationId, shared)
+    if key not in _SESSIONS:
+        _SESSIONS[key] = f"{shared}/brontide/session-{uuid.uuid4().hex}"
+        own = spark._jvm.org.apache.hadoop.fs.Path(_SESSIONS[key])
+        fs = own.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(own)
+        fs.deleteOnExit(own)
+    return f"{_SESSIONS[key]}/{what}-{uuid.uuid4().hex}"
 
 
 def deleted(spark: SparkSession, path: str) -> None:

@@ -216,7 +216,7 @@ class Archive:
 def write_archive(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> Archive:
     """A record for each row of pages, in bundles in a folder that all machines share."""
     spark = pages.sparkSession
-    folder = folder or new_path(spark, "warc")
+    folder = folder or new_path(spark, "warc", stays=True)
     _folder(folder)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), text_of(html_col).alias("html"))
     rows = rows.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "n": F.octet_length("html")})
