@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brontide.llm import decontaminate, near_dup, pieces, pii, rules
-from brontide.llm.common import free_names, table, written
+from brontide.llm.common import Scratch, free_names, table, written
 
 #: The SentencePiece model of the last stage; it must be installed on every machine.
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -84,7 +84,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        before, docs = docs, scratch.written(stage(spark, docs, sf_dir), name)
+        scratch.drop(before)  # the next stage reads only what this one kept
     return docs
