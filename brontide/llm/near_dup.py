@@ -52,6 +52,9 @@ SMALL = 2000
 #: Likely pairs for each member beyond which sets are compared where they are; shingles of the sets
 #: that one task compares then; columns of a product of matrices.
 DENSE, DENSE_SHINGLES, COLUMNS = 4, 1 << 21, 4096
+#: Dense buckets are dealt by hash into as many parts as the last number says; a turn takes those
+#: from one number to the next.
+DENSE_TURNS = (0, 1, 6, 32)
 #: Share of the pairs at the threshold that keying a large bucket again may leave out; similarity of
 #: the members that it is to bring down to SMALL; the most minhashes of a family, and keys, for that.
 LOST, LEAVES, FURTHER, REPEATS = 1e-4, 0.8, 24, 64
@@ -417,13 +420,22 @@ class _Merger:
         self.confirm(found.select(F.inline("pairs")))
         dense = found.where("dense").select("key")
         if not dense.isEmpty():
-            again = self.open_buckets(own.join(dense, "key", "left_semi").select("key", "nid"))
-            self.sets_of(again)
-            self.scratch.drop(again)
+            self.by_parts(own.join(dense, "key", "left_semi").select("key", "nid"))
         rest = self.scratch.written(left.where(F.col("members") > SMALL), "rest")
         self.scratch.drop(left, found)
         return rest
 
+    def by_parts(self, members: DataFrame) -> None:
+        """Compares the sets of dense buckets, some of the buckets first: the members of one are also
+        those of many other tables' buckets, and what the first join needs no second comparison."""
+        members = self.scratch.written(members.withColumn("turn", F.pmod(F.xxhash64("key", F.lit(5)), F.lit(DENSE_TURNS[-1]))), "dense")
+        for first, end in zip(DENSE_TURNS, DENSE_TURNS[1:], strict=False):
+            again = self.open_buckets(members.where(F.col("turn").between(first, end - 1)).select("key", "nid"))
+            if not again.isEmpty():
+                self.sets_of(again)
+            self.scratch.drop(again)
+        self.scratch.drop(members)
+
     def sets_of(self, buckets: DataFrame) -> None:
         """Compares the sets of all members (key, nid, comp), in blocks that a task can hold."""
         rows = buckets.select("key", "nid", "comp").join(self.sizes, "nid")
