@@ -32,7 +32,7 @@ CALLS: dict[str, tuple[dict, str]] = {
     "forecast_category_coverage_overview": ({}, "SELECT forecast_category_count, count(*) AS place_count FROM current GROUP BY forecast_category_count"),
     "place_metric_ranking": ({"metric": "wind"}, "SELECT place_id, place_name, admin_dong, gu, forecast_at, temp_c, humidity_pct, wind_ms, precip_prob_pct, wind_ms AS metric_value FROM current ORDER BY wind_ms DESC NULLS LAST, place_name LIMIT 20"),
     "gu_weather_summary": ({}, "SELECT gu_code, gu, count(*) AS place_count, round(avg(temp_c), 1) AS avg_temp_c, min(temp_c) AS min_temp_c, max(temp_c) AS max_temp_c, round(avg(humidity_pct), 1) AS avg_humidity_pct, round(avg(wind_ms), 2) AS avg_wind_ms, max(precip_prob_pct) AS max_precip_prob_pct FROM current GROUP BY gu_code, gu"),
-    "muggy_places_threshold": ({"min_temp_c": 0, "min_humidity_pct": 10}, "SELECT place_id, place_name, admin_dong, gu, temp_c, humidity_pct, wind_ms, forecast_at FROM current WHERE temp_c >= 0 AND humidity_pct >= 10 ORDER BY temp_c DESC, humidity_pct DESC, place_name LIMIT 50"),
+    "muggy_places_threshold": ({"min_temp_c": -20, "min_humidity_pct": 0}, "SELECT place_id, place_name, admin_dong, gu, temp_c, humidity_pct, wind_ms, forecast_at FROM current WHERE temp_c >= -20 AND humidity_pct >= 0 ORDER BY temp_c DESC, humidity_pct DESC, place_name LIMIT 50"),
     "compare_named_places": ({"names": ["NATION_1", "NATION_9", "CANADA", "CHINA"]}, "SELECT place_id, place_name, admin_dong, gu, forecast_at, temp_c, humidity_pct, wind_ms, precip_prob_pct, sky_label, pty_label FROM current WHERE place_name IN ('NATION_1', 'NATION_9', 'CANADA', 'CHINA')"),
     "outlook_collection_freshness": ({}, "SELECT place_id, place_name, admin_dong, gu, forecast_collected_at_max, forecast_issued_at_max, forecast_at FROM current ORDER BY forecast_collected_at_max DESC NULLS LAST, place_name LIMIT 20"),
     "place_current_by_name_search": ({"q": "NATION_1"}, "SELECT place_id, place_name, alias_names, admin_dong, gu, forecast_at, temp_c, humidity_pct, precip_prob_pct, sky_label, pty_label FROM current WHERE contains(place_name, 'NATION_1') OR contains(alias_names, 'NATION_1') ORDER BY place_name LIMIT 50"),
@@ -40,7 +40,7 @@ CALLS: dict[str, tuple[dict, str]] = {
     "risk_windows_for_place": ({"place_id": "place_3"}, f"{_RISK} WHERE place_id = 'place_3'"),
     "upcoming_risk_windows": ({}, f"{_RISK} WHERE {_in_range('forecast_at')} ORDER BY forecast_at, place_id LIMIT 100"),
     "risk_label_candidates": ({"risk_label": "강풍후보"}, f"{_RISK} WHERE contains(risk_labels, '강풍후보') ORDER BY forecast_at, place_id LIMIT 100"),
-    "risk_candidates_for_place_window": ({"place_id": "place_3"}, f"{_RISK} WHERE place_id = 'place_3' AND {_in_range('forecast_at')}"),
+    "risk_candidates_for_place_window": ({"place_id": "place_3", "to_at": "2024-01-25 00:00:00"}, f"{_RISK} WHERE place_id = 'place_3' AND forecast_at >= {_T} AND forecast_at < TIMESTAMP '2024-01-25'"),
     "next_risk_candidate_for_place": ({"place_id": "place_3"}, f"{_RISK} WHERE place_id = 'place_3' AND forecast_at >= {_T} ORDER BY forecast_at LIMIT 1"),
     "multi_risk_label_candidates": ({}, f"{_RISK} WHERE contains(risk_labels, ',') ORDER BY forecast_at, place_id LIMIT 100"),
     "latest_risk_candidates": ({}, f"{_RISK} ORDER BY forecast_at DESC, place_id LIMIT 20"),
@@ -71,7 +71,7 @@ CALLS: dict[str, tuple[dict, str]] = {
     "precipitation_window_place_count_by_gu": ({}, f"SELECT o.gu_code, o.gu, count(*) AS place_count, min(w.window_start_at) AS earliest_window_start_at, max(w.window_end_at) AS latest_window_end_at FROM {_NOW} GROUP BY o.gu_code, o.gu ORDER BY place_count DESC, o.gu_code LIMIT 25"),
     "forecast_change_for_place_date": ({"place_id": "place_2"}, f"SELECT place_name, admin_dong, gu, forecast_date, latest_issued_at, previous_issued_at, change_state, min_temp_change_c, max_temp_change_c, max_precip_prob_change_pct, latest_first_precipitation_at, previous_first_precipitation_at FROM change WHERE place_id = 'place_2' AND forecast_date = {_D}"),
     "changed_forecasts_for_date": ({"forecast_date": "2024-01-16"}, "SELECT place_id, place_name, gu, forecast_date, latest_issued_at, previous_issued_at, min_temp_change_c, max_temp_change_c, max_precip_prob_change_pct FROM change WHERE forecast_date = DATE '2024-01-16' AND change_state = 'changed' ORDER BY latest_issued_at DESC, place_name LIMIT 100"),
-    "partial_comparison_forecasts": ({}, f"SELECT place_id, place_name, gu, forecast_date, latest_issued_at, previous_issued_at, latest_category_count, previous_category_count, change_state FROM change WHERE forecast_date = {_D} AND change_state = 'partial_comparison' ORDER BY latest_issued_at DESC, place_name LIMIT 100"),
+    "partial_comparison_forecasts": ({"forecast_date": "2024-01-16"}, f"SELECT place_id, place_name, gu, forecast_date, latest_issued_at, previous_issued_at, latest_category_count, previous_category_count, change_state FROM change WHERE forecast_date = DATE '2024-01-16' AND change_state = 'partial_comparison' ORDER BY latest_issued_at DESC, place_name LIMIT 100"),
     "forecasts_without_previous_issue": ({}, f"SELECT place_id, place_name, gu, forecast_date, latest_issued_at, change_state, latest_category_count, latest_forecast_hour_count FROM change WHERE forecast_date = {_D} AND change_state = 'no_previous_issue' ORDER BY latest_issued_at DESC, place_name LIMIT 100"),
     "largest_temperature_change": ({"forecast_date": "2024-01-16"}, "SELECT place_id, place_name, gu, forecast_date, min_temp_change_c, max_temp_change_c, latest_issued_at, previous_issued_at FROM change WHERE forecast_date = DATE '2024-01-16' AND change_state = 'changed' ORDER BY greatest(abs(min_temp_change_c), abs(max_temp_change_c)) DESC, place_name LIMIT 20"),
     "largest_precip_probability_change": ({"forecast_date": "2024-01-16"}, "SELECT place_id, place_name, gu, forecast_date, latest_max_precip_prob_pct, previous_max_precip_prob_pct, max_precip_prob_change_pct, latest_first_precipitation_at, previous_first_precipitation_at FROM change WHERE forecast_date = DATE '2024-01-16' AND change_state = 'changed' ORDER BY abs(max_precip_prob_change_pct) DESC, place_name LIMIT 20"),
