@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from brontide.functions.time_axes import NTZ
@@ -370,3 +370,13 @@ def covered_range(t: Tables, place_id: str, from_at, to_at, cursor: tuple | None
     shown = lambda k: F.when(c("covered"), c(k)).alias(k)
     return out.select("place_id", "covered", "available_from_at", "available_to_at", shown("forecast_at"), shown("product_row_id"), shown("risk_labels"), reason.alias("zero_result_reason")).distinct()
 
+
+def covered_page(t: Tables, place_id: str, from_at, to_at, publication_id: str, cursor: str | None = None, limit: int = 100) -> tuple[list[Row], str | None]:
+    """(rows of a page of covered_range, cursor of the next one or None). The cursor is good for this
+    publication, place and range alone."""
+    asked = core.fingerprint("covered_range", {"place_id": place_id, "from_at": str(from_at), "to_at": str(to_at)})
+    at = None if cursor is None else core.cursor_values(cursor, publication_id, asked)
+    rows = covered_range(t, place_id, from_at, to_at, at, limit).orderBy(F.asc_nulls_last("forecast_at"), "product_row_id").collect()
+    if len(rows) <= limit:
+        return rows, None
+    return rows[:limit], core.cursor_of((rows[limit - 1].forecast_at, rows[limit - 1].product_row_id), publication_id, asked)

@@ -751,7 +751,12 @@ for _name, (_params, _sql) in published_sql.CALLS.items():
     register(f"q_{_name}", f"{SQL_ALL} SELECT * REPLACE ({_DATED}) FROM ({_sql})" if _has_date else f"{SQL_ALL} {_sql}")(_call(_name, _params))
 
 
-@register("g14_covered_range")
+_CTES, _SELECT = _HORIZON[: _HORIZON.rindex("SELECT p.place_id")], _HORIZON[_HORIZON.rindex("SELECT p.place_id") :]
+
+
+@register("g14_covered_range", f"""{SQL_ALL} {_CTES}, asked AS (SELECT *, coalesce(availability_status = 'complete' AND available_from_at <= {_T} AND available_to_at >= {_T}, false) AS covered FROM ({_SELECT}) WHERE place_id = 'place_3')
+    SELECT DISTINCT a.place_id, covered, available_from_at, available_to_at, CASE WHEN covered THEN r.forecast_at END AS forecast_at, CASE WHEN covered THEN r.product_row_id END AS product_row_id, CASE WHEN covered THEN r.risk_labels END AS risk_labels,
+        CASE WHEN NOT covered THEN 'range_not_covered' WHEN r.forecast_at IS NULL THEN 'no_risk_in_range' END AS zero_result_reason FROM asked a LEFT JOIN (SELECT * FROM risk WHERE forecast_at = {_T}) r ON r.place_id = a.place_id""")
 def g14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published.covered_range(feed.gold(spark, sf_dir), "place_3", AS_OF, AS_OF)
 
