@@ -12,6 +12,8 @@ buckets of one component are done. The others are compared in full inside a task
 each minhash, if they have up to SMALL members, and give the pairs that may be similar. Where
 these would be more than DENSE times the members, the task gets the members' sets instead, counts
 all intersections as a product of matrices, and gives links that join components, fewer than members.
+Such buckets of different tables have most members in common, so those of one centre are compared
+as one, with each member once, where that costs less than bucket by bucket.
 Larger buckets are keyed again by further minhashes of each of their two families, as many as their
 size asks for, and as many times as leave out LOST of the pairs at the threshold. What is large
 even then (sets that are nearly, but not quite, similar) is dealt in blocks, and the sets of
@@ -50,9 +52,11 @@ MEMO_ENTRIES = 60_000
 #: Buckets of at most so many nodes are compared in full by one task.
 SMALL = 2000
 #: Likely pairs for each member beyond which sets are compared where they are; shingles of the sets
-#: that one task compares then; columns of a product of matrices.
-DENSE, DENSE_SHINGLES, COLUMNS = 4, 1 << 21, 4096
-#: Dense buckets are dealt by hash into as many parts as the last number says; a turn takes those
+#: and sets of each of two blocks that one task compares then; columns of a product of matrices.
+DENSE, DENSE_SHINGLES, DENSE_SETS, COLUMNS = 4, 1 << 21, 2000, 4096
+#: Pairs of sets that cost about as much as a set that is moved to a task.
+PAIRS_A_SET = 100
+#: Other dense buckets are dealt by hash into as many parts as the last number says; a turn takes those
 #: from one number to the next.
 DENSE_TURNS = (0, 1, 6, 32)
 #: Share of the pairs at the threshold that keying a large bucket again may leave out; similarity of
@@ -380,6 +384,11 @@ def _joining_links(share: int):
     return found
 
 
+def _blocks():
+    """Blocks of a group's sets, such that a task can hold two."""
+    return F.greatest(F.ceil(F.sum("n") / DENSE_SHINGLES), F.ceil(F.count("*") / DENSE_SETS)).cast("int").alias("count")
+
+
 class _Merger:
     """The links found so far and the components they make, round by round."""
 
@@ -426,9 +435,14 @@ class _Merger:
         return rest
 
     def by_parts(self, members: DataFrame) -> None:
-        """Compares the sets of dense buckets, some of the buckets first: the members of one are also
-        those of many other tables' buckets, and what the first join needs no second comparison."""
-        members = self.scratch.written(members.withColumn("turn", F.pmod(F.xxhash64("key", F.lit(5)), F.lit(DENSE_TURNS[-1]))), "dense")
+        """Compares the sets of dense buckets (key, nid): those of one centre as one where that is
+        less, and some of the others first, as what these join needs no second comparison."""
+        members = self.by_centres(members)
+        if members.isEmpty():
+            self.scratch.drop(members)
+            return
+        rest, members = members, self.scratch.written(members.withColumn("turn", F.pmod(F.xxhash64("key", F.lit(5)), F.lit(DENSE_TURNS[-1]))), "dense")
+        self.scratch.drop(rest)
         for first, end in zip(DENSE_TURNS, DENSE_TURNS[1:], strict=False):
             again = self.open_buckets(members.where(F.col("turn").between(first, end - 1)).select("key", "nid"))
             if not again.isEmpty():
@@ -436,10 +450,25 @@ class _Merger:
             self.scratch.drop(again)
         self.scratch.drop(members)
 
+    def by_centres(self, members: DataFrame) -> DataFrame:
+        """Compares all members of the open buckets that share a centre, each once, where this costs
+        no more than the buckets would; the members of the other open buckets."""
+        left = self.open_buckets(members)
+        apart = left.groupBy("mid").agg(F.count("*").alias("rows"), F.sum("members").alias("pairs"))
+        each = self.scratch.written(left.select("mid", "nid", "comp").distinct(), "centres")
+        together = each.join(self.sizes, "nid").groupBy("mid").agg(F.count("*").alias("sets"), _blocks())
+        less = F.expr(f"sets * count + sets * sets / {PAIRS_A_SET} <= rows + pairs / {PAIRS_A_SET}")
+        fewer = self.scratch.written(together.join(apart, "mid").where(less).select("mid"), "fewer")
+        if not fewer.isEmpty():
+            self.sets_of(each.join(fewer, "mid", "left_semi").withColumnRenamed("mid", "key"))
+        rest = self.scratch.written(left.join(fewer, "mid", "left_anti").select("key", "nid"), "rest")
+        self.scratch.drop(left, each, fewer)
+        return rest
+
     def sets_of(self, buckets: DataFrame) -> None:
         """Compares the sets of all members (key, nid, comp), in blocks that a task can hold."""
         rows = buckets.select("key", "nid", "comp").join(self.sizes, "nid")
-        count = rows.groupBy("key").agg(F.ceil(F.sum("n") / DENSE_SHINGLES).cast("int").alias("count"))
+        count = rows.groupBy("key").agg(_blocks())
         rows = rows.join(count, "key").withColumn("block", F.pmod(F.xxhash64("nid"), F.col("count")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
         side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)

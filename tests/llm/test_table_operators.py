@@ -308,3 +308,21 @@ def test_no_link_is_lost_without_rare_shingles(spark, monkeypatch, way):
     assert 30 < len({c for _, c in want.values()}) < 150
     got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs_frame(spark, rows)).collect()}
     assert got == {i: c for i, (_, c) in want.items()}
+
+
+@pytest.mark.parametrize("size", [2000, 30])
+def test_dense_buckets_of_one_centre_move_each_set_a_few_times(spark, monkeypatch, size):
+    if hasattr(near_dup, "DENSE_SETS"):
+        monkeypatch.setattr(near_dup, "DENSE_SETS", size)
+    moved, compare = [], near_dup._Merger.sets_of
+
+    def counted(self, buckets):
+        moved.append(buckets.count())
+        compare(self, buckets)
+
+    monkeypatch.setattr(near_dup._Merger, "sets_of", counted)
+    rows = variant_rows(160)
+    want = near_components(rows)
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs_frame(spark, rows)).collect()}
+    assert got == {i: c for i, (_, c) in want.items()}
+    assert 0 < sum(moved) <= 40 * len(rows)
