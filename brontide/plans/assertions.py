@@ -114,7 +114,7 @@ def coverage(df: DataFrame, col: str, least: float) -> DataFrame:
 
 
 def only_publishable(silver: DataFrame, runs: DataFrame) -> DataFrame:
-    return silver.join(runs, "dag_run_id", "left_anti").groupBy("dag_run_id").count()
+    return silver.groupBy("dag_run_id").count().join(runs, "dag_run_id", "left_anti")
 
 
 def event_is_forecast_time(silver: DataFrame) -> DataFrame:
@@ -260,4 +260,4 @@ def freshness(rows: DataFrame, at: str, as_of: datetime, warn_minutes: int = 240
 
 def bounded_by_publishable(silver: DataFrame, manifest: DataFrame, source_id: str) -> DataFrame:
     """Silver without the rows of runs whose latest state is not publishable."""
-    return silver.join(core.publishable_runs(models.run_states(manifest, source_id)), "dag_run_id", "left_semi")
+    return core.among(silver, core.publishable_runs(models.run_states(manifest, source_id)), "dag_run_id", models.WINNER_ORDER)

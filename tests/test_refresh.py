@@ -4,6 +4,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from brontide.operators import core
 from brontide.plans import feed, models, refresh
 from brontide.sources.tables import VersionedTable
 
@@ -32,3 +33,21 @@ def test_steps_equal_one_build(spark, tmp_path):
     place = VersionedTable(spark, str(tmp_path / "place_mart"))
     refresh.rebuild_place_mart(place, silver.read(), places, after)
     assert rows(place.read()) == rows(models.place_mart(silver.read(), places, after))
+
+
+def test_rows_of_a_run_are_not_dealt_by_it(spark, monkeypatch):
+    bronze, manifest = feed.bronze(spark, SF), feed.manifest(spark, SF)
+    want = rows(models.silver(bronze, manifest, feed.SOURCE))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where Spark cannot tell how few runs there are
+    try:
+        few = models.silver(bronze, manifest, feed.SOURCE)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert rows(few) == want
+        monkeypatch.setattr(core, "BROADCAST_KEYS", 0)
+        many = models.silver(bronze, manifest, feed.SOURCE)
+        assert "hashpartitioning(dag_run_id" in (plan := many._jdf.queryExecution().executedPlan().toString()) and "_salt" in plan
+        assert rows(many) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
